@@ -22,6 +22,9 @@ _rng = np.random.Generator(np.random.PCG64(20240229))
 BYTE_HASH = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BYTE_HASH[SPACE] = 0
 BYTE_HASH[65:91] = BYTE_HASH[97:123]
+#: For words of letters and digits alone: ASCII punctuation separates as white space does.
+MARKS = SPACE.copy()
+MARKS[[i for i in range(128) if not chr(i).isalnum()]] = True
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _powers = np.cumprod(np.full(4096, BASE, np.uint64))
 
@@ -61,12 +64,12 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         i = j
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of each word, byte where it starts, where each text's words begin with the end) of one chunk."""
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    solid = ~SPACE[data]
+    solid = ~separators[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     inner = offsets[1:-1]
@@ -78,7 +81,10 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         return np.zeros(0, np.uint64), starts, begins
     at = np.arange(n, dtype=np.int64)
     at -= np.repeat(np.concatenate(([0], starts)), np.diff(np.concatenate(([0], starts, [n]))))
-    hashes = np.add.reduceat(BYTE_HASH[data] * powers(int(at.max()) + 1)[at], starts)
+    values = BYTE_HASH[data]
+    if separators is not SPACE:
+        values[~solid] = 0
+    hashes = np.add.reduceat(values * powers(int(at.max()) + 1)[at], starts)
     return mix(hashes), starts, begins
 
 
