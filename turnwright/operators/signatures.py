@@ -67,9 +67,14 @@ def longest_match(turns: DataFrame, signatures: DataFrame, key: Sequence[str], k
     return best.select(*key, F.col("_b.sig").alias("sig"))
 
 
-def _all_windows(body: Column, size: int) -> Column:
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(body) - size + 1))
-    return F.transform(starts, lambda i: F.substring(body, i, F.lit(size)))
+def _all_windows(body: Column, size: int, block: int = 256) -> Column:
+    """array<string> of all windows of a text, or the text itself if it is shorter.
+
+    Taken from overlapping blocks: a substring is found by walking from the start, which must not be a long text's.
+    """
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(body) - size + 1), F.lit(block))
+    blocks = F.transform(starts, lambda i: F.substring(body, i, F.lit(block + size - 1)))
+    return F.flatten(F.transform(blocks, lambda x: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(x) - size + 1)), lambda i: F.substring(x, i, F.lit(size)))))
 
 
 def keep_first(rows: DataFrame, groups: Sequence[str], order: Sequence[str], most: int) -> DataFrame:

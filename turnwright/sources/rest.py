@@ -1,5 +1,6 @@
 """A Python data source for a paged ticket search API, partitioned by date range.
 
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TicketSearch)
     spark.read.format("ticket_search").options(base_url=…, start="2024-01-01", end="2024-07-01", channel="web").load()
 
