@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnwright.operators import dedup, score, signatures, turns
-from turnwright.operators.ranking import shuffled_positions, split_by_ratio
+from turnwright.operators.ranking import mersenne_positions, shuffled_positions, split_by_ratio
 from turnwright.plans.prepare import prepare, summary
 from turnwright.sources import tickets
 from turnwright.sources.rest import TicketSearch, fetch_comments, midpoint
@@ -77,6 +77,15 @@ def test_split_is_exact_and_ignores_partitions(spark):
     assert sum(r.split == "train" for r in one) == 900
 
 
+def test_shuffle_as_python_does(spark):
+    import random
+
+    want = list(range(50))
+    random.Random(42).shuffle(want)
+    rows = mersenne_positions(spark.range(50).withColumnRenamed("id", "t"), "t", 42)
+    assert [r.t for r in rows.orderBy("pos").collect()] == want
+
+
 def test_signatures(spark):
     phrase = "this very phrase is used in every single message of theirs"
     rows = talk(spark, [(i, 0, "agent", f"prefix{i}. {phrase}") for i in range(6)])

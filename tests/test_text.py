@@ -85,3 +85,7 @@ def test_phrase_filter(spark):
     turn = "Thanks a lot and you need more help please write to us at any time of the day"
     assert apply(spark, [turn, phrase[:40], "unrelated"], run([phrase])) == ["Thanks a lot and you need more help plea ay", "to us", "unrelated"]
     assert apply(spark, ["same"], run([])) == ["same"]
+
+
+def test_epoch(spark):
+    assert apply(spark, ["2024-01-01T00:00:00Z", "2024-01-01", "no date", None], text.to_epoch) == [1704067200, 1704067200, None, None]

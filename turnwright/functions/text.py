@@ -147,3 +147,8 @@ def drop_signature(body: Column, signature: Column) -> Column:
     edge = (at - 1 <= 2) | ((rest < 10) & ((at == 1) | (F.substring(text, at - 1, F.lit(1)) == " ")))
     cut = squeeze(F.concat(F.substring(text, F.lit(1), at - 1), F.lit(" "), F.substring(text, after, F.length(text))))
     return F.when((at > 0) & edge, F.nullif(F.regexp_replace(cut, r"[,;:!?。，；：！？]+\z", ""), F.lit(""))).otherwise(body)
+
+
+def to_epoch(c: Column) -> Column:
+    """Seconds since 1970 of an ISO date or time; without a zone it is the session's, and null if it isn't one."""
+    return F.unix_timestamp(F.try_to_timestamp(c))

@@ -24,3 +24,20 @@ def split_by_ratio(positions: DataFrame, ratio: float, pos: str = "pos", name: s
     total = positions.agg(F.count("*").alias("_n"))
     bound = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(ratio)))
     return positions.join(F.broadcast(total)).withColumn(name, F.when(F.col(pos) < bound, F.lit("train")).otherwise(F.lit("valid"))).drop("_n")
+
+
+#: Ids that mersenne_positions takes at most: they pass through the driver.
+MOST_IDS = 1_000_000
+
+
+def mersenne_positions(ids: DataFrame, id_col: str, seed: int, order: str | None = None, name: str = "pos") -> DataFrame:
+    """Positions as Python's seeded shuffle of the ids in their order gives them, for datasets that must match such a
+    run. The list passes through the driver, so more than MOST_IDS ids raise; shuffled_positions has no such bound."""
+    import random
+
+    listed = [r[0] for r in ids.orderBy(order or id_col).select(id_col).limit(MOST_IDS + 1).collect()]
+    if len(listed) > MOST_IDS:
+        raise ValueError(f"more than {MOST_IDS} ids; use shuffled_positions")
+    random.Random(seed).shuffle(listed)
+    places = ids.sparkSession.createDataFrame([(x, i) for i, x in enumerate(listed)], f"{id_col} {ids.schema[id_col].dataType.simpleString()}, {name} long")
+    return ids.join(places, id_col)
