@@ -5,9 +5,10 @@ graph: for each vector the nearest others and some random ones, robust-pruned so
 directions. The adjacency lists of all shards are united by vector. Searches start at a shard's medoid, go greedily to
 the query's neighbourhood, and then expand everything within the range; what is found is verified in double precision.
 
-A query visits its own cell and every cell whose bounding plane is nearer than the link radius: a linked vector can lie
-in no other. Cells beyond the shard size are dealt out to several shards by hash, and a query visits all of them.
-Recall is audited against brute force for a bounded sample of queries; below the floor the search is done again wider.
+A query visits its own cell and every cell whose bounding plane is within SPREAD standard deviations of where a vector
+at the link radius lies, if its displacement has no preferred direction. Cells beyond the shard size are dealt out to
+several shards by hash, and a query visits all of them. Recall is audited against brute force for a bounded sample of
+queries; below the floor the search is done again wider.
 """
 
 from __future__ import annotations
@@ -28,20 +29,19 @@ SHARD, BLOCK = 1000, 2000
 FIT_ROWS, CELLS = 8192, 1024
 DEGREE, NEAREST, RANDOM = 20, 32, 32
 ALPHA = 1.2
+SPREAD = 1.5
 AUDIT = 256
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _stack(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Vectors (float64 bytes) as rows; shorter ones are padded, and told apart by their length elsewhere."""
-    rows = [np.frombuffer(x.as_buffer(), np.float64) for x in column]
-    width = max(map(len, rows), default=0)
-    if all(len(r) == width for r in rows):
-        return np.stack(rows) if rows else np.zeros((0, 0))
-    return np.stack([np.pad(r, (0, width - len(r))) for r in rows])
+def _stack(column: pa.ChunkedArray | pa.Array, kind: str) -> np.ndarray:
+    """Vectors (bytes of their own type) as float64 rows of one width, as all of a shard have one length."""
+    rows = [np.frombuffer(x.as_buffer(), kind).astype(np.float64) for x in column]
+    return np.stack(rows) if rows else np.zeros((0, 0))
 
 
 def centroids(sample: np.ndarray, k: int) -> np.ndarray:
@@ -162,30 +162,33 @@ def search(vectors: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, leas
     return np.nonzero(met >= least - 1e-3)
 
 
-def _build(key: tuple, rows: pa.Table) -> pa.Table:
-    ids = rows["cid"].to_numpy()
-    order = np.argsort(ids, kind="stable")
-    ids = ids[order]
-    graph = build_graph(unit(_stack(rows["vec"].take(pa.array(order)))), zlib.crc32(key[0].as_py().encode()))
-    sizes = np.array([len(x) for x in graph])
-    flat = ids[np.concatenate(graph)] if sizes.sum() else np.zeros(0, np.int64)
-    return pa.table({"cid": pa.array(ids), "nbrs": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(flat, pa.int64()))})
+def _build(kind: str):
+    def work(key: tuple, rows: pa.Table) -> pa.Table:
+        ids = rows["cid"].to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        graph = build_graph(unit(_stack(rows["vec"].take(pa.array(order)), kind)), zlib.crc32(key[0].as_py().encode()))
+        sizes = np.array([len(x) for x in graph])
+        flat = ids[np.concatenate(graph)] if sizes.sum() else np.zeros(0, np.int64)
+        return pa.table({"cid": pa.array(ids), "nbrs": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(flat, pa.int64()))})
+
+    return work
 
 
-def _search(least: float, effort: int):
+def _search(least: float, effort: int, kind: str):
     def work(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple[int, int | None, int]] = []
         if left.num_rows and right.num_rows:
             left = left.take(pa.array(np.argsort(left["cid"].to_numpy(), kind="stable")))
             ids, home, mult = (left[c].to_numpy() for c in ("cid", "home", "mult"))
-            raw = _stack(left["vec"])
+            raw = _stack(left["vec"], kind)
             where = dict(zip(ids.tolist(), range(len(ids)), strict=True))
             lists = [[where[x] for x in row if x in where] for row in left["nbrs"].to_pylist()]
             width = max(1, max(map(len, lists)))
             adjacency = np.full((len(ids), width), -1)
             for i, row in enumerate(lists):
                 adjacency[i, : len(row)] = row
-            q_ids, q_raw = right["q_cid"].to_numpy(), _stack(right["q_vec"])
+            q_ids, q_raw = right["q_cid"].to_numpy(), _stack(right["q_vec"], kind)
             v, w = unit(raw), unit(q_raw)
             a, b = search(v, adjacency, w, least, effort)
             ok = home[b] & (q_ids[a] != ids[b])
@@ -221,14 +224,14 @@ def _forest(q_ids: np.ndarray, ids: np.ndarray, a: np.ndarray, b: np.ndarray) ->
     return out
 
 
-def _assign(cells: np.ndarray, chord: float):
+def _assign(cells: np.ndarray, limit: float, kind: str):
     """Own cell, next cell and all cells within reach of each class."""
     gaps = np.linalg.norm(cells[:, None] - cells[None], axis=2) if len(cells) else np.zeros((0, 0))
     dim = cells.shape[1] if len(cells) else -1
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         own, other, reach = [], [], []
-        rows = [np.frombuffer(x.as_buffer(), np.float64) for x in batch.column(1)]
+        rows = [np.frombuffer(x.as_buffer(), kind).astype(np.float64) for x in batch.column(1)]
         inside = np.array([len(r) == dim for r in rows])
         if inside.any():
             v = unit(np.stack([r for r, ok in zip(rows, inside, strict=True) if ok]))
@@ -236,7 +239,7 @@ def _assign(cells: np.ndarray, chord: float):
             best = sims.argmax(1)
             gap = np.where(gaps[best] > 0, gaps[best], np.inf)
             # distance to the plane between the own cell and each other one
-            near = (sims[np.arange(len(v)), best][:, None] - sims) / gap <= chord + 1e-9
+            near = (sims[np.arange(len(v)), best][:, None] - sims) / gap <= limit
             near[np.arange(len(v)), best] = True
             masked = sims.copy()
             masked[np.arange(len(v)), best] = -2
@@ -257,14 +260,16 @@ def _assign(cells: np.ndarray, chord: float):
     return work
 
 
-def _brute(queries: list[tuple[int, bytes]], least: float):
+def _brute(queries: list[tuple[int, bytes]], least: float, kind: str):
+    known = [(c, np.frombuffer(x, kind).astype(np.float64)) for c, x in queries]
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         total: dict[int, int] = {}
-        rows = [np.frombuffer(x.as_buffer(), np.float64) for x in batch.column(1)]
+        rows = [np.frombuffer(x.as_buffer(), kind).astype(np.float64) for x in batch.column(1)]
         ids, mult = batch.column(0).to_numpy(), batch.column(2).to_numpy()
         for size in {len(r) for r in rows}:
             at = np.array([i for i, r in enumerate(rows) if len(r) == size])
-            own = [(c, np.frombuffer(x, np.float64)) for c, x in queries if len(x) == 8 * size]
+            own = [(c, r) for c, r in known if len(r) == size]
             if own:
                 sims = unit(np.stack([x for _, x in own])) @ unit(np.stack([rows[i] for i in at])).T
                 hit = (sims >= least) & (np.array([c for c, _ in own])[:, None] != ids[at][None])
@@ -275,14 +280,15 @@ def _brute(queries: list[tuple[int, bytes]], least: float):
     return work
 
 
-def vector_classes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
-    """(rows with their class id, classes): equal vectors are one class, named by its smallest id.
+def vector_classes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame, str]:
+    """(rows with their class id, classes, type of the bytes): equal vectors are one class, named by its smallest id.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null id, have no class.
     """
     big = float(np.finfo(np.float64).max)
     v = F.col("v")
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    kind = "<f4" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "<f8"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<float>" if kind == "<f4" else "array<double>").alias("v"))
     fine = F.coalesce(F.col("id").isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= big)) & F.exists(v, lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("ok", fine).withColumn("h1", F.when(fine, F.xxhash64(v))).withColumn("h2", F.when(fine, F.xxhash64(F.lit(1), v)))
     usable = rows.where("ok").select("id", "h1", "h2").distinct()
@@ -291,33 +297,33 @@ def vector_classes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataF
     classes = rows.where("ok").join(groups, ["h1", "h2"]).where("id = cid").dropDuplicates(["cid"]).select("cid", "v", "mult")
 
     def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
-        packed = pa.array([np.asarray(x, np.float64).tobytes() for x in batch.column(1).to_pylist()], pa.binary())
+        packed = pa.array([np.asarray(x, kind).tobytes() for x in batch.column(1).to_pylist()], pa.binary())
         return pa.RecordBatch.from_arrays([batch.column(0), packed, batch.column(2)], ["cid", "vec", "mult"])
 
-    return member, cut(map_arrow(classes, "cid long, vec binary, mult long", pack))
+    return member, cut(map_arrow(classes, "cid long, vec binary, mult long", pack)), kind
 
 
-def _links(placed: DataFrame, least: float, effort: int) -> DataFrame:
+def _links(placed: DataFrame, least: float, effort: int, kind: str) -> DataFrame:
     """Rows (a, null, n): n vectors linked with class a; and rows (a, b, 0): edges that connect the linked classes."""
     both = placed.select("cid", "vec", "mult", F.explode(F.array(F.struct(F.col("own").alias("cell"), F.lit(True).alias("home")), F.struct(F.col("other").alias("cell"), F.lit(False).alias("home")))).alias("x")).select("cid", "vec", "mult", "x.*").where("cell is not null")
     parts = both.groupBy("cell").agg(F.ceil(F.count("*") / (2 * SHARD)).cast("int").alias("parts"))
     dealt = both.join(parts, "cell").withColumn("shard", F.concat_ws("/", "cell", F.pmod(F.xxhash64("cid"), "parts").cast("string"))).drop("parts")
     members = cut(dealt.select("shard", "cid", "vec", "mult", "home"))
-    built = members.select("shard", "cid", "vec").groupBy("shard").applyInArrow(_build, "cid long, nbrs array<long>")
+    built = members.select("shard", "cid", "vec").groupBy("shard").applyInArrow(_build(kind), "cid long, nbrs array<long>")
     united = built.groupBy("cid").agg(F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs"))
     asked = placed.select("cid", "vec", F.explode("reach").alias("cell")).join(parts, "cell")
     asked = asked.select("cid", "vec", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.concat_ws("/", "cell", i.cast("string")))).alias("shard"))
     blocks = asked.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     right = asked.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int")).select(F.col("shard").alias("q_shard"), F.col("block").alias("q_block"), F.col("cid").alias("q_cid"), F.col("vec").alias("q_vec"))
     left = members.join(united, "cid").join(blocks, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("shard", "block", "cid", "vec", "mult", "home", "nbrs")
-    return cut(left.groupBy("shard", "block").cogroup(right.groupBy("q_shard", "q_block")).applyInArrow(_search(least, effort), "a long, b long, n long"))
+    return cut(left.groupBy("shard", "block").cogroup(right.groupBy("q_shard", "q_block")).applyInArrow(_search(least, effort, kind), "a long, b long, n long"))
 
 
-def audit(classes: DataFrame, counts: DataFrame, least: float, sample: int = AUDIT) -> float:
+def audit(classes: DataFrame, counts: DataFrame, least: float, kind: str, sample: int = AUDIT) -> float:
     """Links found over all links, for the ``sample`` classes of smallest hash against all rows by brute force."""
     chosen = [(r.cid, bytes(r.vec)) for r in classes.select("cid", "vec", F.xxhash64("cid").alias("h")).orderBy("h").limit(sample).collect()]
     names = [c for c, _ in chosen]
-    truth = map_arrow(classes, "cid long, n long", _brute(chosen, least)).agg(F.sum("n")).first()[0] or 0
+    truth = map_arrow(classes, "cid long, n long", _brute(chosen, least, kind)).agg(F.sum("n")).first()[0] or 0
     found = counts.where(F.col("cid").isin(names)).agg(F.sum("n")).first()[0] or 0
     return found / truth if truth else 1.0
 
@@ -331,20 +337,21 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, effort: int = 24, floo
     columns are ignored.
     """
     spark = vectors.sparkSession
-    member, classes = vector_classes(vectors, id_col, vec_col)
+    member, classes, kind = vector_classes(vectors, id_col, vec_col)
     common = classes.groupBy(F.octet_length("vec").alias("size")).count().orderBy(F.desc("count"), "size").first()
     cells = np.zeros((0, 0))
     if common:
         sample = classes.where(F.octet_length("vec") == common["size"]).select("vec", F.xxhash64("cid").alias("h")).orderBy("h").limit(FIT_ROWS).collect()
-        cells = centroids(unit(np.stack([np.frombuffer(r.vec, np.float64) for r in sample])), min(CELLS, -(-common["count"] // SHARD)))
-    chord = math.sqrt(max(0.0, 2 - 2 * least))
-    placed = cut(map_arrow(classes, "cid long, vec binary, mult long, own string, other string, reach array<string>", _assign(cells, chord)))
+        cells = centroids(unit(np.stack([np.frombuffer(r.vec, kind).astype(np.float64) for r in sample])), min(CELLS, -(-common["count"] // SHARD)))
+    shift = math.sqrt(max(0.0, 1 / least**2 - 1) / max(1, cells.shape[1]))
+    spread = SPREAD
     for _ in range(3):
-        links = _links(placed, least, effort)
+        placed = cut(map_arrow(classes, "cid long, vec binary, mult long, own string, other string, reach array<string>", _assign(cells, spread * shift, kind)))
+        links = _links(placed, least, effort, kind)
         counts = links.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))
-        if audit(classes, counts, least) >= floor:
+        if audit(classes, counts, least, kind) >= floor:
             break
-        effort *= 3
+        effort, spread = effort * 3, spread * 2
     else:
         spark.sparkContext._jvm.org.slf4j.LoggerFactory.getLogger("turnwright").warn("recall stays below the floor")
     reach = connected_components(links.where("b is not null").select("a", "b")).withColumnRenamed("id", "cid")
