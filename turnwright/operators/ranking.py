@@ -23,7 +23,7 @@ def split_by_ratio(positions: DataFrame, ratio: float, pos: str = "pos", name: s
     """The first max(1, floor(n * ratio)) positions are ``train``, the rest ``valid``."""
     total = positions.agg(F.count("*").alias("_n"))
     bound = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(ratio)))
-    return positions.join(F.broadcast(total)).withColumn(name, F.when(F.col(pos) < bound, F.lit("train")).otherwise(F.lit("valid"))).drop("_n")
+    return positions.withColumn("_n", total.scalar()).withColumn(name, F.when(F.col(pos) < bound, F.lit("train")).otherwise(F.lit("valid"))).drop("_n")
 
 
 #: Ids that mersenne_positions takes at most: they pass through the driver.

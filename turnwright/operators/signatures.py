@@ -49,7 +49,7 @@ def mine(turns: DataFrame, keep: Sequence[str] = (), rules: tuple[MiningRule, ..
     for part in parts[1:]:
         found = found.unionByName(part)
     enough = texts.groupBy(*keep).agg(F.count("*").alias("_n")).where(F.col("_n") >= LONG.least).drop("_n")
-    found = found.join(enough, list(keep), "left_semi") if keep else found.join(F.broadcast(enough))
+    found = found.join(enough, list(keep), "left_semi") if keep else found.where(enough.exists())
     return found.select(*keep, "sig", "sig_len", "freq")
 
 

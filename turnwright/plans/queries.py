@@ -215,8 +215,7 @@ FILLER_ALTERNATIVES = "|".join(text.longest_first(text.FILLERS))
 @query(f"""WITH w AS (SELECT unnest([{FILLER_LIST}]) AS w), b AS (SELECT region.r_regionkey, w.w, chr(10) || 'ได้' || region.r_name || ' ' || w.w || ' ' AS body FROM region, w)
 SELECT CAST(r_regionkey AS INT) AS r_regionkey, w, nullif({stripped(f"regexp_replace(body, '{WS}*({FILLER_ALTERNATIVES}){WS}*$', '')")}, '') AS out FROM b""")
 def trailing_filler(spark: SparkSession, d: str) -> DataFrame:
-    words = spark.createDataFrame([(w,) for w in text.FILLERS], "w string")
-    rows = _table(spark, d, "region").select("r_regionkey", "r_name").join(F.broadcast(words))
+    rows = _table(spark, d, "region").select("r_regionkey", "r_name", F.explode(F.array(*map(F.lit, text.FILLERS))).alias("w"))
     body = F.concat(F.lit("\nได้"), F.col("r_name"), F.lit(" "), F.col("w"), F.lit(" "))
     return rows.select("r_regionkey", "w", text.strip_trailing_filler(body).alias("out"))
 
@@ -322,7 +321,7 @@ def dedup_counters(spark: SparkSession, d: str) -> DataFrame:
     rows = _docs(spark, d)
     total = rows.agg(F.count("*").alias("total"))
     kept = dedup.limit_copies(rows, 2).agg(F.count("*").alias("kept"))
-    return total.join(F.broadcast(kept)).withColumn("dropped", F.col("total") - F.col("kept"))
+    return total.select("total", kept.scalar().alias("kept")).withColumn("dropped", F.col("total") - F.col("kept"))
 
 
 MINED = f"""u AS (SELECT conv_id, turn, regexp_replace({squeezed("content")}, 'https?://{SOLID}+', '[url]', 'g') AS body FROM t),
