@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -15,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``; only where that is unset, one of our own."""
     context = spark.sparkContext
@@ -34,6 +42,45 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of an Arrow batch at most: texts are long, and a batch is in memory several times over.
+BATCH_ROWS = 1000
+
+
+def in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:  # noqa: ANN001
+    """mapInArrow in batches of at most BATCH_ROWS rows; the session's setting is lowered to that."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, BATCH_ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a Python worker lives on after its task, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not with glibc
+        pass
+
+
+def grouped(work: Callable) -> Callable:
+    """A function for applyInArrow that gives memory back after a group of some size."""
+
+    def by_rows(rows: pa.Table) -> pa.Table:
+        out = work(rows)
+        if rows.nbytes > 4 << 20:
+            give_back()
+        return out
+
+    return by_rows
+
+
 def map_arrow(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch] | None]) -> DataFrame:
     """mapInArrow for a function of one batch."""
 
@@ -46,7 +93,7 @@ def map_arrow(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.Re
                 elif out is not None:
                     yield from out
 
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 class Forest:
@@ -98,7 +145,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     a, b = edges.columns[:2]
     ends = edges.select(F.col(a).cast("long").alias("v"), F.col(b).cast("long").alias("u")).where("v is not null and u is not null")
-    now = cut(ends.mapInArrow(_contract, "v long, u long").where("v <> u").distinct())
+    now = cut(in_arrow(ends, _contract, "v long, u long").where("v <> u").distinct())
     seen = None
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnwright.llm import shingles as S
+from turnwright.llm.common import in_arrow
 
 BITS = 64
 RADIUS = 20
@@ -181,7 +182,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, words: int = 5, least: flo
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "item_id", "similarity", "start_word", "n_words"])
 
-        parts.append(base.mapInArrow(run, schema))
+        parts.append(in_arrow(base, run, schema))
     if not parts:
         return docs.sparkSession.createDataFrame([], schema)
     out = parts[0]
@@ -204,5 +205,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, words: int = 5, least:
                     keep[row] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = in_arrow(docs, run, docs.schema)
     return docs

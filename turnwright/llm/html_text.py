@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnwright.llm.common import cut
+from turnwright.llm.common import cut, in_arrow
 
 # Fixed values of HTML: elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -38,6 +38,9 @@ DROP_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup login sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar comment comments disqus reply replies respond share sharing social related recommended recommendations widget pagination pager toolbar alert legal copyright".split()
 )
 
+#: Share of a page's text above which a class or id doesn't make an element boilerplate.
+MOST_TEXT = 0.6
+
 TOKEN = re.compile(
     r"""<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
     re.S,
@@ -152,6 +155,16 @@ class Page:
             found = found or [i for i in range(n) if article[i]] or [i for i in range(n) if main[i]]
             self.rooted = True
         roots = set(found) if found else {0}
+        if not found:  # without an article, what holds most of the page's text is no boilerplate, whatever it is called
+            size = [0] * n
+            for i, _, piece in self.pieces:
+                size[i] += len(piece.strip())
+            for i in range(n - 1, 0, -1):
+                size[self.parent[i]] += size[i]
+            for i in range(1, n):
+                p, tag = self.parent[i], self.tag[i]
+                named = tag not in ("html", "body") and size[i] <= MOST_TEXT * size[0] and self._named(i)
+                self.dropped[i] = self.dropped[p] or tag in DROP_TAGS or tag == "header" or named
         self.content, self.holds = [False] * n, [False] * n
         for i in range(n):
             self.content[i] = i in roots or i > 0 and self.content[self.parent[i]]
@@ -243,7 +256,7 @@ def page_texts(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2,
     Pages of one host meet only as narrow, partially aggregated counts.
     """
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    parts = cut(base.mapInArrow(_parts, "page_id long, host string, part long, content long, matters boolean"))
+    parts = cut(in_arrow(base, _parts, "page_id long, host string, part long, content long, matters boolean"))
     counts = parts.select("host", "part", "content").distinct().groupBy("host", "part").agg(F.count("*").alias("n"))
     hosts = parts.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("of"))
     templates = counts.where(F.col("n") >= least_pages).join(hosts, "host").where(F.col("n") >= least_share * F.col("of")).select("host", "part")
@@ -255,4 +268,4 @@ def page_texts(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2,
         # the host as host_of has it, for telling rows of equal id apart
         near = gone.groupBy("page_id").agg(F.flatten(F.collect_list("gone")).alias("gone"))
         judged = base.join(near, base["page_id"].eqNullSafe(near["page_id"]), "left").select(base["page_id"], "url", "html", "gone")
-    return judged.mapInArrow(_extract, "page_id long, url string, text string, n_chars long").withColumnsRenamed({"page_id": id_col, "url": url_col})
+    return in_arrow(judged, _extract, "page_id long, url string, text string, n_chars long").withColumnsRenamed({"page_id": id_col, "url": url_col})

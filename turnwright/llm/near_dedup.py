@@ -2,9 +2,9 @@
 
 Each distinct shingle set is sketched in 256 registers: a shingle's hash picks a register, which keeps, of the
 smallest remaining hash, the number of leading zeros and the ten bits after the leading one. Registers compressed to
-16 bits are banded, 32 bands of 8; at Jaccard 0.85 a pair is missed by every band with probability 4e-5. Candidates
-pass the collision-corrected Jaccard estimate with a margin of five standard deviations, and are then verified on
-their full sets.
+16 bits are banded, from a threshold of 0.85 on in 32 bands of 8, below that in 42 bands of 6: a pair at 0.85 or 0.8
+is missed by every band with probability 4e-5 or 3e-6. Candidates pass the collision-corrected Jaccard estimate with a
+margin of five standard deviations, and are then verified on their full sets.
 
 Not every pair of a bucket is tried. Texts with equal sets are one class. Every class is first compared with its
 bucket's pivot, the member that shares most buckets; the links found give components. Only buckets whose members then
@@ -24,10 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnwright.llm import shingles as S
-from turnwright.llm.common import Forest, arrays_to_binary, connected_components, cut, map_arrow
+from turnwright.llm.common import Forest, arrays_to_binary, connected_components, cut, grouped, map_arrow
 
-REGISTERS, BANDS = 256, 32
-WIDTH = REGISTERS // BANDS
+REGISTERS = 256
 MANTISSA = 10
 BLOCK, BLOCK_VALUES = 1024, 4_000_000
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -50,8 +49,13 @@ def registers(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out.astype(np.uint16).reshape(n, REGISTERS)
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each band (texts x 32). Empty registers borrow from others, chosen alike for every text."""
+def band_width(percent: int) -> int:
+    """Registers of a band for a threshold."""
+    return 8 if percent >= 85 else 6
+
+
+def band_keys(regs: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit key for each band (texts x bands). Empty registers borrow from others, chosen alike for every text."""
     filled = regs.copy()
     for donor in DONORS:
         empty = filled == 0
@@ -61,8 +65,9 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     for i in np.flatnonzero((filled == 0).any(1) & (regs != 0).any(1)):
         have = np.flatnonzero(filled[i])
         filled[i] = filled[i][have[np.searchsorted(have, np.arange(REGISTERS)) % len(have)]]
-    sums = (filled.astype(np.uint64) * BAND_HASH).reshape(len(regs), BANDS, WIDTH).sum(2, dtype=np.uint64)
-    return S.mix(sums + np.arange(BANDS, dtype=np.uint64))
+    bands = REGISTERS // width
+    used = (filled.astype(np.uint64) * BAND_HASH)[:, : bands * width]
+    return S.mix(used.reshape(len(regs), bands, width).sum(2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64))
 
 
 def _collision_table() -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +105,7 @@ def margin(threshold: float) -> float:
     return threshold - 5 * math.sqrt(threshold * (1 - threshold) / REGISTERS)
 
 
-def _sketch(k: int, keep_sets: bool):
+def _sketch(k: int, width: int, keep_sets: bool):
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for first, data, offsets in S.text_chunks(batch.column(1)):
             hashes, _, begins = S.words(data, offsets)
@@ -116,8 +121,8 @@ def _sketch(k: int, keep_sets: bool):
                     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)))
                     return (total[begin[1:]] - total[begin[:-1]]).view(np.int64)
 
-                keys = band_keys(regs)
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
+                keys = band_keys(regs, width)
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * keys.shape[1], pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([ids, n, pa.array(summed(values)), pa.array(summed(S.mix(values ^ S.BASE))), keys], ["id", "n", "h1", "h2", "bands"])
 
     return work
@@ -155,7 +160,7 @@ def _cross_pairs(rows: pa.Table, percent: int) -> Iterator[tuple[int, int]]:
     least = margin(percent / 100)
     block, n, comp, band = (rows[c].to_numpy() for c in ("block", "n", "comp", "band"))
     regs = np.array([np.frombuffer(x.as_buffer(), np.uint16) for x in rows["regs"]])
-    keys = band_keys(regs)[:, : int(band[0])]
+    keys = band_keys(regs, band_width(percent))[:, : int(band[0])]
     i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
     left = np.flatnonzero(block == i)
     right = np.flatnonzero(block == j)
@@ -203,7 +208,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component and is kept. Other columns are ignored, whatever their names.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketched = cut(map_arrow(base, "id long, n long, h1 long, h2 long, bands array<long>", _sketch(words, False)))
+    sketched = cut(map_arrow(base, "id long, n long, h1 long, h2 long, bands array<long>", _sketch(words, band_width(percent), False)))
     usable = sketched.where("id is not null and n > 0")
     classes = usable.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"))
     member = cut(usable.select("id", "h1", "h2", "n").join(classes, ["h1", "h2", "n"]).select("id", "rep"))
@@ -215,7 +220,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pivots = buckets.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("id"))).alias("p")).select("key", (-F.col("p.id")).alias("pivot"))
     pairs = buckets.join(pivots, "key").where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
     wanted = buckets.select("id").distinct()
-    sets = cut(map_arrow(base.join(wanted, "id", "left_semi"), "id long, n long, regs binary, set binary", _sketch(words, True)).where("n > 0").dropDuplicates(["id"]))
+    sets = cut(map_arrow(base.join(wanted, "id", "left_semi"), "id long, n long, regs binary, set binary", _sketch(words, band_width(percent), True)).where("n > 0").dropDuplicates(["id"]))
 
     def side(c: str) -> DataFrame:
         return sets.select(F.col("id").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("n", "regs", "set")))
@@ -242,9 +247,9 @@ def _residual(buckets: DataFrame, components: DataFrame, sets: DataFrame, percen
         return df.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("block", "o")).withColumn("j", F.greatest("block", "o")).drop("o")
 
     sketches = sets.select("id", "n", "regs")
-    grouped = spread(rows).join(sketches, "id").select("key", "i", "j", "block", "id", "comp", "band", "n", "regs")
-    flagged = cut(grouped.groupBy("key", "i", "j").applyInArrow(_flag(percent), "key long, i int, j int, block int, id long, comp long, band int").select("key", "id", "comp", "band").distinct())
+    members = spread(rows).join(sketches, "id").select("key", "i", "j", "block", "id", "comp", "band", "n", "regs")
+    flagged = cut(members.groupBy("key", "i", "j").applyInArrow(grouped(_flag(percent)), "key long, i int, j int, block int, id long, comp long, band int").select("key", "id", "comp", "band").distinct())
     sizes = flagged.join(sets.select("id", "n"), "id").groupBy("key").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_VALUES)).cast("int").alias("blocks"))
     rows = flagged.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    grouped = spread(rows).join(sets, "id").select("key", "i", "j", "block", "id", "comp", "band", "n", "regs", "set")
-    return grouped.groupBy("key", "i", "j").applyInArrow(_verify_block(percent), "a long, b long")
+    members = spread(rows).join(sets, "id").select("key", "i", "j", "block", "id", "comp", "band", "n", "regs", "set")
+    return members.groupBy("key", "i", "j").applyInArrow(grouped(_verify_block(percent)), "a long, b long")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnwright.llm import shingles as S
-from turnwright.llm.common import cut, map_arrow
+from turnwright.llm.common import cut, in_arrow, map_arrow
 
 CHARS = {
     "upper": [*range(65, 91)],
@@ -154,7 +154,7 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(labelled: DataFrame) -> Discriminant:
     """The classifier of rows (y, x): class moments are summed in every partition; the driver gets 2 (D + 1)^2 sums."""
-    sums = labelled.mapInArrow(_moments, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    sums = in_arrow(labelled, _moments, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
     total = np.zeros(2 * (D + 1) ** 2)
     for row in sums:
         total[row.i] = row.v
@@ -208,4 +208,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col
                 good = model.score(statistics(data, offsets)) >= threshold
                 yield batch.slice(first, len(good)).filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)

@@ -1,7 +1,7 @@
 """Words and word shingles of whole texts as 64-bit hashes, computed with numpy over Arrow text buffers.
 
 A word is a run of bytes outside ``\\x20\\x09-\\x0D`` of the UTF-8 text, A-Z lower-cased. Texts are worked through
-in chunks of about a megabyte, so memory does not follow the batch; a longer text is a chunk of its own.
+in chunks of about half a megabyte, so memory does not follow the batch; a longer text is a chunk of its own.
 A null text counts as empty.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

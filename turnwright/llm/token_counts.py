@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turnwright.llm.common import in_arrow
+
 WORD_MARK = "▁"
 CACHE = 300_000
 
@@ -125,4 +127,4 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"id {kind}, n_words long, n_tokens long, n_unknown long").withColumnRenamed("id", id_col)
+    return in_arrow(picked, run, f"id {kind}, n_words long, n_tokens long, n_unknown long").withColumnRenamed("id", id_col)
