@@ -30,11 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnwright.llm.common import cut, map_arrow, shared_dir
+from turnwright.llm.common import cut, in_arrow, map_arrow, shared_dir
+from turnwright.llm.shingles import LOWER, SPACE
 
 MAGIC, INDEX = b"TKSHARD1", b"TKINDEX1"
 WORD_CACHE = 400_000
 SLICE_BYTES = 4 << 20
+LETTER, MARK = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+MARK[[i for i in range(33, 127) if not LETTER[i]]] = True
 
 
 @lru_cache(maxsize=2)
@@ -60,16 +64,16 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {}
+        self.at: dict[bytes, int] = {}
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
         self.flat = np.zeros(1 << 18, np.int32)
         self.used = 0
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         for lo in range(0, len(words), 20_000):
             part = words[lo : lo + 20_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
+            ids = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             new = np.fromiter((x for row in ids for x in row), np.int32, int(sizes.sum()))
             n = len(self.at)
@@ -86,28 +90,53 @@ class WordEncoder:
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with end_id after each, where each text's ids begin with the end)."""
         texts = texts.fill_null("").cast(pa.large_string())
-        if not pc.any(pc.match_substring(texts, "<|")).as_py():
-            texts = pc.ascii_lower(texts)  # the tokenizer lower-cases; special tokens only occur beside "<|"
-        split = pc.ascii_split_whitespace(texts)
-        coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self.at) + len(words) > WORD_CACHE:
-            self.clear()
-        self._learn([w for w in words if w not in self.at])
-        where = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        n = len(texts)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        where, begins = self._lookup(data, offsets)
         lengths = self.lengths[where]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         out = self.flat[np.arange(total) + np.repeat(self.starts[where] - (ends - lengths), lengths)]
-        bounds = np.concatenate(([0], ends))[np.asarray(split.offsets) - split.offsets[0].as_py()]
-        n = len(texts)
-        begin = bounds + np.arange(n + 1)
+        begin = np.concatenate(([0], ends))[begins] + np.arange(n + 1)
         ids = np.full(total + n, end_id, np.int64)
         keep = np.ones(total + n, bool)
         keep[begin[1:] - 1] = False
         ids[keep] = out
         return ids, begin
 
+    def _lookup(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(entry of each word, where each text's words begin with the end).
+
+        Words end at ASCII white space, and after an ASCII letter where an ASCII digit or mark follows: there a run of
+        letters ends for the tokenizer as well. Where "<|" occurs, words are left whole for special tokens' sake.
+        """
+        if not len(data):
+            return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+        solid = ~SPACE[data]
+        first = solid.copy()
+        first[1:] &= ~solid[:-1]
+        if not ((data[:-1] == 0x3C) & (data[1:] == 0x7C)).any():
+            data = LOWER[data]  # the tokenizer lower-cases
+            first[1:] |= LETTER[data[:-1]] & MARK[data[1:]]
+        inner = offsets[1:-1]
+        inner = inner[inner < len(data)]
+        first[inner] = solid[inner]
+        starts = np.flatnonzero(first)
+        begins = np.searchsorted(starts, offsets)
+        if not len(starts):
+            return np.zeros(0, np.int64), begins
+        sizes = np.add.reduceat(solid.astype(np.int64), starts)
+        bounds = np.concatenate(([0], np.cumsum(sizes)))
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[solid])])
+        coded = words.dictionary_encode()
+        known = coded.dictionary.to_pylist()
+        if len(self.at) + len(known) > WORD_CACHE:
+            self.clear()
+        self._learn([w for w in known if w not in self.at])
+        return np.fromiter(map(self.at.__getitem__, known), np.int64, len(known))[coded.indices.to_numpy()], begins
+
 
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about SLICE_BYTES of text."""
@@ -125,8 +154,12 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, sample: int, size: in
     Empty if there is too little to train on."""
     import zstandard
 
-    picked = docs.select(F.substring("text", 1, 4000).alias("text"), F.xxhash64("id").alias("h")).where("text is not null and text <> ''").orderBy("h", "text").limit(sample)
-    texts = [r.text for r in picked.collect()]
+    hashed = docs.select("id", F.xxhash64("id").alias("h"))
+    last = hashed.orderBy("h").limit(sample).agg(F.max("h")).first()[0]  # reads ids alone
+    if last is None:
+        return b""
+    picked = docs.where(F.xxhash64("id") <= last).select(F.substring("text", 1, 4000).alias("text"), F.xxhash64("id").alias("h")).where("text <> ''")
+    texts = [r.text for r in picked.orderBy("h", "text").limit(sample).collect()]
     if len(texts) < 16:
         return b""
     encoder = WordEncoder(tokenizer_path)
@@ -242,7 +275,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = base.repartitionByRange(parts, F.col("id"), F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"))
-    manifest = cut(ordered.mapInArrow(write, "shard int, uri string, n_docs long, n_tokens long"))
+    manifest = cut(in_arrow(ordered, write, "shard int, uri string, n_docs long, n_tokens long"))
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return manifest.withColumn("start", before), dictionary_uri
 
