@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from turnwright.llm.common import cut, table
+from turnwright.llm.common import cut, table, vocabulary
 from turnwright.llm.decontaminate import without_leaks
 from turnwright.llm.mixing import mixed_documents
 from turnwright.llm.near_dedup import near_duplicates
@@ -37,7 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in binary files; a row for each document from reading them back."""
-    return token_files(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files(docs, vocabulary("word_bpe_49k.json"), end_id=1)
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix", mix), ("tokens", tokens)]

@@ -230,11 +230,12 @@ def test_near_duplicates_equal_brute_force(spark):
             rows.append((1000 * (g + 1) + c, "  ".join(w)))
     rng.shuffle(rows)
     docs = spark.createDataFrame([(i, t, 0, "b") for i, t in rows], "doc_id long, text string, key long, bands string")
-    want = brute_components(rows, 3, 85)
-    found = near_dedup.near_duplicates(docs).collect()
-    assert len(found) == len(rows)
-    for r in found:
-        assert (r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.doc_id is None or r.doc_id == r.component_id)
+    for k, percent in ((3, 85), (5, 80)):
+        want = brute_components(rows, k, percent)
+        found = near_dedup.near_duplicates(docs, words=k, percent=percent).collect()
+        assert len(found) == len(rows)
+        for r in found:
+            assert (r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.doc_id is None or r.doc_id == r.component_id)
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
@@ -431,6 +432,7 @@ def test_page_blocks():
     page = '<html><head><title>t</title><style>p>a{}</style><script>"</p>"</script></head><body><nav>menu</nav><header>top</header><div class="with-sidebar"><article><h1>H</h1><p>one<!-- no --> <i>two</i></p><div class="ad">buy</div><aside>side</aside><ul><li>l1<li>l2</ul><form>f</form><section id="comments"><p>nice</p></section></article></div><footer>foot</footer>'
     assert text(page) == "H\n\none two\n\nl1\n\nl2"
     assert text("<body><div role=navigation>m</div><main><p>kept <a title='a>b'>link</a></p></main><p>not</p>") == "kept link"
+    assert text('<div class="layout with-sidebar"><div class="sidebar">s</div><div>the story of it all</div></div>') == "the story of it all"
     assert text("<p>unclosed <b>bold<p>next <a href='x>y</p>") .startswith("unclosed bold\n\nnext")
 
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from turnwright.llm import chat_format, mixing
 from turnwright.llm.chat_format import rotate_perspectives
-from turnwright.llm.common import table
+from turnwright.llm.common import table, vocabulary
 from turnwright.llm.decontaminate import find_leaks
 from turnwright.llm.embedding_dedup import near_vectors
 from turnwright.llm.html_text import page_texts
@@ -20,11 +19,11 @@ from turnwright.llm.token_files import token_files
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
 
 
 def op3_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:

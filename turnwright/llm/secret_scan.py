@@ -63,7 +63,7 @@ def hot_range(hit: Column, alphabet: str, least: float, window: int = WINDOW) ->
     A window counts once ``window`` characters in a row are of the class; a character outside it starts anew.
     """
     size = len(alphabet)
-    chars = F.transform(F.sequence(F.lit(1), F.length(hit)), lambda i: F.instr(F.lit(alphabet), F.substring(hit, i, F.lit(1))) - 1)
+    chars = F.transform(F.filter(F.split(hit, ""), lambda c: c != ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
     zero = F.array_repeat(F.lit(0), size)
     start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("run"), zero.alias("n"), F.lit(0.0).alias("s"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
 
