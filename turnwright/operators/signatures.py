@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnwright.functions.text import URL, squeeze
 
@@ -21,6 +24,7 @@ class MiningRule:
 
 LONG, SHORT = MiningRule(25, 5), MiningRule(15, 30)
 STEPS = 30
+BROADCAST = 100_000
 
 
 def windows(body: Column, size: int) -> Column:
@@ -56,17 +60,46 @@ def mine(turns: DataFrame, keep: Sequence[str] = (), rules: tuple[MiningRule, ..
 def longest_match(turns: DataFrame, signatures: DataFrame, key: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(key, sig): the longest signature within each message, the first in code-point order among equals.
 
-    Signatures have few lengths, so this is an equi-join on the messages' windows of these lengths rather than a
-    search for each signature in each message; where the signatures are small the join needs no shuffle of windows.
+    Signatures have few lengths, so a message's windows of these lengths are looked up rather than each signature
+    searched for in each message. Up to BROADCAST signatures (their number is counted; a few megabytes) go to the
+    messages as sets; beyond that windows are joined to the signatures by equality. ``keep`` must be part of ``key``.
     """
-    body = squeeze(F.col("content"))
+    signatures = signatures.select(*keep, "sig", "sig_len").persist()
+    bodies = turns.select(*key, squeeze(F.col("content")).alias("body"))
+    if signatures.limit(BROADCAST + 1).count() <= BROADCAST:
+        return _looked_up(bodies, signatures.collect(), key, keep)
     every = F.flatten(F.array(*(_all_windows(F.col("body"), rule.size) for rule in (LONG, SHORT))))
-    held = turns.select(*key, body.alias("body")).select(*key, F.explode(F.array_distinct(every)).alias("sig"))
-    joined = held.join(signatures.select(*keep, "sig", "sig_len"), [*keep, "sig"])
-    best = joined.groupBy(*key).agg(F.min(F.struct((-F.col("sig_len")).alias("n"), "sig")).alias("_b"))
+    held = bodies.select(*key, F.explode(every).alias("sig"))
+    best = held.join(signatures, [*keep, "sig"]).groupBy(*key).agg(F.min(F.struct((-F.col("sig_len")).alias("n"), "sig")).alias("_b"))
     return best.select(*key, F.col("_b.sig").alias("sig"))
 
 
+def _looked_up(bodies: DataFrame, signatures: list, key: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The same with the signatures at hand: Python's string slices and sets, in Arrow batches, longest size first."""
+    known: dict[tuple, dict[int, set[str]]] = {}
+    for row in signatures:
+        known.setdefault(tuple(row[k] for k in keep), {}).setdefault(row["sig_len"], set()).add(row["sig"])
+    at = [list(key).index(k) for k in keep]
+
+    def find(body: str | None, sizes: dict[int, set[str]]) -> str | None:
+        for size in sorted(sizes, reverse=True):
+            held = sizes[size]
+            hits = [w for i in range(len(body or "") - size + 1) if (w := body[i : i + size]) in held]
+            if hits:
+                return min(hits)
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups = zip(*(batch.column(i).to_pylist() for i in at), strict=True) if at else itertools.repeat((), batch.num_rows)
+            found = pa.array([find(b, known.get(g, {})) for b, g in zip(batch.column(len(key)).to_pylist(), groups, strict=True)], pa.string())
+            keys = [batch.column(i) for i in range(len(key))]
+            yield pa.RecordBatch.from_arrays([*keys, found], [*key, "sig"]).filter(found.is_valid())
+
+    schema = T.StructType([*(bodies.schema[k] for k in key), T.StructField("sig", T.StringType())])
+    return bodies.mapInArrow(run, schema)
+
+
 def _all_windows(body: Column, size: int, block: int = 256) -> Column:
     """array<string> of all windows of a text, or the text itself if it is shorter.
 
