@@ -268,6 +268,27 @@ def test_estimate_is_close():
 # --- 6 ---
 
 
+def brute_links(v, least=0.95):
+    """Links of each vector, and the smallest index that it is connected with."""
+    f = v / np.linalg.norm(v, axis=1, keepdims=True)
+    up = list(range(len(f)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    links = np.zeros(len(f), np.int64)
+    for lo in range(0, len(f), 1000):
+        a, b = np.nonzero(f[lo : lo + 1000] @ f.T >= least)
+        a, b = a[a + lo != b] + lo, b[a + lo != b]
+        np.add.at(links, a, 1)
+        for x, y in zip(a[a < b].tolist(), b[a < b].tolist(), strict=True):
+            x, y = sorted((find(x), find(y)))
+            up[y] = x
+    return links, [find(x) for x in range(len(f))]
+
+
 def test_near_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(9)
     v = rng.normal(size=(700, 16))
@@ -288,6 +309,27 @@ def test_near_vectors_equal_brute_force(spark):
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def planted_pairs(n=6000, pairs=100, rank=12, cos=0.952):
+    """Vectors of several cells in few directions, with planted pairs whose displacements lie in those directions."""
+    rng = np.random.default_rng(2)
+    z = embedding_dedup.unit(rng.normal(size=(n, rank)))
+    d = rng.normal(size=(pairs, rank))
+    d = embedding_dedup.unit(d - (d * z[:pairs]).sum(1, keepdims=True) * z[:pairs])
+    z[n - pairs :] = cos * z[:pairs] + np.sqrt(1 - cos**2) * d
+    return z @ np.linalg.qr(rng.normal(size=(64, rank)))[0].T
+
+
+def near(spark, v):
+    rows = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in embedding_dedup.near_vectors(rows).collect()}
+    return [found[i] for i in range(len(v))]
+
+
+def test_links_across_cells_in_few_directions_are_found(spark):
+    v = planted_pairs()
+    assert [r.component_id for r in near(spark, v)] == brute_links(v)[1]
+
+
 def test_every_node_can_be_reached():
     rng = np.random.default_rng(10)
     v = embedding_dedup.unit(np.concatenate([rng.normal(size=(1, 8)) + rng.normal(size=(60, 8)) * 0.01 for _ in range(6)]))

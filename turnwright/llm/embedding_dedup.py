@@ -1,35 +1,34 @@
-"""Near-duplicate vectors by a robust-pruned flat graph (operator 6).
+"""Near-duplicate vectors by an exhaustive search of the cells that the link radius allows (operator 6).
 
-Vectors are clustered and each goes to its own cell and to the next one, so shards overlap. Every shard builds a flat
-graph: for each vector the nearest others and some random ones, robust-pruned so that edges point in diverse
-directions. The adjacency lists of all shards are united by vector. Searches start at a shard's medoid, go greedily to
-the query's neighbourhood, and then expand everything within the range; what is found is verified in double precision.
+Vectors are clustered into cells; small cells are packed into blocks, large ones are dealt out to several by hash. Two
+linked vectors of different cells lie on either side of the plane between the cells, at distances that add up to no
+more than the link radius: so a vector goes to the blocks with a cell whose plane is within the link radius, and a pair
+is tested unless its two distances exceed it. Neither drops a link.
 
-A query visits its own cell and every cell whose bounding plane is within SPREAD standard deviations of where a vector
-at the link radius lies, if its displacement has no preferred direction. Cells beyond the shard size are dealt out to
-several shards by hash, and a query visits all of them. Recall is audited against brute force for a bounded sample of
-queries; below the floor the search is done again wider.
+A task holds two blocks (or one) and tests each of their pairs once, in single precision with a bound on its error; what
+is too near the threshold to tell is decided in double precision. A link counts for both of its ends. The graph below
+isn't searched: in a shard of some thousand rows a search that finds nearly all links computes as many similarities.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnwright.llm.common import connected_components, cut, map_arrow
+from turnwright.llm.common import connected_components, cut, grouped, map_arrow
 
-#: Members of a shard and queries of a block, on average.
-SHARD, BLOCK = 1000, 2000
-#: Rows that centroids are fitted on, and centroids at most; larger cells are dealt out by hash.
+#: Rows of a cell, on average.
+SHARD = 1000
+#: Rows that centroids are fitted on, and centroids at most.
 FIT_ROWS, CELLS = 8192, 1024
+#: Rows of a block at least and at most, bytes of a block at most, blocks wanted if that allows it.
+BLOCK_LEAST, BLOCK, BLOCK_BYTES, BLOCKS = 2000, 8000, 16 << 20, 6
 DEGREE, NEAREST, RANDOM = 20, 32, 32
 ALPHA = 1.2
-SPREAD = 1.5
 AUDIT = 256
 
 
@@ -115,147 +114,149 @@ def medoid(vectors: np.ndarray) -> int:
     return int((vectors @ vectors.mean(0)).argmax())
 
 
-def search(vectors: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, least: float, effort: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) pairs that a greedy search from the medoid with range expansion meets near the range.
+def block_rows(rows: int, width: int) -> int:
+    """Rows of a block for so many vectors of ``width`` bytes."""
+    return max(1, min(max(BLOCK_LEAST, min(BLOCK, -(-rows // BLOCKS))), BLOCK_BYTES // max(1, width)))
 
-    ``adjacency`` is padded with -1. Each query expands the best node met, at least ``effort`` times, and then, level
-    by level, every node met whose similarity is within a little of the range.
-    """
-    n, q = len(vectors), len(queries)
-    v, w = vectors.astype(np.float32), queries.astype(np.float32)
-    met = np.full((q, n), -2, np.float32)
-    done = np.zeros((q, n), bool)
-    root = medoid(vectors)
-    met[:, root] = w @ v[root]
-    rows = np.arange(q)
-    open_ = met.copy()
-    for _ in range(min(effort, n)):
-        best = open_[rows].argmax(1)
-        alive = open_[rows, best] > -2
-        rows, best = rows[alive], best[alive]
-        if not len(rows):
-            break
-        done[rows, best] = True
-        open_[rows, best] = -2
-        nbr = adjacency[best]
-        new = (nbr >= 0) & (met[rows[:, None], nbr] == -2)
-        i, j = np.nonzero(new)
-        r, t = rows[i], nbr[i, j]
-        s = np.einsum("ij,ij->i", w[r], v[t])
-        met[r, t] = s
-        open_[r, t] = s
-    del open_
-    while True:
-        r, t = np.nonzero((met >= least - 0.03) & ~done)
-        if not len(r):
-            break
-        for lo in range(0, len(r), 50_000):
-            a, b = r[lo : lo + 50_000], t[lo : lo + 50_000]
-            done[a, b] = True
-            nbr = adjacency[b]
-            i, j = np.nonzero((nbr >= 0) & (met[a[:, None], nbr] == -2))
-            flat = np.unique(a[i] * n + nbr[i, j])
-            a, b = flat // n, flat % n
-            for at in range(0, len(a), 100_000):
-                x, y = a[at : at + 100_000], b[at : at + 100_000]
-                met[x, y] = np.einsum("ij,ij->i", w[x], v[y])
-    return np.nonzero(met >= least - 1e-3)
-
-
-def _build(kind: str):
-    def work(key: tuple, rows: pa.Table) -> pa.Table:
-        ids = rows["cid"].to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        graph = build_graph(unit(_stack(rows["vec"].take(pa.array(order)), kind)), zlib.crc32(key[0].as_py().encode()))
-        sizes = np.array([len(x) for x in graph])
-        flat = ids[np.concatenate(graph)] if sizes.sum() else np.zeros(0, np.int64)
-        return pa.table({"cid": pa.array(ids), "nbrs": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(flat, pa.int64()))})
+
+def pack(cells: np.ndarray, sizes: np.ndarray, most: int) -> tuple[np.ndarray, list[int]]:
+    """(block of each cell, parts of each block): near cells together up to ``most`` rows; a larger one is parted."""
+    block, parts = np.full(len(cells), -1), []
+    for first in range(len(cells)):
+        if block[first] < 0:
+            block[first] = len(parts)
+            room = most - sizes[first]
+            for c in np.argsort(-(cells @ cells[first]), kind="stable"):
+                if block[c] < 0 and sizes[c] <= room:
+                    block[c] = len(parts)
+                    room -= sizes[c]
+            parts.append(max(1, -(-int(sizes[first]) // most)))
+    return block, parts
+
+
+def _rows(column: pa.Array, kind: str, dim: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Vectors as float64, and which of them have the length of the centroids."""
+    rows = [np.frombuffer(x.as_buffer(), kind).astype(np.float64) for x in column]
+    return rows, np.array([len(r) == dim for r in rows], bool)
+
+
+def _sizes(cells: np.ndarray, kind: str):
+    """Rows of each cell; those of other lengths aren't counted."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, inside = _rows(batch.column(0), kind, cells.shape[1])
+        own = (unit(np.stack([r for r, ok in zip(rows, inside, strict=True) if ok])) @ cells.T).argmax(1) if inside.any() else np.zeros(0, np.int64)
+        cell, n = np.unique(own, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(n, pa.int64())], ["cell", "n"])
 
     return work
 
 
-def _search(least: float, effort: int, kind: str):
-    def work(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[tuple[int, int | None, int]] = []
-        if left.num_rows and right.num_rows:
-            left = left.take(pa.array(np.argsort(left["cid"].to_numpy(), kind="stable")))
-            ids, home, mult = (left[c].to_numpy() for c in ("cid", "home", "mult"))
-            raw = _stack(left["vec"], kind)
-            where = dict(zip(ids.tolist(), range(len(ids)), strict=True))
-            lists = [[where[x] for x in row if x in where] for row in left["nbrs"].to_pylist()]
-            width = max(1, max(map(len, lists)))
-            adjacency = np.full((len(ids), width), -1)
-            for i, row in enumerate(lists):
-                adjacency[i, : len(row)] = row
-            q_ids, q_raw = right["q_cid"].to_numpy(), _stack(right["q_vec"], kind)
-            v, w = unit(raw), unit(q_raw)
-            a, b = search(v, adjacency, w, least, effort)
-            ok = home[b] & (q_ids[a] != ids[b])
-            a, b = a[ok], b[ok]
-            exact = np.empty(len(a))
-            for lo in range(0, len(a), 100_000):
-                exact[lo : lo + 100_000] = np.einsum("ij,ij->i", w[a[lo : lo + 100_000]], v[b[lo : lo + 100_000]])
-            a, b = a[exact >= least], b[exact >= least]
-            total = np.zeros(len(q_ids), np.int64)
-            np.add.at(total, a, mult[b])
-            found = [(int(q_ids[i]), None, int(total[i])) for i in np.flatnonzero(total)]
-            found += [(x, y, 0) for x, y in _forest(q_ids, ids, a, b)]
-        return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64()), "n": pa.array([x[2] for x in found], pa.int64())})
+def _place(cells: np.ndarray, block: np.ndarray, parts: list[int], others: dict[int, int], limit: float, kind: str):
+    """Cell, block and all blocks within reach of each class; ``others`` has the blocks of other lengths."""
+    gaps = np.linalg.norm(cells[:, None] - cells[None], axis=2)
+    first = np.concatenate(([0], np.cumsum(parts)))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, inside = _rows(batch.column(1), kind, cells.shape[1])
+        ids = batch.column(0).to_numpy()
+        mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+        cell = np.full(len(rows), -1)
+        group = np.array([-1 if ok else others[len(r)] for r, ok in zip(rows, inside, strict=True)])
+        reach: list[set[int]] = [{g} for g in group.tolist()]
+        if inside.any():
+            sims = unit(np.stack([r for r, ok in zip(rows, inside, strict=True) if ok])) @ cells.T
+            at = np.arange(len(sims))
+            best = sims.argmax(1)
+            gap = np.where(gaps[best] > 0, gaps[best], np.inf)
+            # distance to the plane between the own cell and each other one
+            near = (sims[at, best][:, None] - sims) / gap <= limit
+            cell[inside], group[inside] = best, block[best]
+            for i, row in zip(np.flatnonzero(inside), near, strict=True):
+                reach[i] = set(block[row].tolist()) | {int(group[i])}
+        own = first[group] + (mixed % np.array(parts, np.uint64)[group]).astype(np.int64)
+        met = [[x for g in sorted(r) for x in range(first[g], first[g + 1])] for r in reach]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(cell, pa.int32()), pa.array(own, pa.int32()), pa.array(met, pa.list_(pa.int32()))], ["cid", "vec", "mult", "cell", "block", "met"])
 
     return work
 
 
-def _forest(q_ids: np.ndarray, ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that connect what the links (a[i], b[i]) connect."""
-    label = np.arange(len(ids))
+def linked(v: np.ndarray, single: np.ndarray, x: np.ndarray, y: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows x and rows y of the unit vectors v whose cosine is at least ``least`` in double precision."""
+    sims = single[x] @ single[y].T
+    slack = (v.shape[1] + 8) * 1.2e-7  # more than the error of single precision
+    a, b = np.nonzero(sims >= least - slack)
+    fine = sims[a, b] >= least + slack
+    a, b = x[a], y[b]
+    doubt = np.flatnonzero(~fine)
+    for lo in range(0, len(doubt), 50_000):
+        d = doubt[lo : lo + 50_000]
+        fine[d] = np.einsum("ij,ij->i", v[a[d]], v[b[d]]) >= least
+    return a[fine], b[fine]
+
+
+def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Those of the links (a[i], b[i]) that connect what isn't yet; equal labels are connected."""
     out: list[tuple[int, int]] = []
+    new = label[a] != label[b]
+    a, b = a[new], b[new]
     if not len(a):
         return out
-    order = np.argsort(a, kind="stable")
-    a, b = a[order], b[order]
     edges = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
     for lo, hi in zip(edges, [*edges[1:], len(a)], strict=True):
-        targets = b[lo:hi]
-        groups, first = np.unique(label[targets], return_index=True)
-        out += [(int(q_ids[a[lo]]), int(ids[targets[f]])) for f in first]
-        if len(groups) > 1:
-            label[np.isin(label, groups)] = groups[0]
+        groups, first = np.unique(label[b[lo:hi]], return_index=True)
+        mine = label[a[lo]]
+        out += [(int(a[lo]), int(b[lo + f])) for g, f in zip(groups, first, strict=True) if g != mine]
+        label[np.isin(label, groups)] = mine
     return out
 
 
-def _assign(cells: np.ndarray, limit: float, kind: str):
-    """Own cell, next cell and all cells within reach of each class."""
-    gaps = np.linalg.norm(cells[:, None] - cells[None], axis=2) if len(cells) else np.zeros((0, 0))
-    dim = cells.shape[1] if len(cells) else -1
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own, other, reach = [], [], []
-        rows = [np.frombuffer(x.as_buffer(), kind).astype(np.float64) for x in batch.column(1)]
-        inside = np.array([len(r) == dim for r in rows])
-        if inside.any():
-            v = unit(np.stack([r for r, ok in zip(rows, inside, strict=True) if ok]))
-            sims = v @ cells.T
-            best = sims.argmax(1)
-            gap = np.where(gaps[best] > 0, gaps[best], np.inf)
-            # distance to the plane between the own cell and each other one
-            near = (sims[np.arange(len(v)), best][:, None] - sims) / gap <= limit
-            near[np.arange(len(v)), best] = True
-            masked = sims.copy()
-            masked[np.arange(len(v)), best] = -2
-            second = masked.argmax(1)
-        at = 0
-        for r, ok in zip(rows, inside, strict=True):
-            if ok:
-                own.append(f"c{best[at]}")
-                other.append(f"c{second[at]}" if len(cells) > 1 else None)
-                reach.append([f"c{c}" for c in np.flatnonzero(near[at])])
-                at += 1
-            else:
-                own.append(f"d{len(r)}")
-                other.append(None)
-                reach.append([f"d{len(r)}"])
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(own), pa.array(other, pa.string()), pa.array(reach, pa.list_(pa.string()))], ["cid", "vec", "mult", "own", "other", "reach"])
+def _tile(cells: np.ndarray, least: float, limit: float, kind: str):
+    """All links between two blocks, or within one: n for both ends, and edges that connect the linked classes."""
+
+    def work(rows: pa.Table) -> pa.Table:
+        low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
+        cell, block, ids, mult = (rows[c].to_numpy() for c in ("cell", "block", "cid", "mult"))
+        order = np.lexsort((ids, cell, block))
+        cell, block, ids, mult = cell[order], block[order], ids[order], mult[order]
+        v = unit(_stack(rows["vec"].take(pa.array(order)), kind))
+        single = v.astype(np.float32)
+        runs = np.flatnonzero(np.concatenate(([True], (cell[1:] != cell[:-1]) | (block[1:] != block[:-1]))))
+        runs = [np.arange(lo, hi) for lo, hi in zip(runs, [*runs[1:], len(ids)], strict=True)]
+        total, label, edges = np.zeros(len(ids), np.int64), np.arange(len(ids)), []
+        for i, one in enumerate(runs):
+            for two in runs[i:]:
+                if low != high and block[one[0]] == block[two[0]]:
+                    continue  # done with the block's own task
+                far, gap = None, np.linalg.norm(cells[cell[one[0]]] - cells[cell[two[0]]]) if cell[one[0]] >= 0 else 0
+                x, y = one, two
+                if gap > 0:
+                    axis = (cells[cell[one[0]]] - cells[cell[two[0]]]) / gap
+                    near, far = v[one] @ axis, -(v[two] @ axis)
+                    x, near = one[near.argsort(kind="stable")], np.sort(near)
+                step = max(1, (1 << 20) // len(two))
+                for lo in range(0, len(x), step):
+                    some = x[lo : lo + step]
+                    if far is not None:
+                        y = two[far <= limit - near[lo]]
+                        if not len(y):
+                            break
+                    elif one is two:
+                        y = two[lo + 1 :]  # the pairs before were the others' turn
+                    a, b = linked(v, single, some, y, least)
+                    if one is two:
+                        a, b = a[a < b], b[a < b]
+                    if len(a):
+                        np.add.at(total, a, mult[b])
+                        np.add.at(total, b, mult[a])
+                        edges += _join(label, a, b)
+        met = np.flatnonzero(total)
+        ends = np.array(edges, np.int64).reshape(-1, 2)
+        return pa.table({
+            "a": pa.array(np.concatenate((ids[met], ids[ends[:, 0]])), pa.int64()),
+            "b": pa.array(np.concatenate((np.zeros(len(met), np.int64), ids[ends[:, 1]])), pa.int64(), mask=np.arange(len(met) + len(ends)) < len(met)),
+            "n": pa.array(np.concatenate((total[met], np.zeros(len(ends), np.int64))), pa.int64()),
+        })
 
     return work
 
@@ -303,20 +304,25 @@ def vector_classes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataF
     return member, cut(map_arrow(classes, "cid long, vec binary, mult long", pack)), kind
 
 
-def _links(placed: DataFrame, least: float, effort: int, kind: str) -> DataFrame:
+def _links(classes: DataFrame, least: float, kind: str) -> DataFrame:
     """Rows (a, null, n): n vectors linked with class a; and rows (a, b, 0): edges that connect the linked classes."""
-    both = placed.select("cid", "vec", "mult", F.explode(F.array(F.struct(F.col("own").alias("cell"), F.lit(True).alias("home")), F.struct(F.col("other").alias("cell"), F.lit(False).alias("home")))).alias("x")).select("cid", "vec", "mult", "x.*").where("cell is not null")
-    parts = both.groupBy("cell").agg(F.ceil(F.count("*") / (2 * SHARD)).cast("int").alias("parts"))
-    dealt = both.join(parts, "cell").withColumn("shard", F.concat_ws("/", "cell", F.pmod(F.xxhash64("cid"), "parts").cast("string"))).drop("parts")
-    members = cut(dealt.select("shard", "cid", "vec", "mult", "home"))
-    built = members.select("shard", "cid", "vec").groupBy("shard").applyInArrow(_build(kind), "cid long, nbrs array<long>")
-    united = built.groupBy("cid").agg(F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs"))
-    asked = placed.select("cid", "vec", F.explode("reach").alias("cell")).join(parts, "cell")
-    asked = asked.select("cid", "vec", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.concat_ws("/", "cell", i.cast("string")))).alias("shard"))
-    blocks = asked.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    right = asked.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int")).select(F.col("shard").alias("q_shard"), F.col("block").alias("q_block"), F.col("cid").alias("q_cid"), F.col("vec").alias("q_vec"))
-    left = members.join(united, "cid").join(blocks, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("shard", "block", "cid", "vec", "mult", "home", "nbrs")
-    return cut(left.groupBy("shard", "block").cogroup(right.groupBy("q_shard", "q_block")).applyInArrow(_search(least, effort, kind), "a long, b long, n long"))
+    width = np.dtype(kind).itemsize
+    lengths = {r["size"]: r["count"] for r in classes.groupBy(F.octet_length("vec").alias("size")).count().collect()}
+    common = max(lengths, key=lambda x: (lengths[x], -x), default=0)
+    cells = np.zeros((1, 0))
+    if common:
+        sample = classes.where(F.octet_length("vec") == common).select("vec", F.xxhash64("cid").alias("h")).orderBy("h").limit(FIT_ROWS).collect()
+        cells = centroids(unit(np.stack([np.frombuffer(r.vec, kind).astype(np.float64) for r in sample])), min(CELLS, -(-lengths[common] // SHARD)))
+    sizes = np.zeros(len(cells), np.int64)
+    for r in map_arrow(classes.select("vec"), "cell long, n long", _sizes(cells, kind)).groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        sizes[r.cell] = r.n
+    block, parts = pack(cells, sizes, block_rows(lengths.get(common, 0), common))
+    others = {size // width: len(parts) + i for i, size in enumerate(sorted(lengths.keys() - {common}))}
+    parts += [-(-lengths[size] // block_rows(lengths[size], size)) for size in sorted(lengths.keys() - {common})]
+    limit = math.sqrt(max(0.0, 2 - 2 * least)) + 1e-9
+    placed = map_arrow(classes, "cid long, vec binary, mult long, cell int, block int, met array<int>", _place(cells, block, parts, others, limit, kind))
+    dealt = placed.select("cid", "vec", "mult", "cell", "block", F.explode("met").alias("other")).select(F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "vec", "mult", "cell", "block")
+    return cut(dealt.groupBy("low", "high").applyInArrow(grouped(_tile(cells, least, limit, kind)), "a long, b long, n long"))
 
 
 def audit(classes: DataFrame, counts: DataFrame, least: float, kind: str, sample: int = AUDIT) -> float:
@@ -328,7 +334,7 @@ def audit(classes: DataFrame, counts: DataFrame, least: float, kind: str, sample
     return found / truth if truth else 1.0
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.95, effort: int = 24, floor: float = 0.97, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.95, floor: float = 0.97, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept) for each row: links are pairs of cosine >= least in double precision.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and vectors of
@@ -338,21 +344,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, effort: int = 24, floo
     """
     spark = vectors.sparkSession
     member, classes, kind = vector_classes(vectors, id_col, vec_col)
-    common = classes.groupBy(F.octet_length("vec").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    cells = np.zeros((0, 0))
-    if common:
-        sample = classes.where(F.octet_length("vec") == common["size"]).select("vec", F.xxhash64("cid").alias("h")).orderBy("h").limit(FIT_ROWS).collect()
-        cells = centroids(unit(np.stack([np.frombuffer(r.vec, kind).astype(np.float64) for r in sample])), min(CELLS, -(-common["count"] // SHARD)))
-    shift = math.sqrt(max(0.0, 1 / least**2 - 1) / max(1, cells.shape[1]))
-    spread = SPREAD
-    for _ in range(3):
-        placed = cut(map_arrow(classes, "cid long, vec binary, mult long, own string, other string, reach array<string>", _assign(cells, spread * shift, kind)))
-        links = _links(placed, least, effort, kind)
-        counts = links.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))
-        if audit(classes, counts, least, kind) >= floor:
-            break
-        effort, spread = effort * 3, spread * 2
-    else:
+    links = _links(classes, least, kind)
+    counts = links.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))
+    if audit(classes, counts, least, kind) < floor:
         spark.sparkContext._jvm.org.slf4j.LoggerFactory.getLogger("turnwright").warn("recall stays below the floor")
     reach = connected_components(links.where("b is not null").select("a", "b")).withColumnRenamed("id", "cid")
     out = member.join(counts, "cid", "left").join(reach, "cid", "left")
