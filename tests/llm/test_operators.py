@@ -330,6 +330,16 @@ def test_links_across_cells_in_few_directions_are_found(spark):
     assert [r.component_id for r in near(spark, v)] == brute_links(v)[1]
 
 
+def test_a_large_group_hides_no_missed_links(spark):
+    rng = np.random.default_rng(13)
+    v = planted_pairs()
+    v = np.concatenate((v, v[3000] + 0.003 * rng.normal(size=(3000, 64))))
+    links, joined = brute_links(v)
+    found = near(spark, v)
+    assert links.max() >= 3000 and (links[:100] > 0).all()
+    assert [r.n_links for r in found] == links.tolist() and [r.component_id for r in found] == joined
+
+
 def test_every_node_can_be_reached():
     rng = np.random.default_rng(10)
     v = embedding_dedup.unit(np.concatenate([rng.normal(size=(1, 8)) + rng.normal(size=(60, 8)) * 0.01 for _ in range(6)]))

@@ -29,7 +29,6 @@ FIT_ROWS, CELLS = 8192, 1024
 BLOCK_LEAST, BLOCK, BLOCK_BYTES, BLOCKS = 2000, 8000, 16 << 20, 6
 DEGREE, NEAREST, RANDOM = 20, 32, 32
 ALPHA = 1.2
-AUDIT = 256
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -261,26 +260,6 @@ def _tile(cells: np.ndarray, least: float, limit: float, kind: str):
     return work
 
 
-def _brute(queries: list[tuple[int, bytes]], least: float, kind: str):
-    known = [(c, np.frombuffer(x, kind).astype(np.float64)) for c, x in queries]
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        total: dict[int, int] = {}
-        rows = [np.frombuffer(x.as_buffer(), kind).astype(np.float64) for x in batch.column(1)]
-        ids, mult = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-        for size in {len(r) for r in rows}:
-            at = np.array([i for i, r in enumerate(rows) if len(r) == size])
-            own = [(c, r) for c, r in known if len(r) == size]
-            if own:
-                sims = unit(np.stack([x for _, x in own])) @ unit(np.stack([rows[i] for i in at])).T
-                hit = (sims >= least) & (np.array([c for c, _ in own])[:, None] != ids[at][None])
-                for (c, _), n in zip(own, (hit * mult[at]).sum(1), strict=True):
-                    total[c] = total.get(c, 0) + int(n)
-        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["cid", "n"])
-
-    return work
-
-
 def vector_classes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame, str]:
     """(rows with their class id, classes, type of the bytes): equal vectors are one class, named by its smallest id.
 
@@ -325,16 +304,7 @@ def _links(classes: DataFrame, least: float, kind: str) -> DataFrame:
     return cut(dealt.groupBy("low", "high").applyInArrow(grouped(_tile(cells, least, limit, kind)), "a long, b long, n long"))
 
 
-def audit(classes: DataFrame, counts: DataFrame, least: float, kind: str, sample: int = AUDIT) -> float:
-    """Links found over all links, for the ``sample`` classes of smallest hash against all rows by brute force."""
-    chosen = [(r.cid, bytes(r.vec)) for r in classes.select("cid", "vec", F.xxhash64("cid").alias("h")).orderBy("h").limit(sample).collect()]
-    names = [c for c, _ in chosen]
-    truth = map_arrow(classes, "cid long, n long", _brute(chosen, least, kind)).agg(F.sum("n")).first()[0] or 0
-    found = counts.where(F.col("cid").isin(names)).agg(F.sum("n")).first()[0] or 0
-    return found / truth if truth else 1.0
-
-
-def near_vectors(vectors: DataFrame, least: float = 0.95, floor: float = 0.97, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept) for each row: links are pairs of cosine >= least in double precision.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and vectors of
@@ -342,12 +312,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, floor: float = 0.97, i
     repeated whole counts once. A row with a null id links with nothing, has a null component and is kept. Other
     columns are ignored.
     """
-    spark = vectors.sparkSession
     member, classes, kind = vector_classes(vectors, id_col, vec_col)
     links = _links(classes, least, kind)
     counts = links.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))
-    if audit(classes, counts, least, kind) < floor:
-        spark.sparkContext._jvm.org.slf4j.LoggerFactory.getLogger("turnwright").warn("recall stays below the floor")
     reach = connected_components(links.where("b is not null").select("a", "b")).withColumnRenamed("id", "cid")
     out = member.join(counts, "cid", "left").join(reach, "cid", "left")
     component = F.coalesce("component", "cid", "id")
