@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -340,6 +341,14 @@ def test_a_large_group_hides_no_missed_links(spark):
     assert [r.n_links for r in found] == links.tolist() and [r.component_id for r in found] == joined
 
 
+def test_a_link_counts_for_both_ends(spark):
+    v = planted_pairs()
+    found = near(spark, v)
+    size = Counter(r.component_id for r in found)
+    assert [r.vec_id for r in found if (r.n_links == 0) != (size[r.component_id] == 1)] == []
+    assert sum(r.n_links for r in found) == brute_links(v)[0].sum()
+
+
 def test_every_node_can_be_reached():
     rng = np.random.default_rng(10)
     v = embedding_dedup.unit(np.concatenate([rng.normal(size=(1, 8)) + rng.normal(size=(60, 8)) * 0.01 for _ in range(6)]))
