@@ -510,6 +510,13 @@ def test_templates_go(spark):
     assert page_texts(df.limit(0)).count() == 0
 
 
+def test_templates_of_a_part_of_a_large_host_go(spark):
+    page = "<body><div><p>turn %d</p></div><table><tr><td>cell %d</td></tr><tr><td>row %d</td></tr></table><div><p>story %d is told</p></div></body>"
+    rows = [(i, f"https://h.example/{i}", page % (i % 6, i % 6, i, i)) for i in range(360)]
+    found = {r.page_id: r.text for r in page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"cell {i % 6}\n\nrow {i}\n\nstory {i} is told" for i in range(360)}
+
+
 # --- pipeline ---
 
 

@@ -177,6 +177,10 @@ class Page:
                 p = self.parent[i]
                 self.dropped[i] = not self.holds[i] and (self.dropped[p] and not self.holds[p] or self.tag[i] in DROP_TAGS or self._named(i))
 
+    def plain(self, i: int, tags: frozenset[str] = TEXT_BLOCKS) -> bool:
+        """Whether an element is a paragraph or other text block without any mark."""
+        return self.tag[i] in tags and not self.attrs[i].strip()
+
     def template_parts(self) -> Iterator[tuple[int, bool]]:
         """(element, does it matter for the text) for every subtree that a template could have put there.
 
@@ -184,7 +188,7 @@ class Page:
         """
         for i in range(1, len(self.tag)):
             tag = self.tag[i]
-            if tag in FRAME or tag in INLINE or self.holds[i] or self.rooted and tag in TEXT_BLOCKS and not self.attrs[i].strip():
+            if tag in FRAME or tag in INLINE or self.holds[i] or self.rooted and self.plain(i):
                 continue
             yield i, self.content[i] and not self.dropped[i]
 
@@ -228,13 +232,13 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for page_id, url, source in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
                 page, host = parse(source), host_of(url)
                 content = int.from_bytes(hashlib.blake2b(page.text().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
-                seen: dict[int, bool] = {}
+                seen: dict[int, tuple[bool, bool]] = {}
                 for i, matters in page.template_parts():
                     k = page.key(i)
-                    seen[k] = seen.get(k, False) or matters
-                rows += [(page_id, host, k, content, matters) for k, matters in seen.items()]
+                    seen[k] = (k in seen and seen[k][0] or matters, page.plain(i, TEXT_BLOCKS | {"tr"}))
+                rows += [(page_id, host, k, content, matters, plain) for k, (matters, plain) in seen.items()]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_()), strict=True)], ["page_id", "host", "part", "content", "matters"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()), strict=True)], ["page_id", "host", "part", "content", "matters", "plain"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,20 +250,22 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
-def page_texts(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def page_texts(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2, many_pages: int = 50, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) for each row of pages.
 
     A subtree is a template part of its host if it is on at least ``least_pages`` pages of different text and on
-    ``least_share`` of the host's; copies of a page count once. Within an article or main element only containers and
+    ``least_share`` of the host's; copies of a page count once. For containers and marked elements ``many_pages`` are
+    enough, whatever the share: a large host has sections and notices in turn. An unmarked text block, such as a table
+    row, may well recur by itself, and needs the share. A host of fewer than ``least_pages`` has no templates. Within an article or main element only containers and
     marked elements can be template parts, as articles may share passages. A null or empty html has an empty text; a
     null or malformed url has the empty host. Rows with equal ids each have their own row. Other columns are ignored.
     Pages of one host meet only as narrow, partially aggregated counts.
     """
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    parts = cut(in_arrow(base, _parts, "page_id long, host string, part long, content long, matters boolean"))
-    counts = parts.select("host", "part", "content").distinct().groupBy("host", "part").agg(F.count("*").alias("n"))
+    parts = cut(in_arrow(base, _parts, "page_id long, host string, part long, content long, matters boolean, plain boolean"))
+    counts = parts.select("host", "part", "content", "plain").distinct().groupBy("host", "part").agg(F.count("*").alias("n"), F.bool_and("plain").alias("plain"))
     hosts = parts.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("of"))
-    templates = counts.where(F.col("n") >= least_pages).join(hosts, "host").where(F.col("n") >= least_share * F.col("of")).select("host", "part")
+    templates = counts.where(F.col("n") >= least_pages).join(hosts, "host").where((F.col("n") >= least_share * F.col("of")) | ~F.col("plain") & (F.col("n") >= many_pages)).select("host", "part")
     gone = parts.where("matters").join(templates, ["host", "part"]).groupBy("page_id", "host").agg(F.collect_set("part").alias("gone"))
     gone = cut(gone)
     if gone.isEmpty():
