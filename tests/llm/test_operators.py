@@ -483,6 +483,17 @@ def test_secrets(spark):
     assert secret_digest(scan_secrets(docs.limit(0))).count() == 0
 
 
+def test_allowed_parts_hide_no_secret_beside_them(spark):
+    blob = "q7Zx9Kp2Lm4Vn8Bt5Rw1Yc3D"
+    key = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAABFwAAAAdzc2gtcn"
+    texts = [f"/sample/{blob}", f"{blob}AAAAAAAAAAAA", key, f"/sample-{blob}/x", "/".join(["sample"] * 6) + "/1"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: [(s.start, s.end) for s in r.added if s.kind == "entropy_base64"] for r in scan_secrets(docs).collect()}
+    assert len(spans[0]) == 1 and spans[0][0][0] >= 7 and spans[0][0][1] == 8 + len(blob)
+    assert len(spans[1]) == 1 and spans[1][0][0] == 0 and spans[1][0][1] >= len(blob)
+    assert len(spans[2]) == 1 and spans[3] == spans[4] == []
+
+
 # --- 10 ---
 
 

@@ -2,8 +2,9 @@
 
 Base kinds are regular expressions; the method adds spans of high Shannon entropy. Candidate strings are runs of token
 characters that hold a digit. For each character class a window slides over the candidate; the window's entropy comes
-from counts that are changed by one character in and one out. What an allow-list pattern matches is left out, and so
-are windows within a base span.
+from counts that are changed by one character in and one out. Left out are candidates that an allow-list pattern with
+both anchors matches, windows that another one matches, path parts (between slashes) with a placeholder's name, and
+spans within a base span.
 
 ``split`` and ``regexp_extract_all`` use the same matches, so a match starts where the gaps and matches before it end;
 lengths are in code points.
@@ -24,8 +25,10 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]+"
 WINDOW = 20
 #: name, alphabet, least entropy in bits of a window
 CLASSES = (("entropy_hex", "0123456789abcdef", 3.25), ("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 3.85))
-#: Candidates that hold one of these are no secrets.
-ALLOW = (r"(?i)example|sample|placeholder|changeme|dummy|xxxx", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", r"(.)\1{5}", r"^[0-9+/_=-]+$", r"0123456789|abcdefgh")
+#: Path parts that hold one of these are no secrets.
+NAMES = r"(?i)example|sample|placeholder|changeme|dummy|xxxx"
+#: Candidates (with both anchors) or windows that match one of these are no secrets.
+ALLOW = (r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", r"(.)\1{5}", r"^[0-9+/_=-]+$", r"0123456789|abcdefgh")
 SPANS = "array<struct<start:int,end:int,kind:string,rank:int>>"
 
 
@@ -57,10 +60,10 @@ def _plogp(n: Column) -> Column:
     return F.when(n > 1, n * F.log2(n.cast("double"))).otherwise(F.lit(0.0))
 
 
-def hot_range(hit: Column, alphabet: str, least: float, window: int = WINDOW) -> Column:
+def hot_range(hit: Column, alphabet: str, least: float, window: int = WINDOW, allow: tuple[str, ...] = ()) -> Column:
     """struct<first, last>: ends of the first and the last window of the class whose entropy reaches ``least``.
 
-    A window counts once ``window`` characters in a row are of the class; a character outside it starts anew.
+    Windows that match a pattern of ``allow`` don't count. A window counts once ``window`` characters in a row are of the class; a character outside it starts anew.
     """
     size = len(alphabet)
     chars = F.transform(F.filter(F.split(hit, ""), lambda c: c != ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
@@ -78,6 +81,8 @@ def hot_range(hit: Column, alphabet: str, least: float, window: int = WINDOW) ->
         run = acc["run"] + 1
         hot = (run >= window) & (F.lit(math.log2(window)) - s / window >= least)
         end = acc["i"] + 1
+        if allow:
+            hot &= ~_any(F.substring(hit, end - window + 1, F.lit(window)), allow)
         inside = F.struct(end.alias("i"), run.alias("run"), n.alias("n"), s.alias("s"), F.when(hot, F.coalesce(acc["first"], end)).otherwise(acc["first"]).alias("first"), F.when(hot, end).otherwise(acc["last"]).alias("last"))
         outside = F.struct(end.alias("i"), F.lit(0).alias("run"), zero.alias("n"), F.lit(0.0).alias("s"), acc["first"].alias("first"), acc["last"].alias("last"))
         return F.when(c >= 0, inside).otherwise(outside)
@@ -87,19 +92,32 @@ def hot_range(hit: Column, alphabet: str, least: float, window: int = WINDOW) ->
     return F.element_at(bound, 1)
 
 
-def entropy_spans(text: Column, window: int, allow: tuple[str, ...]) -> Column:
+def _any(text: Column, patterns: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, (text.rlike(p) for p in patterns), F.lit(False))
+
+
+def without_names(hit: Column, names: str) -> Column:
+    """The candidate with blanks for its path parts that hold one of the names."""
+    parts = F.transform(F.split(hit, "/", -1), lambda p: F.when(p.rlike(names), F.regexp_replace(p, ".", " ")).otherwise(p))
+    return F.when(hit.rlike(names), F.array_join(parts, "/")).otherwise(hit)
+
+
+def entropy_spans(text: Column, window: int, allow: tuple[str, ...], names: str) -> Column:
     """Spans of every class over the candidates of a text."""
-    found = F.filter(matches(text, f"{CANDIDATE[:-1]}{{{window},}}"), lambda m: m["hit"].rlike("[0-9]") & ~reduce(lambda a, b: a | b, (m["hit"].rlike(p) for p in allow), F.lit(False)))
-    return F.concat(*(_hot(found, kind, rank, alphabet, least, window) for rank, (kind, alphabet, least) in enumerate(CLASSES, 4)))
+    whole = tuple(p for p in allow if p.startswith("^") and p.endswith("$"))
+    inner = tuple(p for p in allow if p not in whole)
+    found = F.filter(matches(text, f"{CANDIDATE[:-1]}{{{window},}}"), lambda m: m["hit"].rlike("[0-9]") & ~_any(m["hit"], whole))
+    found = F.transform(found, lambda m: F.struct(m["start"].alias("start"), without_names(m["hit"], names).alias("hit")))
+    return F.concat(*(_hot(found, kind, rank, alphabet, least, window, inner) for rank, (kind, alphabet, least) in enumerate(CLASSES, 4)))
 
 
-def _hot(found: Column, kind: str, rank: int, alphabet: str, least: float, window: int) -> Column:
-    ranges = F.transform(found, lambda m: F.struct(m["start"].alias("base"), hot_range(m["hit"], alphabet, least, window).alias("r")))
+def _hot(found: Column, kind: str, rank: int, alphabet: str, least: float, window: int, allow: tuple[str, ...]) -> Column:
+    ranges = F.transform(found, lambda m: F.struct(m["start"].alias("base"), hot_range(m["hit"], alphabet, least, window, allow).alias("r")))
     hot = F.filter(ranges, lambda x: x["r"]["first"].isNotNull())
     return F.transform(hot, lambda x: F.struct((x["base"] + x["r"]["first"] - window).alias("start"), (x["base"] + x["r"]["last"]).alias("end"), F.lit(kind).alias("kind"), F.lit(rank).alias("rank")))
 
 
-def scan_secrets(docs: DataFrame, window: int = WINDOW, allow: tuple[str, ...] = ALLOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_secrets(docs: DataFrame, window: int = WINDOW, allow: tuple[str, ...] = ALLOW, names: str = NAMES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, base, added) for each row: arrays of struct<start, end, kind, rank> over the whole text, in code points.
 
     A null text counts as empty and has no spans. Rows are independent, so ids may be null or repeat; other columns
@@ -118,7 +136,7 @@ def scan_secrets(docs: DataFrame, window: int = WINDOW, allow: tuple[str, ...] =
         F.when((text.contains(":") | text.contains("=")) & text.rlike(ASSIGN), _as_spans(assign, "assign", 1)).otherwise(_none()).alias("assign"),
         F.when(text.contains("AKIA"), _as_spans(access, "access", 2)).otherwise(_none()).alias("access"),
         F.when(text.rlike(r"[0-9a-f]{24}"), _as_spans(hexes, "hex", 3)).otherwise(_none()).alias("hex"),
-        F.when(text.rlike(rf"{CANDIDATE[:-1]}{{{window}}}"), entropy_spans(text, window, allow)).otherwise(_none()).alias("hot"),
+        F.when(text.rlike(rf"{CANDIDATE[:-1]}{{{window}}}"), entropy_spans(text, window, allow, names)).otherwise(_none()).alias("hot"),
     )
     rows = rows.select("id", F.array_sort(F.concat("assign", "access", "hex"), _by_start).alias("base"), "hot")
     added = F.filter("hot", lambda h: ~F.exists("base", lambda b: (b["start"] <= h["start"]) & (h["end"] <= b["end"])))
