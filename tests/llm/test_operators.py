@@ -266,6 +266,15 @@ def test_estimate_is_close():
         assert abs(estimate - share) < 0.12
 
 
+def test_bands_fit_the_threshold():
+    assert near_dedup.band_width(85) == 8 and near_dedup.band_width(80) == 6
+    for percent in range(4, 101):
+        width = near_dedup.band_width(percent)
+        assert (1 - (percent / 100) ** width) ** (near_dedup.REGISTERS // width) <= 4e-5
+    with pytest.raises(ValueError):
+        near_dedup.band_width(3)
+
+
 # --- 6 ---
 
 

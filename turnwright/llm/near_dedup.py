@@ -28,6 +28,8 @@ from turnwright.llm.common import Forest, arrays_to_binary, connected_components
 
 REGISTERS = 256
 MANTISSA = 10
+#: Registers of a band, widest first, and the chance at most that a pair at the threshold shares no bucket.
+WIDTHS, MISS = (8, 6, 5, 4, 3, 2, 1), 4e-5
 BLOCK, BLOCK_VALUES = 1024, 4_000_000
 _rng = np.random.Generator(np.random.PCG64(7))
 DONORS = _rng.integers(0, REGISTERS, (8, REGISTERS))
@@ -50,8 +52,11 @@ def registers(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 
 def band_width(percent: int) -> int:
-    """Registers of a band for a threshold."""
-    return 8 if percent >= 85 else 6
+    """Registers of a band: as many as keep the chance that a pair at the threshold shares no bucket at MISS or less."""
+    for width in WIDTHS:
+        if (1 - (percent / 100) ** width) ** (REGISTERS // width) <= MISS:
+            return width
+    raise ValueError(f"a threshold of {percent} percent is too low for {REGISTERS} registers")
 
 
 def band_keys(regs: np.ndarray, width: int) -> np.ndarray:
