@@ -6,8 +6,8 @@ more than the link radius: so a vector goes to the blocks with a cell whose plan
 is tested unless its two distances exceed it. Neither drops a link.
 
 A task holds two blocks (or one) and tests each of their pairs once, in single precision with a bound on its error; what
-is too near the threshold to tell is decided in double precision. A link counts for both of its ends. The graph below
-isn't searched: in a shard of some thousand rows a search that finds nearly all links computes as many similarities.
+is too near the threshold to tell is decided in double precision. A link counts for both of its ends. The query
+doesn't search the graph below, which finds links by approximation.
 """
 
 from __future__ import annotations
