@@ -1,6 +1,7 @@
 """Hand-derived cases and a property test of the text rules against plain Python models of them."""
 
 import re
+import time
 import unicodedata
 
 import pytest
@@ -17,7 +18,7 @@ def apply(spark, values, f):
 
 
 PARTS = st.lists(
-    st.sampled_from(["ครับ", "อีเมล", "test@example.com", "a@b-c.co.th", "0801234567", "+66 81 234 5678", "https://e.com/a.b).", " ", "\n", "\xa0", "\x85", "\x1c", "\r", "๑๒", "1.5", ". ", "x", "é", "😀", "ๆ", "[image]", "[link] "]),
+    st.sampled_from(["ครับ", "อีเมล", "test@example.com", "a@b-c.co.th", "0801234567", "+66 81 234 5678", "https://e.com/a.b).", " ", "\n", "\xa0", "\x85", "\x1c", "\r", "๑๒", "1.5", ". ", "x", "é", "😀", "ๆ", "[image]", "[image]", "[link] ", "a.png\nURL: https://e.com/a\nType: image/png\nSize: 12", "b-c.pdf\nURL:\nhttp://x\nType: ", "\nSize: 3", "Type:", "URL:"]),
     max_size=12,
 ).map("".join)
 
@@ -36,6 +37,34 @@ def test_rules_equal_python_models(spark, values):
     assert apply(spark, values, text.squeeze) == [" ".join(v.split()) for v in values]
     assert apply(spark, values, lambda c: text.redact_phones(text.redact_emails(c))) == [phone.sub("[phone]", email.sub("[email]", v)) for v in values]
     assert apply(spark, values, sentences.split_sentences) == [model_sentences(v) for v in values]
+    assert apply(spark, values, text.replace_attachments) == [model_attachments(v) for v in values]
+    assert apply(spark, values, text.strip_leading_placeholder) == [re.sub(r"\A\[link\]\s*", "", re.sub(r"\A\[image\]\s*", "", v)) for v in values]
+    words = "|".join(map(re.escape, text.longest_first(text.FILLERS)))
+    assert apply(spark, values, text.strip_trailing_filler) == [re.sub(rf"\s*(?:{words})\s*$", "", v).strip() or None for v in values]
+
+
+def model_attachments(t):
+    t = re.sub(r"[\w.-]+\.(?:jpe?g|png|gif|mp4|pdf|webp|bmp)\nURL:\s*https?://[^\n]+\nType:\s*[^\n]+\nSize:\s*\d+", "[image]", t).strip()
+    return re.sub(r"(\[image\]\s*){2,}", "[images]", t)
+
+
+N = 100_000
+LONG = ["a" * N, "a." * (N // 2), "é" * N, "x" + " " * N + "y", " \n" * (N // 2), "1" * N, "0." * (N // 2), "a@" * (N // 2), "@" + "a" * N, "[image]" * (N // 7), "[image] \n" * (N // 9), "http://" * (N // 7), "http://" + "." * N,
+        "a.png\nURL: https://e\nType:" + " " * N + "\nZ", "a.png\nURL: https://e\nType:" + "\n" * N + "Z", ("a.png\nURL: https://e\nType: t\nSize: 1\n" * (N // 40)), "ครับ" * (N // 4), " ครับ" * (N // 5), "ๆ" * N, "+66" * (N // 3), "," * N, "." * N]
+
+
+RULES = {
+    "clean_message": text.clean_message, "squeeze": text.squeeze, "split_sentences": sentences.split_sentences, "find_pii": text.find_pii, "has_url": text.has_url, "is_garbled": text.is_garbled, "is_filler_only": text.is_filler_only,
+    "safe": lambda c: text.redact_emails(c, ["help@x.com", "a@a"]), "signature": lambda c: text.drop_signature(c, F.lit("a" * 25)), "boundary": lambda c: text.drop_at_boundary(c, F.lit("aa")), "phrases": lambda c: sentences.filter_phrases(c, ["x" * 50]),
+}
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_long_runs_take_no_longer_than_their_length(spark, rule):
+    apply(spark, ["warm up"], RULES[rule])
+    start = time.perf_counter()
+    apply(spark, LONG, RULES[rule])
+    assert time.perf_counter() - start < 0.5 * len(LONG)
 
 
 def model_sentences(t):

@@ -21,10 +21,11 @@ def split_sentences(c: Column) -> Column:
     space, a line end or the end of the text follows it.
     """
     text = F.regexp_replace(c, rf"(?<={DIGIT})\.(?={DIGIT})", DOT)
-    text = F.regexp_replace(text, rf"(https?://{SOLID}*)[.,;:!?)\]](?=[ \n]|\z)", "$1")
-    text = F.regexp_replace(text, rf"(https?://{SOLID}+)", f"{FENCE}$1{FENCE}")
-    whole = F.transform(F.split(text, FENCE), lambda part, i: F.when(i % 2 == 1, F.replace(part, F.lit("."), F.lit(DOT))).otherwise(part))
-    parts = F.split(F.translate(F.array_join(whole, ""), "\n", "."), r"\.")
+    fenced = F.regexp_replace(text, rf"(https?://{SOLID}++)", f"{FENCE}$1{FENCE}")
+    fenced = F.regexp_replace(fenced, rf"[.,;:!?)\]]{FENCE}(?=[ \n]|\z)", FENCE)
+    whole = F.transform(F.split(fenced, FENCE), lambda part, i: F.when(i % 2 == 1, F.replace(part, F.lit("."), F.lit(DOT))).otherwise(part))
+    text = F.when(F.contains(c, F.lit("://")), F.array_join(whole, "")).otherwise(text)
+    parts = F.split(F.translate(text, "\n", "."), r"\.")
     return F.filter(F.transform(parts, lambda x: F.replace(strip(x), F.lit(DOT), F.lit("."))), lambda x: x != "")
 
 

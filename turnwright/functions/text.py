@@ -1,6 +1,11 @@
 """Text rules as Column -> Column expressions, with Unicode meanings of white space, words and digits.
 
 All of them are built-in expressions; a switched-off step is left out when the plan is built. Null stays null.
+
+Texts may be of any length and content, so every rule takes time in proportion to a text: patterns have one class for
+each run (a repeated group of alternatives would recurse once a character), begin only where a run begins or the match
+before ended, and take runs possessively; ends are trimmed, not searched for. A rule whose pattern needs a certain
+substring looks for that first.
 """
 
 from __future__ import annotations
@@ -17,13 +22,27 @@ SOLID = r"[^\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 WORD = r"[\p{L}\p{N}_]"
 DIGIT = r"\p{Nd}"
 
+#: The members of WS, for trimming.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _run(members: str) -> str:
+    """A whole run of a class, from its first character or from the end of the match before."""
+    return rf"(?:(?<![{members}])|\G)[{members}]++"
+
+
 # What a message may hold and what it is replaced with.
-ATTACHMENT = rf"(?:{WORD}|[.-])+\.(?:jpe?g|png|gif|mp4|pdf|webp|bmp)\nURL:{WS}*https?://[^\n]+\nType:{WS}*[^\n]+\nSize:{WS}*{DIGIT}+"
-URL = rf"https?://{SOLID}+"
-EMAIL = rf"(?:{WORD}|[.+-])+@(?:{WORD}|[.-])+\.{WORD}+"
+FILE_ENDINGS = "jpe?g|png|gif|mp4|pdf|webp|bmp"
+# The type's value may be blank, but not empty: either something solid follows on its line, or blanks up to the line's end.
+ATTACHMENT = (
+    rf"{_run(WORD[1:-1] + '.-')}(?<=[{WORD[1:-1]}.-]\.(?:{FILE_ENDINGS}))\nURL:{WS}*+https?://[^\n]++\n"
+    rf"Type:(?:{WS}*+[^\n]++\nSize:|{WS}*+(?<=[{WS[1:-1]}&&[^\n]]\n)Size:){WS}*+{DIGIT}++"
+)
+URL = rf"https?://{SOLID}++"
+EMAIL = rf"{_run(WORD[1:-1] + '.+-')}@[{WORD[1:-1]}.-]+\.{WORD}++"
 PHONE = rf"(?:\+66[-{WS[1:-1]}]?|0){DIGIT}{{1,2}}[-{WS[1:-1]}]?{DIGIT}{{3}}[-{WS[1:-1]}]?{DIGIT}{{4}}"
 PHONE_LOCAL = rf"0{DIGIT}{{1,2}}[-{WS[1:-1]}]?{DIGIT}{{3}}[-{WS[1:-1]}]?{DIGIT}{{4}}"
-GARBLED = rf"(?<!{WORD})bscription|ม่สะดวก|ต่าหาก|://forms\.|https://forms"
+GARBLED = (rf"(?<!{WORD})bscription", "ม่สะดวก", "ต่าหาก", "https://forms", r"://forms\.")
 
 # Thai particles that end a message without adding to it.
 FILLERS = (
@@ -36,12 +55,17 @@ REPEAT_MARK = "ๆ"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
+
+
+def _holding(c: Column, needle: str, change: Column) -> Column:
+    """The change where the text holds what its pattern needs."""
+    return F.when(F.contains(c, F.lit(needle)), change).otherwise(c)
 
 
 def squeeze(c: Column) -> Column:
     """Runs of white space become one space, none at the ends."""
-    return F.trim(F.regexp_replace(c, f"{WS}+", " "))
+    return F.trim(F.regexp_replace(c, f"{WS}++", " "))
 
 
 def same_text_key(c: Column) -> Column:
@@ -53,17 +77,39 @@ def longest_first(words: Iterable[str]) -> list[str]:
     return sorted(words, key=lambda w: -len(w))
 
 
+def bound(c: Column, use) -> Column:  # noqa: ANN001
+    """use(c) with c worked out once, however often use refers to it within a lambda."""
+    return F.element_at(F.transform(F.array(c), lambda x: use(x)), 1)
+
+
+def _collapse_images(c: Column) -> Column:
+    """Two or more [image] with at most white space between become [images], and white space after them goes."""
+
+    def collapsed(parts: Column) -> Column:
+        def one(i: Column) -> Column:
+            text, before = F.element_at(parts, i + 1), F.element_at(parts, i)
+            joined = (i > 1) & (strip(before) == "")  # to the image before
+            more = (i < F.size(parts) - 1) & (strip(text) == "")
+            return F.when(more, F.when(joined, F.lit("")).otherwise(F.lit("[images]"))).when(joined, F.ltrim(text, F.lit(BLANKS))).otherwise(F.concat(F.lit("[image]"), text))
+
+        return F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.sequence(F.lit(1), F.size(parts) - 1), one), ""))
+
+    return F.when(c.rlike(rf"\[image\]{WS}*+\[image\]"), bound(F.split(c, r"\[image\]", -1), collapsed)).otherwise(c)
+
+
 def replace_attachments(c: Column) -> Column:
     """Each attachment block becomes [image]; two or more in a row become [images]."""
-    return F.regexp_replace(strip(F.regexp_replace(c, ATTACHMENT, "[image]")), rf"(\[image\]{WS}*){{2,}}", "[images]")
+    return _collapse_images(strip(_holding(c, "\nURL:", F.regexp_replace(c, ATTACHMENT, "[image]"))))
 
 
 def replace_urls(c: Column) -> Column:
-    return F.regexp_replace(c, URL, "[link]")
+    return _holding(c, "://", F.regexp_replace(c, URL, "[link]"))
 
 
 def strip_leading_placeholder(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, rf"\A\[image\]{WS}*", ""), rf"\A\[link\]{WS}*", "")
+    for mark in ("[image]", "[link]"):
+        c = F.when(F.startswith(c, F.lit(mark)), F.ltrim(F.substring(c, F.lit(len(mark) + 1), F.length(c)), F.lit(BLANKS))).otherwise(c)
+    return c
 
 
 def redact_emails(c: Column, safe: Iterable[str] = ()) -> Column:
@@ -73,10 +119,8 @@ def redact_emails(c: Column, safe: Iterable[str] = ()) -> Column:
     ``safe@x.com-a.b`` is kept in its first part, where a match by match replacement would redact it whole.
     """
     safe = [re.escape(s) for s in safe]
-    if not safe:
-        return F.regexp_replace(c, EMAIL, "[email]")
-    guard = rf"(?<!{WORD}|[.+-])(?!(?:{'|'.join(safe)})(?!{WORD}|[.-]*\.{WORD}))"
-    return F.regexp_replace(c, guard + EMAIL, "[email]")
+    guard = rf"(?!(?<![{WORD[1:-1]}.+-])(?:{'|'.join(safe)})(?!{WORD}|[.-]*\.{WORD}))" if safe else ""
+    return _holding(c, "@", F.regexp_replace(c, guard + EMAIL, "[email]"))
 
 
 def redact_phones(c: Column) -> Column:
@@ -84,9 +128,14 @@ def redact_phones(c: Column) -> Column:
 
 
 def strip_trailing_filler(c: Column, fillers: Iterable[str] = FILLERS) -> Column:
-    """One trailing particle goes; null if nothing is left."""
-    words = "|".join(map(re.escape, longest_first(fillers)))
-    return F.nullif(strip(F.regexp_replace(c, rf"(?d){WS}*(?:{words}){WS}*$", "")), F.lit(""))
+    """One trailing particle goes, the longest that fits; null if nothing is left."""
+    words = longest_first(fillers)
+    rest = F.rtrim(c, F.lit(BLANKS))
+    fits = [(F.endswith(rest, F.lit(w)), F.left(rest, F.length(rest) - len(w))) for w in words]
+    out = F.when(*fits[0]) if fits else F.when(F.lit(False), rest)
+    for holds, left in fits[1:]:
+        out = out.when(holds, left)
+    return F.nullif(strip(out.otherwise(rest)), F.lit(""))
 
 
 def is_filler_only(c: Column, fillers: Iterable[str] = FILLERS) -> Column:
@@ -99,21 +148,19 @@ def is_filler_only(c: Column, fillers: Iterable[str] = FILLERS) -> Column:
 
 def clean_message(c: Column, attachments: bool = True, urls: bool = True, pii: bool = True, fillers: bool = True, safe: Iterable[str] = ()) -> Column:
     """All cleaning steps in their fixed order; null or empty if the message is to be dropped."""
-    if attachments:
-        c = replace_attachments(c)
-    if urls:
-        c = replace_urls(c)
-    c = strip_leading_placeholder(c)
+    steps = [replace_attachments] * attachments + [replace_urls] * urls + [strip_leading_placeholder]
     if pii:
-        c = redact_phones(redact_emails(c, safe))
-    if fillers:
-        c = strip_trailing_filler(c)
-    return strip(c)
+        safe = list(safe)
+        steps += [lambda x: redact_emails(x, safe), redact_phones]
+    steps += [strip_trailing_filler] * fillers + [strip]
+    for step in steps:  # each step refers to its input several times
+        c = bound(c, step)
+    return c
 
 
 def find_pii(c: Column, safe: Iterable[str] = ()) -> Column:
     """array<string> of what an audit takes for phone numbers and e-mail addresses."""
-    mails = F.regexp_extract_all(c, F.lit(EMAIL), F.lit(0))
+    mails = F.when(F.contains(c, F.lit("@")), F.regexp_extract_all(c, F.lit(EMAIL), F.lit(0))).otherwise(F.expr("cast(array() as array<string>)"))
     safe = list(safe)
     if safe:
         mails = F.filter(mails, lambda m: ~m.isin(safe))
@@ -121,11 +168,11 @@ def find_pii(c: Column, safe: Iterable[str] = ()) -> Column:
 
 
 def has_url(c: Column) -> Column:
-    return c.rlike(URL)
+    return F.contains(c, F.lit("://")) & c.rlike(URL)
 
 
 def is_garbled(c: Column) -> Column:
-    return c.rlike(GARBLED)
+    return c.rlike("|".join(GARBLED))
 
 
 def drop_at_boundary(body: Column, phrase: Column, slack: int = 2) -> Column:
@@ -133,8 +180,8 @@ def drop_at_boundary(body: Column, phrase: Column, slack: int = 2) -> Column:
     at = F.instr(body, phrase)
     after = at + F.length(phrase)
     edge = (at - 1 <= slack) | (F.length(body) - after + 1 <= slack)
-    left = F.regexp_replace(F.substring(body, F.lit(1), at - 1), rf"{WS}+\z", "")
-    right = F.regexp_replace(F.substring(body, after, F.length(body)), rf"\A{WS}+", "")
+    left = F.rtrim(F.substring(body, F.lit(1), at - 1), F.lit(BLANKS))
+    right = F.ltrim(F.substring(body, after, F.length(body)), F.lit(BLANKS))
     return F.when((at > 0) & edge, strip(F.concat(left, F.lit(" "), right))).otherwise(body)
 
 
@@ -146,7 +193,7 @@ def drop_signature(body: Column, signature: Column) -> Column:
     rest = F.length(text) - after + 1
     edge = (at - 1 <= 2) | ((rest < 10) & ((at == 1) | (F.substring(text, at - 1, F.lit(1)) == " ")))
     cut = squeeze(F.concat(F.substring(text, F.lit(1), at - 1), F.lit(" "), F.substring(text, after, F.length(text))))
-    return F.when((at > 0) & edge, F.nullif(F.regexp_replace(cut, r"[,;:!?。，；：！？]+\z", ""), F.lit(""))).otherwise(body)
+    return F.when((at > 0) & edge, F.nullif(F.rtrim(cut, F.lit(",;:!?。，；：！？")), F.lit(""))).otherwise(body)
 
 
 def to_epoch(c: Column) -> Column:
