@@ -46,7 +46,7 @@ def canned(turns: DataFrame, most: int) -> DataFrame:
     ``changed`` tells stripped turns whose text did change.
     """
     matched = turns.join(longest_match(turns, mine(turns, ("split",)), TURN, ("split",)), list(TURN), "left")
-    share = F.length("sig") / F.greatest(F.length(squeeze(F.col("content"))), F.lit(1))
+    share = F.when(F.col("sig").isNotNull(), F.length("sig") / F.greatest(F.length(squeeze(F.col("content"))), F.lit(1)))
     matched = matched.withColumn("_dominant", F.coalesce(share >= COVERAGE, F.lit(False)))
     rank = F.row_number().over(Window.partitionBy("split", "sig").orderBy("conv_pos", "turn_pos"))
     ranked = matched.where("_dominant").withColumn("_rank", rank)

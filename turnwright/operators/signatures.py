@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from turnwright.functions.text import URL, squeeze
+from turnwright.storage import cut
 
 
 @dataclass(frozen=True)
@@ -24,6 +22,7 @@ class MiningRule:
 
 LONG, SHORT = MiningRule(25, 5), MiningRule(15, 30)
 STEPS = 30
+#: Signatures (and hashes of windows) that go to all executors at most; they have at most 25 characters each.
 BROADCAST = 100_000
 
 
@@ -45,61 +44,46 @@ def window_counts(texts: DataFrame, size: int, keep: Sequence[str] = ()) -> Data
     return texts.select(*keep, F.explode(windows(F.col("body"), size)).alias("sig")).where(F.length("sig") >= size).groupBy(*keep, "sig").agg(F.count("*").alias("freq"))
 
 
+def _held(side: DataFrame) -> DataFrame:
+    """Rows kept once; marked for broadcast if they are counted to be few, else joined as Spark sees fit."""
+    side = cut(side)
+    return F.broadcast(side) if side.count() <= BROADCAST else side
+
+
 def mine(turns: DataFrame, keep: Sequence[str] = (), rules: tuple[MiningRule, ...] = (LONG, SHORT)) -> DataFrame:
-    """(keep, sig, sig_len, freq) of all signatures. A group with fewer messages than the long rule's least has none."""
+    """(keep, sig, sig_len, freq) of all signatures. A group with fewer messages than the long rule's least has none.
+
+    Windows are first counted by their hashes, so that no window that is rare is ever shuffled as text; those whose
+    hash is frequent enough are then counted as they are. An empty window of each message counts the messages.
+    """
     texts = mining_texts(turns, keep)
-    parts = [window_counts(texts, r.size, keep).where(F.col("freq") >= r.least).withColumn("sig_len", F.lit(r.size)) for r in rules]
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    enough = texts.groupBy(*keep).agg(F.count("*").alias("_n")).where(F.col("_n") >= LONG.least).drop("_n")
+    every = texts.select(*keep, F.explode(F.concat(F.array(F.lit("")), *(windows(F.col("body"), r.size) for r in rules))).alias("sig"))
+    least = F.lit(min(LONG.least, *(r.least for r in rules)))
+    hashed = every.select(*keep, F.xxhash64("sig").alias("h")).groupBy(*keep, "h").agg(F.count("*").alias("n")).where(F.col("n") >= least).select(*keep, "h")
+    found = every.withColumn("h", F.xxhash64("sig")).join(_held(hashed), [*keep, "h"], "left_semi").groupBy(*keep, "sig").agg(F.count("*").alias("freq"))
+    bound = F.lit(LONG.least)
+    for r in rules:
+        bound = F.when(F.length("sig") == r.size, F.lit(r.least)).otherwise(bound)
+    found = cut(found.where(F.col("freq") >= bound))
+    enough = found.where("sig = ''").select(*keep)
+    found = found.where("sig <> ''")
     found = found.join(enough, list(keep), "left_semi") if keep else found.where(enough.exists())
-    return found.select(*keep, "sig", "sig_len", "freq")
+    return found.select(*keep, "sig", F.length("sig").alias("sig_len"), "freq")
 
 
 def longest_match(turns: DataFrame, signatures: DataFrame, key: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(key, sig): the longest signature within each message, the first in code-point order among equals.
 
-    Signatures have few lengths, so a message's windows of these lengths are looked up rather than each signature
-    searched for in each message. Up to BROADCAST signatures (their number is counted; a few megabytes) go to the
-    messages as sets; beyond that windows are joined to the signatures by equality. ``keep`` must be part of ``key``.
+    Signatures have few lengths, so a message's windows of these lengths are joined to the signatures by equality,
+    rather than each signature searched for in each message. ``keep`` must be part of ``key``.
     """
-    signatures = signatures.select(*keep, "sig", "sig_len").persist()
     bodies = turns.select(*key, squeeze(F.col("content")).alias("body"))
-    if signatures.limit(BROADCAST + 1).count() <= BROADCAST:
-        return _looked_up(bodies, signatures.collect(), key, keep)
     every = F.flatten(F.array(*(_all_windows(F.col("body"), rule.size) for rule in (LONG, SHORT))))
     held = bodies.select(*key, F.explode(every).alias("sig"))
-    best = held.join(signatures, [*keep, "sig"]).groupBy(*key).agg(F.min(F.struct((-F.col("sig_len")).alias("n"), "sig")).alias("_b"))
+    best = held.join(_held(signatures.select(*keep, "sig", "sig_len")), [*keep, "sig"]).groupBy(*key).agg(F.min(F.struct((-F.col("sig_len")).alias("n"), "sig")).alias("_b"))
     return best.select(*key, F.col("_b.sig").alias("sig"))
 
 
-def _looked_up(bodies: DataFrame, signatures: list, key: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """The same with the signatures at hand: Python's string slices and sets, in Arrow batches, longest size first."""
-    known: dict[tuple, dict[int, set[str]]] = {}
-    for row in signatures:
-        known.setdefault(tuple(row[k] for k in keep), {}).setdefault(row["sig_len"], set()).add(row["sig"])
-    at = [list(key).index(k) for k in keep]
-
-    def find(body: str | None, sizes: dict[int, set[str]]) -> str | None:
-        for size in sorted(sizes, reverse=True):
-            held = sizes[size]
-            hits = [w for i in range(len(body or "") - size + 1) if (w := body[i : i + size]) in held]
-            if hits:
-                return min(hits)
-        return None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            groups = zip(*(batch.column(i).to_pylist() for i in at), strict=True) if at else itertools.repeat((), batch.num_rows)
-            found = pa.array([find(b, known.get(g, {})) for b, g in zip(batch.column(len(key)).to_pylist(), groups, strict=True)], pa.string())
-            keys = [batch.column(i) for i in range(len(key))]
-            yield pa.RecordBatch.from_arrays([*keys, found], [*key, "sig"]).filter(found.is_valid())
-
-    schema = T.StructType([*(bodies.schema[k] for k in key), T.StructField("sig", T.StringType())])
-    return bodies.mapInArrow(run, schema)
-
-
 def _all_windows(body: Column, size: int, block: int = 256) -> Column:
     """array<string> of all windows of a text, or the text itself if it is shorter.
 
