@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnwright.llm.common import connected_components, cut, grouped, map_arrow
+from turnwright.llm.common import connected_components, grouped, map_arrow
+from turnwright.storage import cut
 
 #: Rows of a cell, on average.
 SHARD = 1000

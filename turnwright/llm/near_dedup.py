@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnwright.llm import shingles as S
-from turnwright.llm.common import Forest, arrays_to_binary, connected_components, cut, grouped, map_arrow
+from turnwright.llm.common import Forest, arrays_to_binary, connected_components, grouped, map_arrow
+from turnwright.storage import cut
 
 REGISTERS = 256
 MANTISSA = 10

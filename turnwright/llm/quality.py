@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnwright.llm import shingles as S
-from turnwright.llm.common import cut, in_arrow, map_arrow
+from turnwright.llm.common import in_arrow, map_arrow
+from turnwright.storage import cut
 
 CHARS = {
     "upper": [*range(65, 91)],
