@@ -16,11 +16,14 @@ A reader that has the dictionary opens any document from the index alone (``read
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +33,37 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnwright.llm.common import cut, in_arrow, map_arrow, shared_dir
+from turnwright.llm.common import in_arrow, map_arrow
 from turnwright.llm.shingles import LOWER, SPACE
+from turnwright.storage import cut, shared_dir
 
 MAGIC, INDEX = b"TKSHARD1", b"TKINDEX1"
-WORD_CACHE = 400_000
+#: Words that a worker process remembers at most, some 150 MB of them.
+WORD_CACHE = 800_000
 SLICE_BYTES = 4 << 20
-LETTER, MARK = np.zeros(256, bool), np.zeros(256, bool)
+#: Input bytes of a shard, where that makes more shards than there are shuffle partitions.
+SHARD_BYTES = 256 << 20
+#: Serialized ids that one training text gives the dictionary, at most.
+PIECE_BYTES = 2048
+#: Documents of one Arrow batch when files are read back.
+READ_DOCS = 10_000
+LETTER, MARK, DIGIT = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123)]] = True
-MARK[[i for i in range(33, 127) if not LETTER[i]]] = True
+DIGIT[48:58] = True
+MARK[[i for i in range(33, 127) if not LETTER[i] and not DIGIT[i]]] = True
+#: Second bytes of the two-byte letters from U+00C0 to U+00FF (the first is C3), and of the upper-case ones.
+LATIN, LATIN_UPPER = np.zeros(256, bool), np.zeros(256, bool)
+LATIN[0x80:0xC0], LATIN_UPPER[0x80:0x9F] = True, True
+LATIN[[0x97, 0xB7]], LATIN_UPPER[0x97] = False, False
+#: A word that is one run of letters for the tokenizer and that its normalizer leaves alone.
+RUN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable bytes for themselves, others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 @lru_cache(maxsize=2)
@@ -54,13 +79,17 @@ def _tokenizer(path: str):
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, worked out once for each distinct word.
 
-    Holds for a tokenizer that never merges across ASCII white space and drops it, as one with word ends does: then a
-    text's ids are those of its words. The library encodes every distinct word; a bounded cache keeps their ids.
+    Holds for a byte-level tokenizer that lower-cases, never merges across ASCII white space, drops it, and takes runs
+    of letters, single digits and runs of other characters apart, as one with word ends does: then a text's ids are
+    those of its words. The library encodes every distinct word: a plain run of letters by its model at once, any other
+    word by its whole chain. A bounded cache keeps their ids.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.letters = _byte_letters()
         self.clear()
 
     def clear(self) -> None:
@@ -70,12 +99,20 @@ class WordEncoder:
         self.flat = np.zeros(1 << 18, np.int32)
         self.used = 0
 
+    def _ids(self, words: list[bytes]) -> list[list[int]]:
+        run, tokenize, letters = RUN.fullmatch, self.model.tokenize, self.letters
+        out = [[t.id for t in tokenize(w.decode("ascii") if w.isascii() else w.decode("latin-1").translate(letters))] if run(w) else None for w in words]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([words[i].decode("utf-8", "replace") for i in rest], add_special_tokens=False), strict=True):
+            out[i] = e.ids
+        return out
+
     def _learn(self, words: list[bytes]) -> None:
         for lo in range(0, len(words), 20_000):
             part = words[lo : lo + 20_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)]
+            ids = self._ids(part)
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            new = np.fromiter((x for row in ids for x in row), np.int32, int(sizes.sum()))
+            new = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
             n = len(self.at)
             while n + len(part) > len(self.starts):
                 self.starts, self.lengths = (np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.lengths))
@@ -109,8 +146,10 @@ class WordEncoder:
     def _lookup(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(entry of each word, where each text's words begin with the end).
 
-        Words end at ASCII white space, and after an ASCII letter where an ASCII digit or mark follows: there a run of
-        letters ends for the tokenizer as well. Where "<|" occurs, words are left whole for special tokens' sake.
+        Words end at ASCII white space, and before an ASCII character where the tokenizer ends a run as well: between
+        letters (ASCII or U+00C0 to U+00FF), digits and marks of ASCII, and around each digit. An apostrophe stays with
+        letters after it, which may be one of the tokenizer's contractions. No character can compose with an ASCII one
+        after it, so normalization sees the same. Where "<|" occurs, words are left whole for special tokens' sake.
         """
         if not len(data):
             return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
@@ -118,8 +157,15 @@ class WordEncoder:
         first = solid.copy()
         first[1:] &= ~solid[:-1]
         if not ((data[:-1] == 0x3C) & (data[1:] == 0x7C)).any():
+            before, after = data[:-1], data[1:]
+            wide = np.zeros(len(data), bool)  # last bytes of two-byte letters
+            wide[1:] = (before == 0xC3) & LATIN[after]
+            upper = np.zeros(len(data), bool)
+            upper[1:] = (before == 0xC3) & LATIN_UPPER[after]
+            letter = LETTER[before] | wide[:-1]
+            first[1:] |= (letter & MARK[after]) | ((letter | MARK[before] | DIGIT[before]) & DIGIT[after]) | (DIGIT[before] & (LETTER[after] | MARK[after])) | (MARK[before] & (before != 0x27) & LETTER[after])
             data = LOWER[data]  # the tokenizer lower-cases
-            first[1:] |= LETTER[data[:-1]] & MARK[data[1:]]
+            data[upper] += 0x20
         inner = offsets[1:-1]
         inner = inner[inner < len(data)]
         first[inner] = solid[inner]
@@ -132,10 +178,20 @@ class WordEncoder:
         words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[solid])])
         coded = words.dictionary_encode()
         known = coded.dictionary.to_pylist()
-        if len(self.at) + len(known) > WORD_CACHE:
+        entry = np.fromiter(map(self.at.get, known, repeat(-1)), np.int64, len(known))
+        new = np.flatnonzero(entry < 0)
+        if len(self.at) + len(new) > WORD_CACHE:
             self.clear()
-        self._learn([w for w in known if w not in self.at])
-        return np.fromiter(map(self.at.__getitem__, known), np.int64, len(known))[coded.indices.to_numpy()], begins
+            new = np.arange(len(known))
+        entry[new] = len(self.at) + np.arange(len(new))
+        self._learn([known[i] for i in new.tolist()])
+        return entry[coded.indices.to_numpy()], begins
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One encoder a worker process: the words that its earlier tasks met are known to the next."""
+    return WordEncoder(path)
 
 
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
@@ -148,25 +204,40 @@ def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
+def _pieces(tokenizer_path: str):
+    """Serialized ids of each text: all of a short one's, else a piece of PIECE_BYTES at a place that the id's hash names."""
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(tokenizer_path)
+        for part in slices(batch, 0):
+            ids, begin = encoder.encode(part.column(0), 1)
+            raw = ids.astype(f"<u{encoder.width}")
+            most = PIECE_BYTES // encoder.width
+            out = []
+            for a, b, h in zip(begin[:-1].tolist(), begin[1:].tolist(), part.column(1).to_pylist(), strict=True):
+                a += (h % (b - a - most + 1)) if b - a > most else 0
+                out.append(raw[a : min(b, a + most)].tobytes())
+            yield pa.RecordBatch.from_arrays([part.column(1), pa.array(out, pa.binary())], ["h", "piece"])
+
+    return work
+
+
 def train_dictionary(docs: DataFrame, tokenizer_path: str, sample: int, size: int) -> bytes:
-    """A zstandard dictionary from the serialized ids of the ``sample`` rows of smallest id hash (each text's first
-    4000 characters). It only shapes compression; every id of every document is written whatever the dictionary.
-    Empty if there is too little to train on."""
+    """A zstandard dictionary from the serialized ids of the ``sample`` rows of smallest id hash, a piece of each
+    text from anywhere in it. It only shapes compression; every id of every document is written whatever the
+    dictionary. The driver gets ``sample`` times PIECE_BYTES at most. Empty if there is too little to train on."""
     import zstandard
 
     hashed = docs.select("id", F.xxhash64("id").alias("h"))
     last = hashed.orderBy("h").limit(sample).agg(F.max("h")).first()[0]  # reads ids alone
     if last is None:
         return b""
-    picked = docs.where(F.xxhash64("id") <= last).select(F.substring("text", 1, 4000).alias("text"), F.xxhash64("id").alias("h")).where("text <> ''")
-    texts = [r.text for r in picked.orderBy("h", "text").limit(sample).collect()]
-    if len(texts) < 16:
+    picked = docs.where(F.xxhash64("id") <= last).select("text", F.xxhash64("id").alias("h")).where("text <> ''")
+    pieces = [bytes(r.piece) for r in map_arrow(picked, "h long, piece binary", _pieces(tokenizer_path)).orderBy("h", "piece").limit(sample).collect()]
+    if len(pieces) < 16:
         return b""
-    encoder = WordEncoder(tokenizer_path)
-    ids, begin = encoder.encode(pa.array(texts), 1)
-    raw = ids.astype(f"<u{encoder.width}")
     try:
-        return zstandard.train_dictionary(size, [raw[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:], strict=True)]).as_bytes()
+        return zstandard.train_dictionary(size, pieces).as_bytes()
     except zstandard.ZstdError:
         return b""
 
@@ -219,6 +290,13 @@ def read_document(shard_uri: str, dictionary: bytes, doc_id: int) -> np.ndarray:
     return shard.ids(int(found[0]))
 
 
+def _shards(docs: DataFrame) -> int:
+    """A shard for each shuffle partition, or for SHARD_BYTES of what the scan is known to read, if that is more."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    known = size if size < 1 << 60 else 0  # beyond that it is Spark's stand-in for unknown
+    return max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // SHARD_BYTES))
+
+
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_id: int = 1, sample: int = 1024, dictionary_bytes: int = 65_536, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
     """Writes the ids of every whole text (null: empty) with end_id after each; returns (manifest, dictionary uri).
 
@@ -248,8 +326,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
         name = f"shard-{task.partitionId():06d}-{task.taskAttemptId()}.tok"
         fs, path = pafs.FileSystem.from_uri(folder)
         pack = _zstd(read_bytes(dictionary_uri))[0]
-        encoder = WordEncoder(tokenizer_path)
-        doc_ids, given, offsets, counts = [], [], [48], []
+        encoder = _encoder(tokenizer_path)
+        doc_ids, given, offsets, counts = [], [], array("q", [48]), []
         with fs.open_output_stream(f"{path}/{name}") as f:
             f.write(MAGIC + bytes([encoder.width, 0, 0, 0, 0, 0, 0, 0]) + digest)
 
@@ -269,11 +347,11 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
             for batch in batches:
                 put(batch)
             n, tokens = len(offsets) - 1, int(sum(c.sum() for c in counts))
-            f.write(np.concatenate(doc_ids).astype("<i8").tobytes() + np.concatenate(given).astype("u1").tobytes() + np.array(offsets, "<i8").tobytes() + np.concatenate(counts).astype("<i8").tobytes())
+            f.write(np.concatenate(doc_ids).astype("<i8").tobytes() + np.concatenate(given).astype("u1").tobytes() + np.frombuffer(offsets, np.int64).astype("<i8").tobytes() + np.concatenate(counts).astype("<i8").tobytes())
             f.write(struct.pack("<QQ8s", offsets[-1], n, INDEX))
         yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()], pa.int32()), pa.array([f"{folder}/{name}"]), pa.array([n], pa.int64()), pa.array([tokens], pa.int64())], ["shard", "uri", "n_docs", "n_tokens"])
 
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = _shards(docs)
     ordered = base.repartitionByRange(parts, F.col("id"), F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"))
     manifest = cut(in_arrow(ordered, write, "shard int, uri string, n_docs long, n_tokens long"))
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -281,19 +359,22 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
 
 
 def read_token_files(manifest: DataFrame, dictionary_uri: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, shard) of every document, from the files."""
+    """(doc_id, start, n_tokens, ids_crc32, shard) of every document, from the files; a task reads a shard frame by
+    frame and gives batches of READ_DOCS rows."""
     dictionary = read_bytes(dictionary_uri)
 
     def read(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
-            shard = Shard(row["uri"], dictionary)
-            n = len(shard.counts)
-            crc, counts = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            for i in range(n):
-                ids = shard.ids(i)
-                crc[i], counts[i] = zlib.crc32(ids.astype("<u4").tobytes()), len(ids)
-            start = row["start"] + np.cumsum(counts) - counts
-            yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids, mask=~shard.given), pa.array(start), pa.array(counts), pa.array(crc), pa.array(np.full(n, row["shard"], np.int32))], ["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
+            shard, start = Shard(row["uri"], dictionary), row["start"]
+            for lo in range(0, len(shard.counts), READ_DOCS):
+                n = min(READ_DOCS, len(shard.counts) - lo)
+                crc, counts = np.zeros(n, np.int64), np.zeros(n, np.int64)
+                for i in range(n):
+                    ids = shard.ids(lo + i)
+                    crc[i], counts[i] = zlib.crc32(ids.astype("<u4").tobytes()), len(ids)
+                ends = start + np.cumsum(counts)
+                start = int(ends[-1])
+                yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids[lo : lo + n], mask=~shard.given[lo : lo + n]), pa.array(ends - counts), pa.array(counts), pa.array(crc), pa.array(np.full(n, row["shard"], np.int32))], ["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
 
     shards = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return map_arrow(manifest.repartition(shards, "shard"), "doc_id long, start long, n_tokens long, ids_crc32 long, shard int", read)
