@@ -5,8 +5,10 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -537,6 +539,88 @@ def test_templates_of_a_part_of_a_large_host_go(spark):
     assert found == {i: f"cell {i % 6}\n\nrow {i}\n\nstory {i} is told" for i in range(360)}
 
 
+class Tree(HTMLParser):
+    """An element tree by the standard library: nodes are [tag, own attributes, children], text is a string."""
+
+    def __init__(self, source):
+        super().__init__(convert_charrefs=True)
+        self.root = ["#", (), []]
+        self.open = [self.root]
+        self.feed(source)
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, tuple(attrs), []]
+        self.open[-1][2].append(node)
+        self.open.append(node)
+
+    def handle_endtag(self, tag):
+        self.open.pop()
+
+    def handle_data(self, data):
+        self.open[-1][2].append(data)
+
+
+def brute_templates(pages, least, share):
+    """Texts of unmarked pages (rows id, host, html) without the subtrees that are on many different pages of a host."""
+    trees = [(i, h, Tree(t).root) for i, h, t in pages]
+    holders, hosts = {}, {}
+
+    def nodes(node):
+        for c in node[2]:
+            if not isinstance(c, str):
+                yield c
+                yield from nodes(c)
+
+    for (_, h, t), (_, _, source) in zip(trees, pages, strict=True):
+        hosts.setdefault(h, set()).add(source)
+        for n in nodes(t):
+            if n[0] not in ("html", "body", "b"):
+                holders.setdefault((h, repr(n)), set()).add(source)
+    gone = {k for k, on in holders.items() if len(on) >= least and len(on) >= share * len(hosts[k[0]])}
+
+    def blocks(node, h):
+        out, line = [], []
+        for c in node[2]:
+            if isinstance(c, str):
+                line.append(c)
+            elif c[0] == "b":
+                line.extend(x for x in c[2] if isinstance(x, str))
+            else:
+                out += ["".join(line)] + ([] if (h, repr(c)) in gone else blocks(c, h))
+                line = []
+        return [*out, "".join(line)]
+
+    return {i: "\n\n".join(t for x in blocks(tree, h) if (t := " ".join(x.split()))) for i, h, tree in trees}, gone
+
+
+def test_templates_equal_brute_force_counts(spark):
+    rng = random.Random(15)
+    pages = []
+    for host, n in (("a.example", 40), ("b.example", 9), ("c.example", 3)):
+        shared = [f"<div><p>{prose(rng, 4)}</p><p>{prose(rng, 3)} <b>{host}</b></p></div>" for _ in range(6)]
+        for _ in range(n):
+            own = "".join(f"<p>{prose(rng, rng.randint(3, 12))}</p>" for _ in range(3))
+            some = [x for k, x in enumerate(shared) if rng.random() < (0.9, 0.5, 0.3, 0.15, 0.1, 0.02)[k]]
+            pages.append((len(pages), host, f"<html><body>{''.join(some)}<div>{own}</div>{rng.choice(shared)}</body></html>"))
+    pages += [(900 + i, pages[0][1], pages[0][2]) for i in range(6)]  # copies of a page count once
+    pages += [(3, "d.example", pages[3][2]), (None, "a.example", pages[5][2])]  # an id that another host's page has
+    rows = [(i, f"https://u@{h.upper()}:80/{i}?x", t) for i, h, t in pages]
+    found = page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    want, gone = brute_templates([(k, h, t) for k, (_, h, t) in enumerate(pages)], 5, 0.2)
+    assert len({h for h, _ in gone}) == 2
+    by_url = sorted((r.page_id is None, r.page_id, r.url.lower(), r.text) for r in found)
+    assert by_url == sorted((i is None, i, u.lower(), want[k]) for k, (i, u, _) in enumerate(rows))
+    assert sum(r.n_templates > 0 for r in found) > 30 and all(r.n_templates == 0 for r in found if "d.example" in r.url.lower())
+
+
+def test_deep_and_long_pages():
+    start = time.perf_counter()
+    for source in ("<div>" * 5000 + "x" + "</div>" * 5000, "<p>" * 20_000, "<" * 20_000, "<a " * 5000, "&amp;" * 50_000, "<!--" * 5000, "<p>" + "word " * 200_000):
+        page = parse(source)
+        assert len(page.keys()) == len(page.tag) and page.text() is not None
+    assert time.perf_counter() - start < 20
+
+
 # --- pipeline ---
 
 

@@ -1,9 +1,10 @@
 """Main text of web pages with site template removal (operator 10).
 
-Pages are parsed into an element tree where they lie. Each element subtree that could be a template part is hashed;
-Spark counts, for each host, the pages of different text that hold a subtree, and a subtree on many of them is deleted.
-Elements whose tag, role, class or id names boilerplate go as well. What is left of the article (or the main element,
-or the body) is returned block by block.
+Pages are parsed into an element tree where they lie. Each element subtree that a template could have put there is
+hashed, bottom up; Spark counts, for each host, the pages of different text that hold a subtree, and subtrees on many of
+them are deleted from every page of that host. Counts can't tell boilerplate that differs from page to page (an advert
+in turn, a menu of the section) or that of a host of few pages, so elements whose tag, role, class or id names
+boilerplate go as well. What is left of the article (or the main element, or the body) is returned block by block.
 """
 
 from __future__ import annotations
@@ -12,13 +13,13 @@ import hashlib
 import html
 import re
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnwright.llm.common import cut, in_arrow
+from turnwright.llm.common import in_arrow
+from turnwright.storage import cut
 
 # Fixed values of HTML: elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -192,16 +193,38 @@ class Page:
                 continue
             yield i, self.content[i] and not self.dropped[i]
 
-    def key(self, i: int) -> int:
-        raw = " ".join(self.source[self.start[i] : self.stop[i]].split())
-        return int.from_bytes(hashlib.blake2b(raw.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    def keys(self) -> list[int]:
+        """A hash of each element's subtree: its own source, white space normalized, with its children's hashes in it.
 
-    def text(self, templates: frozenset[int] = frozenset()) -> str:
-        """The blocks of the content without dropped elements and templates, joined by blank lines."""
+        Worked out from the last element to the first, so each character is hashed once, however deep it lies.
+        """
+        n = len(self.tag)
+        children: list[list[int]] = [[] for _ in range(n)]
+        for i in range(1, n):
+            children[self.parent[i]].append(i)
+        out = [0] * n
+        for i in range(n - 1, 0, -1):
+            digest, at = hashlib.blake2b(digest_size=8), self.start[i]
+            for c in children[i]:
+                digest.update(" ".join(self.source[at : self.start[c]].split()).encode("utf-8", "surrogatepass"))
+                digest.update(b"\0" + out[c].to_bytes(8, "little", signed=True))
+                at = self.stop[c]
+            digest.update(" ".join(self.source[at : self.stop[i]].split()).encode("utf-8", "surrogatepass"))
+            out[i] = int.from_bytes(digest.digest(), "little", signed=True)
+        return out
+
+    def hits(self, templates: frozenset[int]) -> set[int]:
+        """The elements that matter for the text and are templates."""
+        if not templates:
+            return set()
+        keys = self.keys()
+        return {i for i, matters in self.template_parts() if matters and keys[i] in templates}
+
+    def text(self, hit: set[int] = frozenset()) -> str:
+        """The blocks of the content without dropped elements and the elements hit, joined by blank lines."""
         gone = self.dropped
-        if templates:
+        if hit:
             gone = list(gone)
-            hit = {i for i, matters in self.template_parts() if matters and self.key(i) in templates}
             for i in range(1, len(gone)):
                 gone[i] = gone[i] or i in hit or gone[self.parent[i]]
         blocks: dict[int, list[str]] = {}
@@ -211,11 +234,9 @@ class Page:
         return "\n\n".join(t for parts in blocks.values() if (t := " ".join(html.unescape("".join(parts)).split())))
 
 
-def host_of(url: str | None) -> str:
-    try:
-        return urlsplit(url or "").hostname or ""
-    except ValueError:
-        return ""
+def host_of(url: F.Column) -> F.Column:
+    """The host of a url in lower case, without user and port; empty for a null url or one without a host."""
+    return F.lower(F.coalesce(F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)", 1), F.lit("")))
 
 
 def parse(source: str | None) -> Page:
@@ -224,54 +245,78 @@ def parse(source: str | None) -> Page:
     return page
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+PARTS = "page_id long, host string, part long, content long, matters boolean, plain boolean"
+
+
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each distinct subtree of a page that could be a template part, from rows (page_id, host, html)."""
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
     for batch in batches:
-        for lo in range(0, batch.num_rows, 500):
-            part = batch.slice(lo, 500)
+        for lo in range(0, batch.num_rows, 100):
+            part = batch.slice(lo, 100)
             rows: list[tuple] = []
-            for page_id, url, source in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-                page, host = parse(source), host_of(url)
-                content = int.from_bytes(hashlib.blake2b(page.text().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+            for page_id, host, source in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                page = parse(source)
+                content, keys = _hash(page.text()), page.keys()
                 seen: dict[int, tuple[bool, bool]] = {}
                 for i, matters in page.template_parts():
-                    k = page.key(i)
+                    k = keys[i]
                     seen[k] = (k in seen and seen[k][0] or matters, page.plain(i, TEXT_BLOCKS | {"tr"}))
                 rows += [(page_id, host, k, content, matters, plain) for k, (matters, plain) in seen.items()]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()), strict=True)], ["page_id", "host", "part", "content", "matters", "plain"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [f.split()[0] for f in PARTS.split(", ")])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo in range(0, batch.num_rows, 500):
-            part = batch.slice(lo, 500)
-            gone = part.column(3).to_pylist()
-            texts = [parse(source).text(frozenset(g or ())) for source, g in zip(part.column(2).to_pylist(), gone, strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
+        for lo in range(0, batch.num_rows, 100):
+            part = batch.slice(lo, 100)
+            texts, removed = [], []
+            for source, gone in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                page = parse(source)
+                hit = page.hits(frozenset(gone or ()))
+                texts.append(page.text(hit))
+                removed.append(len(hit))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(removed, pa.int64())], ["page_id", "url", "text", "n_chars", "n_templates"])
+
+
+def site_templates(parts: DataFrame, least_pages: int, least_share: float, many_pages: int) -> DataFrame:
+    """(host, part) of the subtrees that are template parts of their host, from rows of PARTS. Counts are partially
+    aggregated, so a host of very many pages meets as narrow sums."""
+    counts = parts.select("host", "part", "content", "plain").distinct().groupBy("host", "part").agg(F.count("*").alias("n"), F.bool_and("plain").alias("plain")).where(F.col("n") >= least_pages)
+    hosts = parts.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("of"))
+    return counts.join(hosts, "host").where((F.col("n") >= least_share * F.col("of")) | ~F.col("plain") & (F.col("n") >= many_pages)).select("host", "part")
 
 
 def page_texts(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2, many_pages: int = 50, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, url, text, n_chars) for each row of pages.
+    """(page_id, url, text, n_chars, n_templates) for each row of pages; n_templates subtrees of the text were templates.
 
     A subtree is a template part of its host if it is on at least ``least_pages`` pages of different text and on
     ``least_share`` of the host's; copies of a page count once. For containers and marked elements ``many_pages`` are
     enough, whatever the share: a large host has sections and notices in turn. An unmarked text block, such as a table
-    row, may well recur by itself, and needs the share. A host of fewer than ``least_pages`` has no templates. Within an article or main element only containers and
-    marked elements can be template parts, as articles may share passages. A null or empty html has an empty text; a
-    null or malformed url has the empty host. Rows with equal ids each have their own row. Other columns are ignored.
-    Pages of one host meet only as narrow, partially aggregated counts.
+    row, may well recur by itself, and needs the share. A host of fewer than ``least_pages`` has no templates. Within
+    an article or main element only containers and marked elements can be template parts, as articles may share
+    passages.
+
+    Elements named as boilerplate by tag, role, class or id go whatever the counts. On a page without article and main
+    element, a class or id says nothing of an element that holds more than MOST_TEXT of the page's text.
+
+    A null or empty html has an empty text; a null or malformed url has the empty host. Rows with equal ids each have
+    their own row, and templates of their own host alone. Other columns are ignored. A page of any length is one row
+    in memory; each of its characters is hashed once.
     """
-    base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    parts = cut(in_arrow(base, _parts, "page_id long, host string, part long, content long, matters boolean, plain boolean"))
-    counts = parts.select("host", "part", "content", "plain").distinct().groupBy("host", "part").agg(F.count("*").alias("n"), F.bool_and("plain").alias("plain"))
-    hosts = parts.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("of"))
-    templates = counts.where(F.col("n") >= least_pages).join(hosts, "host").where((F.col("n") >= least_share * F.col("of")) | ~F.col("plain") & (F.col("n") >= many_pages)).select("host", "part")
-    gone = parts.where("matters").join(templates, ["host", "part"]).groupBy("page_id", "host").agg(F.collect_set("part").alias("gone"))
-    gone = cut(gone)
+    url = F.col(url_col).cast("string")
+    base = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"), F.col(html_col).cast("string").alias("html"), host_of(url).alias("host"))
+    parts = cut(in_arrow(base.select("page_id", "host", "html"), _parts, PARTS))
+    templates = cut(site_templates(parts, least_pages, least_share, many_pages))
+    gone = cut(parts.where("matters").join(templates, ["host", "part"]).groupBy("page_id", "host").agg(F.collect_set("part").alias("gone")))
     if gone.isEmpty():
-        judged = base.withColumn("gone", F.lit(None).cast("array<bigint>"))
+        judged = base.select("page_id", "url", "html", F.lit(None).cast("array<bigint>").alias("gone"))
     else:
-        # the host as host_of has it, for telling rows of equal id apart
-        near = gone.groupBy("page_id").agg(F.flatten(F.collect_list("gone")).alias("gone"))
-        judged = base.join(near, base["page_id"].eqNullSafe(near["page_id"]), "left").select(base["page_id"], "url", "html", "gone")
-    return in_arrow(judged, _extract, "page_id long, url string, text string, n_chars long").withColumnsRenamed({"page_id": id_col, "url": url_col})
+        near = gone.select(F.col("page_id").alias("_p"), F.col("host").alias("_h"), "gone")
+        judged = base.join(near, base["page_id"].eqNullSafe(near["_p"]) & (base["host"] == near["_h"]), "left").select("page_id", "url", "html", "gone")
+    return in_arrow(judged, _extract, "page_id long, url string, text string, n_chars long, n_templates long").withColumnsRenamed({"page_id": id_col, "url": url_col})
