@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnwright.llm.arrays import scanned
+
 SYSTEM = "system"
 END = "<|end|>\n"
 
@@ -41,20 +43,16 @@ def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     parts = F.transform("ms", lambda m: F.struct(_head(m["role"], me).alias("head"), F.concat(m["text"], F.lit(END)).alias("body"), (m["role"] == me).alias("mine")))
     turned = turned.select("conv_id", "perspective", F.size("ms").cast("long").alias("n_turns"), parts.alias("parts"))
 
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + F.length(p["head"])
-        end = start + F.length(p["body"])
-        span = F.concat(start.cast("string"), F.lit(":"), end.cast("string"))
-        return F.struct(end.alias("at"), F.when(p["mine"], F.concat(acc["mask"], F.array(span))).otherwise(acc["mask"]).alias("mask"))
-
-    mask = F.aggregate("parts", F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("mask")), step, lambda acc: F.array_join(acc["mask"], ","))
+    ends = scanned(F.transform("parts", lambda p: F.length(p["head"]) + F.length(p["body"])))
+    turned = turned.withColumn("placed", F.arrays_zip(F.col("parts").alias("p"), ends.alias("end")))
+    spans = F.transform(F.filter("placed", lambda x: x["p"]["mine"]), lambda x: F.concat_ws(":", (x["end"] - F.length(x["p"]["body"])).cast("string"), x["end"].cast("string")))
     return turned.select(
         F.col("conv_id").alias(conv_col),
         "perspective",
         "n_turns",
         F.size(F.filter("parts", lambda p: p["mine"])).cast("long").alias("n_target"),
         F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"])), "").alias("rendered"),
-        mask.alias("mask"),
+        F.array_join(spans, ",").alias("mask"),
     )
 
 
