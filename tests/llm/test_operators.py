@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import string
 import time
 import zlib
 from collections import Counter
@@ -460,13 +461,48 @@ def base_spans(t):
     return [f"{k}:{a}:{b}" for a, _, k, b in sorted(found)]
 
 
-def hot(text, window, alphabet, least):
-    ends = []
+def hot(text, window, alphabet, least, allow=()):
+    """Maximal stretches covered by windows of the class that reach the entropy."""
+    out = []
     for e in range(window, len(text) + 1):
         w = text[e - window : e]
-        if all(c in alphabet for c in w) and -sum(w.count(c) / window * math.log2(w.count(c) / window) for c in set(w)) >= least - 1e-9:
-            ends.append(e)
-    return (ends[0] - window, ends[-1]) if ends else None
+        if all(c in alphabet for c in w) and math.log2(window) - sum(w.count(c) * math.log2(w.count(c)) for c in set(w)) / window >= least - 1e-9 and not any(re.search(p, w) for p in allow):
+            if out and e - window <= out[-1][1]:
+                out[-1][1] = e
+            else:
+                out.append([e - window, e])
+    return [tuple(x) for x in out]
+
+
+def test_entropy_spans_equal_brute_force(spark):
+    from turnwright.llm.secret_scan import ALLOW, CLASSES, WINDOW
+
+    rng = random.Random(16)
+    texts = []
+    for _ in range(120):
+        parts = [rng.choice(["".join(rng.choice("0123456789abcdef") for _ in range(rng.randint(5, 40))), "".join(rng.choice("Zz09+/_-xyPQ7") for _ in range(rng.randint(3, 50))), "a" * rng.randint(1, 30), "=", "0123456789", "0a1b2c3d" * 3]) for _ in range(rng.randint(1, 8))]
+        texts.append("1" + "".join(parts))
+    inner = [p for p in ALLOW if not p.startswith("^")]
+    docs = spark.createDataFrame(list(enumerate(f"é {t} é" for t in texts)), "doc_id long, text string")
+    for r in scan_secrets(docs, allow=tuple(inner), names="never").collect():
+        base = [(s.start, s.end) for s in r.base]
+        want = [(2 + a, 2 + b, kind) for kind, _, alphabet, least in CLASSES for a, b in hot(texts[r.doc_id], WINDOW, alphabet, least, inner)]
+        want = [w for w in want if not any(a <= w[0] and w[1] <= b for a, b in base)]
+        assert sorted((s.start, s.end, s.kind) for s in r.added) == sorted(want), texts[r.doc_id]
+
+
+def test_texts_full_of_matches(spark):
+    rng = random.Random(17)
+    texts = [" ".join(rng.randbytes(12).hex() for _ in range(16_000)), rng.randbytes(100_000).hex(), "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(200_000)), "token=abcdefgh " * 5000, "a1" * 100_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(len(texts))
+    secret_digest(scan_secrets(docs.limit(0))).collect()
+    start = time.perf_counter()
+    rows = {r.doc_id: r for r in secret_digest(scan_secrets(docs)).collect()}
+    assert time.perf_counter() - start < 60
+    for i in (0, 1, 3):
+        want = base_spans(texts[i])
+        assert rows[i].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+    assert rows[2].spans.startswith("entropy_base64:0:") and rows[4].spans == "hex:0:200000"
 
 
 def test_secrets(spark):
@@ -485,9 +521,9 @@ def test_secrets(spark):
         assert rows[i].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), t
         assert (rows[i].n_assign, rows[i].n_access, rows[i].n_hex) == tuple(sum(x.startswith(k) for x in want) for k in ("assign", "access", "hex"))
         assert [s for s in rows[i].spans.split(",") if s and not s.startswith("entropy")] == want
-    kind, alphabet, least = CLASSES[1]
+    kind, _, alphabet, least = CLASSES[1]
     i = texts.index(f"see {blob} ok")
-    a, b = hot(blob, WINDOW, alphabet, least)
+    [(a, b)] = hot(blob, WINDOW, alphabet, least)
     assert rows[i].spans == f"{kind}:{4 + a}:{4 + b}"
     for name in ("sample-" + blob, "x" * 40 + "1", "123e4567-e89b-12d3-a456-426614174000"):
         assert rows[texts.index(name)].spans == ""

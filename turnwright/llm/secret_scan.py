@@ -1,32 +1,40 @@
 """Secret scans with DataFrame functions only (operator 9).
 
 Base kinds are regular expressions; the method adds spans of high Shannon entropy. Candidate strings are runs of token
-characters that hold a digit. For each character class a window slides over the candidate; the window's entropy comes
-from counts that are changed by one character in and one out. Left out are candidates that an allow-list pattern with
-both anchors matches, windows that another one matches, path parts (between slashes) with a placeholder's name, and
-spans within a base span.
+characters that hold a digit. For each character class a window slides over the candidate's runs of that class; its
+entropy comes from counts that are changed by one character in and one out. A span is a maximal stretch covered by
+windows that reach the class's threshold. Left out are candidates that an allow-list pattern with both anchors matches,
+windows that another one matches, path parts (between slashes) with a placeholder's name, and spans within a base span.
 
-``split`` and ``regexp_extract_all`` use the same matches, so a match starts where the gaps and matches before it end;
-lengths are in code points.
+``split`` and ``regexp_extract_all`` use the same matches, so a match ends where the running sum of the gaps and matches
+up to it ends; lengths are in code points.
 """
 
 from __future__ import annotations
 
 import math
+import string
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnwright.llm.arrays import bound, scanned
+
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 CANDIDATE = r"[A-Za-z0-9+/_=-]+"
 WINDOW = 20
-#: name, alphabet, least entropy in bits of a window
-CLASSES = (("entropy_hex", "0123456789abcdef", 3.25), ("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 3.85))
+#: name, characters as a regular expression's class and in full, least entropy in bits of a window
+CLASSES = (
+    ("entropy_hex", "0-9a-f", string.digits + "abcdef", 3.25),
+    ("entropy_base64", "A-Za-z0-9+/_-", string.ascii_letters + string.digits + "+/_-", 3.85),
+)
 #: Path parts that hold one of these are no secrets.
 NAMES = r"(?i)example|sample|placeholder|changeme|dummy|xxxx"
+#: A longer path part may hold a name by chance; there only the windows with the name are left out.
+NAMED = 64
 #: Candidates (with both anchors) or windows that match one of these are no secrets.
 ALLOW = (r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", r"(.)\1{5}", r"^[0-9+/_=-]+$", r"0123456789|abcdefgh")
 SPANS = "array<struct<start:int,end:int,kind:string,rank:int>>"
@@ -35,17 +43,16 @@ SPANS = "array<struct<start:int,end:int,kind:string,rank:int>>"
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """array<struct<start, end, hit, part>> of the leftmost non-overlapping matches; part is the group's text."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = hits if not group else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else F.transform(hits, lambda h: F.lit(None).cast("string"))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-    zipped = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"), parts.alias("part"))
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,hit:string,part:string>>)")
+    zipped = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), parts.alias("part"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["hit"])
-        return F.struct(end.alias("at"), F.concat(acc["found"], F.array(F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit"), x["part"].alias("part")))).alias("found"))
+    def placed(found: Column) -> Column:
+        ends = scanned(F.transform(found, lambda x: x["gap"] + F.length(x["hit"])))
+        whole = F.arrays_zip(ends.alias("end"), found.alias("m"))
+        return F.transform(whole, lambda x: F.struct((x["end"] - F.length(x["m"]["hit"])).alias("start"), x["end"].alias("end"), x["m"]["hit"].alias("hit"), x["m"]["part"].alias("part")))
 
-    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda acc: acc["found"])
+    return bound(F.filter(zipped, lambda x: x["hit"].isNotNull()), placed)
 
 
 def _as_spans(found: Column, kind: str, rank: int) -> Column:
@@ -56,40 +63,56 @@ def _none() -> Column:
     return F.expr(f"cast(array() as {SPANS})")
 
 
-def _plogp(n: Column) -> Column:
-    return F.when(n > 1, n * F.log2(n.cast("double"))).otherwise(F.lit(0.0))
+HELD = 48  # a count is kept as the character of this code plus the count
 
 
-def hot_range(hit: Column, alphabet: str, least: float, window: int = WINDOW, allow: tuple[str, ...] = ()) -> Column:
-    """struct<first, last>: ends of the first and the last window of the class whose entropy reaches ``least``.
+def hot_spans(run: Column, alphabet: str, least: float, window: int = WINDOW, allow: tuple[str, ...] = ()) -> Column:
+    """array<struct<start, end>>: the maximal stretches of a run of the class covered by windows whose entropy reaches
+    ``least``. Windows that match a pattern of ``allow`` don't count.
 
-    Windows that match a pattern of ``allow`` don't count. A window counts once ``window`` characters in a row are of the class; a character outside it starts anew.
+    The counts are a string with a character for each member of the class, so that a step changes two characters. The
+    entropy of a window is log2(window) less the sum of n * log2(n) over its counts by window, and that sum is kept.
     """
-    size = len(alphabet)
-    chars = F.transform(F.filter(F.split(hit, ""), lambda c: c != ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
-    zero = F.array_repeat(F.lit(0), size)
-    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("run"), zero.alias("n"), F.lit(0.0).alias("s"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
-
-    def step(acc: Column, c: Column, all_: Column) -> Column:
-        full = acc["run"] >= window
-        out = F.when(full, F.element_at(all_, acc["i"] - window + 1)).otherwise(F.lit(-1))
-        lost = F.when(full, F.element_at(acc["n"], out + 1)).otherwise(F.lit(0))
-        s = acc["s"] - _plogp(lost) + _plogp(lost - 1)
-        had = F.element_at(acc["n"], c + 1) - F.when(out == c, 1).otherwise(0)
-        s = s - _plogp(had) + _plogp(had + 1)
-        n = F.transform(acc["n"], lambda x, k: x + F.when(k == c, 1).otherwise(0) - F.when(k == out, 1).otherwise(0))
-        run = acc["run"] + 1
-        hot = (run >= window) & (F.lit(math.log2(window)) - s / window >= least)
+    if window + HELD > 126:
+        raise ValueError("a window is too long for its counts")
+    terms = F.array(*(F.lit(n * math.log2(n) if n else 0.0) for n in range(window + 1)))
+    chars = F.filter(F.split(run, ""), lambda c: c != "")
+    codes = F.transform(chars, lambda c: F.instr(F.lit(alphabet), c))
+    steps = bound(F.arrays_zip(chars.alias("c"), codes.alias("into")), lambda x: F.slice(F.arrays_zip(x.alias("x"), F.concat(F.array_repeat(F.lit(0), window), F.transform(x, lambda y: y["into"])).alias("out")), F.lit(1), F.size(x)))
+    none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+    start = F.struct(F.lit(0).alias("i"), F.lit("").alias("text"), F.lit(chr(HELD) * len(alphabet)).alias("n"), F.lit(0.0).alias("s"), F.lit(-1).alias("open"), F.lit(-1).alias("last"), none.alias("done"))
+
+    def changed(state: Column, code: Column, by: int) -> Column:
+        """Counts and sum with one more or less of a code."""
+        def put(held: Column) -> Column:
+            n = F.overlay(state["n"], F.char(held + by + HELD), code, F.lit(1))
+            return F.struct(n.alias("n"), (state["s"] - F.element_at(terms, held + 1) + F.element_at(terms, held + 1 + by)).alias("s"))
+
+        return bound(F.ascii(F.substring(state["n"], code, F.lit(1))) - HELD, put)
+
+    def step(acc: Column, move: Column) -> Column:
+        here = F.struct(acc["n"].alias("n"), acc["s"].alias("s"))
+        less = F.when(move["out"] > 0, changed(here, move["out"], -1)).otherwise(here)
+        now = bound(less, lambda state: changed(state, move["x"]["into"], 1))
+        text = F.substring(F.concat(acc["text"], move["x"]["c"]), F.lit(-window), F.lit(window))
         end = acc["i"] + 1
-        if allow:
-            hot &= ~_any(F.substring(hit, end - window + 1, F.lit(window)), allow)
-        inside = F.struct(end.alias("i"), run.alias("run"), n.alias("n"), s.alias("s"), F.when(hot, F.coalesce(acc["first"], end)).otherwise(acc["first"]).alias("first"), F.when(hot, end).otherwise(acc["last"]).alias("last"))
-        outside = F.struct(end.alias("i"), F.lit(0).alias("run"), zero.alias("n"), F.lit(0.0).alias("s"), acc["first"].alias("first"), acc["last"].alias("last"))
-        return F.when(c >= 0, inside).otherwise(outside)
 
-    # the code array is bound once, as the only element of an outer array
-    bound = F.transform(F.array(chars), lambda codes: F.aggregate(codes, start, lambda acc, c: step(acc, c, codes), lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last"))))
-    return F.element_at(bound, 1)
+        def judged(found: Column) -> Column:
+            state, text = found["state"], found["text"]
+            hot = (end >= window) & (F.lit(math.log2(window)) - state["s"] / window >= least - 1e-9)
+            if allow:
+                hot &= ~_any(text, allow)
+
+            def moved(is_hot: Column) -> Column:
+                fresh = is_hot & ((acc["open"] < 0) | (end - window > acc["last"]))
+                closed = F.when(fresh & (acc["open"] >= 0), F.concat(acc["done"], F.array(F.struct(acc["open"].alias("start"), acc["last"].alias("end"))))).otherwise(acc["done"])
+                return F.struct(end.alias("i"), text.alias("text"), state["n"].alias("n"), state["s"].alias("s"), F.when(fresh, end - window).otherwise(acc["open"]).alias("open"), F.when(is_hot, end).otherwise(acc["last"]).alias("last"), closed.alias("done"))
+
+            return bound(hot, moved)
+
+        return bound(F.struct(now.alias("state"), text.alias("text")), judged)
+
+    return F.aggregate(steps, start, step, lambda acc: F.when(acc["open"] >= 0, F.concat(acc["done"], F.array(F.struct(acc["open"].alias("start"), acc["last"].alias("end"))))).otherwise(acc["done"]))
 
 
 def _any(text: Column, patterns: tuple[str, ...]) -> Column:
@@ -97,31 +120,35 @@ def _any(text: Column, patterns: tuple[str, ...]) -> Column:
 
 
 def without_names(hit: Column, names: str) -> Column:
-    """The candidate with blanks for its path parts that hold one of the names."""
-    parts = F.transform(F.split(hit, "/", -1), lambda p: F.when(p.rlike(names), F.regexp_replace(p, ".", " ")).otherwise(p))
+    """The candidate with blanks for its path parts of at most NAMED characters that hold one of the names."""
+    parts = F.transform(F.split(hit, "/", -1), lambda p: F.when((F.length(p) <= NAMED) & p.rlike(names), F.regexp_replace(p, ".", " ")).otherwise(p))
     return F.when(hit.rlike(names), F.array_join(parts, "/")).otherwise(hit)
 
 
 def entropy_spans(text: Column, window: int, allow: tuple[str, ...], names: str) -> Column:
     """Spans of every class over the candidates of a text."""
     whole = tuple(p for p in allow if p.startswith("^") and p.endswith("$"))
-    inner = tuple(p for p in allow if p not in whole)
+    inner = (*(p for p in allow if p not in whole), names)
     found = F.filter(matches(text, f"{CANDIDATE[:-1]}{{{window},}}"), lambda m: m["hit"].rlike("[0-9]") & ~_any(m["hit"], whole))
     found = F.transform(found, lambda m: F.struct(m["start"].alias("start"), without_names(m["hit"], names).alias("hit")))
-    return F.concat(*(_hot(found, kind, rank, alphabet, least, window, inner) for rank, (kind, alphabet, least) in enumerate(CLASSES, 4)))
 
+    def of_class(candidates: Column, rank: int, kind: str, members: str, alphabet: str, least: float) -> Column:
+        def of_run(base: Column, run: Column) -> Column:
+            spans = hot_spans(run["hit"], alphabet, least, window, inner)
+            return F.transform(spans, lambda s: F.struct((base + run["start"] + s["start"]).alias("start"), (base + run["start"] + s["end"]).alias("end"), F.lit(kind).alias("kind"), F.lit(rank).alias("rank")))
+
+        runs = F.transform(candidates, lambda m: F.flatten(F.transform(matches(m["hit"], f"[{members}]{{{window},}}"), lambda run: of_run(m["start"], run))))
+        return F.flatten(runs)
 
-def _hot(found: Column, kind: str, rank: int, alphabet: str, least: float, window: int, allow: tuple[str, ...]) -> Column:
-    ranges = F.transform(found, lambda m: F.struct(m["start"].alias("base"), hot_range(m["hit"], alphabet, least, window, allow).alias("r")))
-    hot = F.filter(ranges, lambda x: x["r"]["first"].isNotNull())
-    return F.transform(hot, lambda x: F.struct((x["base"] + x["r"]["first"] - window).alias("start"), (x["base"] + x["r"]["last"]).alias("end"), F.lit(kind).alias("kind"), F.lit(rank).alias("rank")))
+    return bound(found, lambda c: F.concat(*(of_class(c, rank, *kind) for rank, kind in enumerate(CLASSES, 4))))
 
 
 def scan_secrets(docs: DataFrame, window: int = WINDOW, allow: tuple[str, ...] = ALLOW, names: str = NAMES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, base, added) for each row: arrays of struct<start, end, kind, rank> over the whole text, in code points.
 
     A null text counts as empty and has no spans. Rows are independent, so ids may be null or repeat; other columns
-    are ignored. Nothing is shuffled. Each pattern first has a cheap test for whether it can match at all.
+    are ignored. Nothing is shuffled. Each pattern first has a cheap test for whether it can match at all. A text of any
+    length and with any number of matches is worked through within its row.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).select("id", text.alias("text"))
@@ -138,8 +165,11 @@ def scan_secrets(docs: DataFrame, window: int = WINDOW, allow: tuple[str, ...] =
         F.when(text.rlike(r"[0-9a-f]{24}"), _as_spans(hexes, "hex", 3)).otherwise(_none()).alias("hex"),
         F.when(text.rlike(rf"{CANDIDATE[:-1]}{{{window}}}"), entropy_spans(text, window, allow, names)).otherwise(_none()).alias("hot"),
     )
-    rows = rows.select("id", F.array_sort(F.concat("assign", "access", "hex"), _by_start).alias("base"), "hot")
-    added = F.filter("hot", lambda h: ~F.exists("base", lambda b: (b["start"] <= h["start"]) & (h["end"] <= b["end"])))
+    # in order of their starts, a span lies within a base span if one before it ends no earlier
+    rows = rows.select("id", F.array_sort(F.concat("assign", "access", "hex", "hot"), _by_start).alias("all"))
+    reach = scanned(F.transform("all", lambda s: F.when(s["rank"] < 4, s["end"]).otherwise(F.lit(0))), F.greatest)
+    rows = rows.select("id", F.filter("all", lambda s: s["rank"] < 4).alias("base"), F.arrays_zip(F.col("all").alias("s"), reach.alias("reach")).alias("reached"))
+    added = F.transform(F.filter("reached", lambda x: (x["s"]["rank"] >= 4) & (x["reach"] < x["s"]["end"])), lambda x: x["s"])
     return rows.select(F.col("id").alias(id_col), "base", added.alias("added"))
 
 
