@@ -398,16 +398,66 @@ def test_leaks(spark):
     assert find_leaks(docs, bench.limit(0)).count() == 0 and find_leaks(docs.limit(0), bench).count() == 0
 
 
+def test_leaks_equal_brute_force_windows(spark):
+    """Passages changed by some words: every window of every item's length, by exact weighted similarity."""
+    rng = random.Random(18)
+    k, least = 5, 0.8
+    lines = [prose(rng, 8) for _ in range(4)]
+    items = [(i, prose(rng, n)) for i, n in enumerate((3, 7, 12, 20, 20, 33, 60, 61, 120))] + [(9, " ".join([lines[0]] * 6)), (10, items_text := prose(rng, 40)), (11, items_text)]
+    docs = []
+    for i, t in items:
+        for _ in range(30):
+            w = t.split()
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 3, 5])):
+                at = rng.randrange(len(w))
+                w[at : at + rng.choice([0, 1, 1])] = rng.choice([[], ["zq"], ["zq", "zr"]])
+            cut = rng.choice([0, 0, 0, len(w) // 8])
+            docs.append((len(docs), " ".join([prose(rng, rng.choice([0, 0, 9, 60])), *w[cut:], prose(rng, rng.choice([0, 9, 60])), *(w if rng.random() < 0.2 else [])])))
+
+    def grams(words, size):
+        return [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
+
+    want = {}
+    for d, text in docs:
+        for i, item in items:
+            words, own = text.split(), item.split()
+            size = min(k, len(own))
+            g, mine = grams(words, size), Counter(grams(own, size))
+            n = min(sum(mine.values()), len(g))
+            for s in range(len(g) - n + 1 if n else 0):
+                window = Counter(g[s : s + n])
+                inter = sum((window & mine).values())
+                sim = inter / (n + sum(mine.values()) - inter)
+                if sim >= least and sim > want.get((d, i), (0, 0))[0]:
+                    want[d, i] = (sim, s)
+    found = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), words=k, least=least).collect()
+    assert {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in found} == want
+    assert len(found) == len(want) and sum(0.8 <= x < 1 for x, _ in want.values()) > 30
+
+
+def test_blocks_of_items_give_the_same(spark, monkeypatch):
+    from turnwright.llm import decontaminate
+
+    rng = random.Random(19)
+    items = [(i, prose(rng, 30)) for i in range(6)]
+    docs = spark.createDataFrame([(i, f"{prose(rng, 20)} {items[i % 6][1]}" if i % 2 else prose(rng, 40)) for i in range(30)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(find_leaks(docs, bench).collect())
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 300)
+    assert sorted(find_leaks(docs, bench).collect()) == whole and len(whole) == 15
+    assert without_leaks(docs, bench).count() == 15
+
+
 def test_hamming_index_finds_all_within_radius():
     rng = np.random.default_rng(12)
-    prints = rng.integers(0, 2**63, 300, dtype=np.uint64)
-    index = HammingIndex(prints, 20)
-    for q in prints[:20]:
-        q = int(q) ^ int(rng.integers(0, 2**63)) & int(rng.integers(0, 2**63)) & int(rng.integers(0, 2**63))
-        assert index.near(q).tolist() == [i for i, p in enumerate(prints.tolist()) if (p ^ q).bit_count() <= 20]
+    prints = rng.integers(0, 2**63, (300, 2), dtype=np.uint64)
+    near = prints[:40] ^ (rng.integers(0, 2**63, (40, 2), dtype=np.uint64) & rng.integers(0, 2**63, (40, 2), dtype=np.uint64))
+    q, f = HammingIndex(prints, 44).near(near)
+    apart = np.bitwise_count(near[:, None] ^ prints[None]).sum(2)
+    assert list(zip(q, f, strict=True)) == list(zip(*np.nonzero(apart <= 44), strict=True)) and len(q) >= 40
     s = rng.integers(0, 2**63, 50, dtype=np.uint64)
     bits = [sum(1 if x >> b & 1 else -1 for x in s[7:19].tolist()) > 0 for b in range(64)]
-    assert simhash(s, np.array([7]), 12)[0] == sum(1 << b for b, on in enumerate(bits) if on)
+    assert simhash(s, np.array([7]), 12)[0, 0] == sum(1 << b for b, on in enumerate(bits) if on)
 
 
 # --- 8 ---

@@ -1,207 +1,238 @@
 """Benchmark decontamination with SimHash windows (operator 7).
 
 For each benchmark item, windows as long as the item slide over every document word by word. Window and item have a
-64-bit SimHash of their word shingles. A multi-index over the items' fingerprints returns every item within a Hamming
-radius: the bits are cut into radius + 1 blocks, and two fingerprints within the radius agree on one block at least.
-Candidates are verified by the exact weighted Jaccard similarity of their shingles (weights: occurrences).
-
-Only windows that could pass are fingerprinted: a similarity of t needs t times the item's shingles within the window,
-so a window with fewer occurrences of the item's shingles can't reach it. This bound drops nothing that would verify.
+128-bit SimHash of their word shingles. A multi-index over the fingerprints of the items of one length returns every item
+within a Hamming radius: the bits are cut into radius + 1 blocks, and two fingerprints within the radius agree on one
+block at least. What it returns is verified by the exact weighted Jaccard similarity of the shingles (weights:
+occurrences). Two windows of similarity 0.8 differ in 19 bits on average (standard deviation 4), unrelated ones in 64;
+the radius is 44.
+
+A window of similarity t to an item has t times as many of that item's shingles as the item has; so windows with fewer
+shingles that any item of the block has can't match anything, and aren't fingerprinted. Which item a window may match
+is for the index alone to say.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnwright.llm import shingles as S
 from turnwright.llm.common import in_arrow
+from turnwright.storage import shared_dir
 
-BITS = 64
-RADIUS = 20
-#: Items are broadcast in blocks of at most so many characters; documents are read once for each block.
+BITS = 128
+RADIUS = 44
+#: Items are held by executors in blocks of at most so many characters; documents are read once for each block.
 BLOCK_CHARS = 8_000_000
+#: Windows that are fingerprinted at a time.
+BATCH = 4096
+
+
+def signs(shingles: np.ndarray) -> np.ndarray:
+    """+1 or -1 for each bit of each shingle's 128-bit hash."""
+    wide = np.stack((shingles, S.mix(shingles ^ S.BASE)), axis=1)
+    return (np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little").astype(np.int32) << 1) - 1
 
 
 def simhash(shingles: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Fingerprints of the windows shingles[s : s + length]; a bit is set if more shingles have it than not."""
-    signs = ((shingles[:, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)).astype(np.int32) * 2 - 1
-    sums = np.concatenate((np.zeros((1, BITS), np.int32), np.cumsum(signs, axis=0, dtype=np.int32)))
-    bits = sums[starts + length] - sums[starts] > 0
-    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)[:, 0]
+    """Fingerprints (rows of two words) of the windows shingles[s : s + length]; a bit is set if more shingles have it
+    than not."""
+    sums = np.concatenate((np.zeros((1, BITS), np.int32), np.cumsum(signs(shingles), axis=0, dtype=np.int32)))
+    return np.packbits(sums[starts + length] > sums[starts], axis=1, bitorder="little").view(np.uint64)
 
 
 class HammingIndex:
     """Finds all fingerprints within ``radius`` of given ones."""
 
-    def __init__(self, prints: np.ndarray, radius: int) -> None:
+    def __init__(self, prints: np.ndarray, radius: int = RADIUS) -> None:
         self.prints, self.radius = prints, radius
-        edges = np.linspace(0, BITS, radius + 2).astype(int)
-        self.blocks = []
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            mask = np.uint64((1 << int(b - a)) - 1)
-            values = (prints >> np.uint64(a)) & mask
-            order = np.argsort(values, kind="stable")
-            self.blocks.append((np.uint64(a), mask, values[order], order))
-
-    def near(self, query: int) -> np.ndarray:
-        """Indexes of the fingerprints within the radius."""
-        q = np.uint64(query)
-        found = np.zeros(len(self.prints), bool)
-        for shift, mask, values, order in self.blocks:
-            v = (q >> shift) & mask
-            a, b = np.searchsorted(values, v), np.searchsorted(values, v, "right")
-            found[order[a:b]] = True
-        at = np.flatnonzero(found)
-        return at[np.bitwise_count(self.prints[at] ^ q) <= self.radius]
+        self.edges = np.linspace(0, BITS, radius + 2).astype(int)
+        values = self._blocks(prints)
+        self.order = np.argsort(values, axis=0, kind="stable")
+        self.values = np.take_along_axis(values, self.order, axis=0)
+
+    def _blocks(self, prints: np.ndarray) -> np.ndarray:
+        bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, bitorder="little")
+        return np.stack([bits[:, a:b] @ (1 << np.arange(b - a)) for a, b in zip(self.edges[:-1], self.edges[1:], strict=True)], axis=1)
+
+    def near(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, fingerprint) of every pair within the radius, in that order."""
+        found = np.zeros((len(queries), len(self.prints)), bool)
+        for block, values in enumerate(self._blocks(queries).T):
+            a, b = (np.searchsorted(self.values[:, block], values, side) for side in ("left", "right"))
+            row = np.repeat(np.arange(len(queries)), b - a)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + np.repeat(a, b - a)
+            found[row, self.order[at, block]] = True
+        q, f = np.nonzero(found)
+        close = np.bitwise_count(queries[q] ^ self.prints[f]).sum(axis=1) <= self.radius
+        return q[close], f[close]
 
 
 def normal(texts: pa.Array) -> pa.Array:
     return pc.utf8_lower(texts.fill_null(""))
 
 
+class Group:
+    """The items of one number of shingles, behind their index."""
+
+    def __init__(self, items: list[int], shingles: list[np.ndarray]) -> None:
+        self.items, self.length = items, len(shingles[0])
+        self.counts = [Counter(s.tolist()) for s in shingles]
+        self.index = HammingIndex(np.concatenate([simhash(s, np.zeros(1, np.int64), len(s)) for s in shingles]))
+
+
 class Items:
-    """The items of one block, ready for matching."""
+    """The items of one block, ready for matching: by words of a shingle, then by shingles."""
 
-    def __init__(self, ids: list, texts: list[str], k: int) -> None:
-        self.k, self.ids = k, ids
-        self.words, self.shingles, self.counts = [], [], []
-        for _, data, offsets in S.text_chunks(normal(pa.array(texts, pa.string()))):
+    def __init__(self, ids: list, texts: list[str], k: int, least: float) -> None:
+        self.ids, self.least = ids, least
+        by_size: dict[int, dict[int, list[tuple[int, np.ndarray]]]] = {}
+        for first, data, offsets in S.text_chunks(normal(pa.array(texts, pa.string()))):
             hashes, _, begins = S.words(data, offsets, S.MARKS)
-            for a, b in zip(begins[:-1], begins[1:], strict=True):
-                h = hashes[a:b]
-                own, _ = S.shingles(h, np.array([0, len(h)]), max(1, min(k, len(h))))
-                self.words.append(len(h))
-                self.shingles.append(own)
-                self.counts.append(Counter(own.tolist()))
-        self.by_size: dict[int, tuple[np.ndarray, dict[int, list[int]]]] = {}
-        for i, n in enumerate(self.words):
-            if n:
-                holders = self.by_size.setdefault(min(k, n), (None, {}))[1]
-                for x in self.counts[i]:
-                    holders.setdefault(x, []).append(i)
-        for size, (_, holders) in list(self.by_size.items()):
-            self.by_size[size] = (np.array(sorted(holders), np.uint64), holders)
-        prints = np.array([simhash(s, np.zeros(1, np.int64), len(s))[0] if len(s) else 0 for s in self.shingles], np.uint64)
-        self.index = HammingIndex(prints, RADIUS)
-
-    def matches(self, shingles: np.ndarray, size: int, n_words: int, hits: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
-        """(item, similarity, first word, words) of the best window of each item that a text holds."""
-        holders = self.by_size[size][1]
-        where: dict[int, list[int]] = {}
-        for p in hits.tolist():
-            for i in holders[int(shingles[p])]:
-                where.setdefault(i, []).append(p)
-        out: dict[int, tuple[float, int, int]] = {}
-        tried: dict[tuple[int, int], float] = {}
-        for i, at in where.items():
-            n = min(len(self.shingles[i]), len(shingles))
-            need = least * len(self.shingles[i]) - 1e-9
-            at = np.array(at)
-            if len(at) < need:
-                continue
-            held = np.zeros(len(shingles) + 1, np.int64)
-            held[at + 1] = 1
-            held = np.cumsum(held)
-            starts = np.flatnonzero(held[n:] - held[: len(held) - n] >= need)
-            if not len(starts):
+            for i, (a, b) in enumerate(zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True), first):
+                if b > a:
+                    size = min(k, b - a)
+                    own, _ = S.shingles(hashes[a:b], np.array([0, b - a]), size)
+                    by_size.setdefault(size, {}).setdefault(len(own), []).append((i, own))
+        #: words of a shingle: (all shingles of such items in order, groups by ascending length)
+        self.sizes = {
+            size: (np.unique(np.concatenate([s for some in groups.values() for _, s in some])), [Group([i for i, _ in groups[n]], [s for _, s in groups[n]]) for n in sorted(groups)])
+            for size, groups in by_size.items()
+        }
+
+    def matches(self, shingles: np.ndarray, known: np.ndarray, groups: list[Group], size: int) -> Iterator[tuple[int, float, int, int]]:
+        """(item, similarity, first word, words) of the best window of each item that one text holds; ``known`` tells
+        which of the text's shingles any item has."""
+        held = np.concatenate(([0], np.cumsum(known)))
+        for group in groups:
+            need = max(1, math.ceil(self.least * group.length - 1e-9))
+            if need > held[-1] or need > len(shingles):
                 continue
-            lo = int(starts[0])
-            prints = simhash(shingles[lo : int(starts[-1]) + n], starts - lo, n)
-            for s, fp in zip(starts.tolist(), prints.tolist(), strict=True):
-                for j in self.index.near(fp).tolist():
-                    if len(self.shingles[j]) != n and j != i or min(self.k, self.words[j]) != size or (j, s) in tried:
-                        continue
-                    a, b = Counter(shingles[s : s + n].tolist()), self.counts[j]
-                    inter = sum(min(c, b[x]) for x, c in a.items() if x in b)
-                    tried[j, s] = sim = inter / (sum(a.values()) + sum(b.values()) - inter)
-                    if sim >= least and (j not in out or (sim, -s) > (out[j][0], -out[j][1])):
-                        out[j] = (sim, s, min(n + size - 1, n_words))
-        return [(j, *out[j]) for j in sorted(out)]
-
-
-def _scan(items: Items, least: float, texts: pa.Array) -> Iterator[tuple[int, list[tuple[int, float, int, int]]]]:
-    """(row, matches) for each text with matches."""
-    for first, data, offsets in S.text_chunks(normal(texts)):
-        hashes, _, begins = S.words(data, offsets, S.MARKS)
-        found: dict[int, list] = {}
-        for size, (known, _) in items.by_size.items():
-            shingles, begin = S.shingles(hashes, begins, size)
-            at = np.searchsorted(known, shingles)
-            at[at == len(known)] = 0
-            hits = np.flatnonzero(known[at] == shingles)
-            owner = np.searchsorted(begin, hits, "right") - 1
-            for row in np.unique(owner).tolist():
-                a, b = int(begin[row]), int(begin[row + 1])
-                own = hits[owner == row] if len(owner) < 50 else hits[np.searchsorted(owner, row) : np.searchsorted(owner, row, "right")]
-                n_words = int(begins[row + 1] - begins[row])
-                if n_words >= size:
-                    found.setdefault(row, []).extend(items.matches(shingles[a:b], size, n_words, own - a, least))
-        for row in sorted(found):
-            if found[row]:
-                yield first + row, found[row]
-
-
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list]:
-    """The items in ascending order of a hash, in lists of at most BLOCK_CHARS characters or one item."""
-    rows = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+            n = min(group.length, len(shingles))  # a text shorter than the item is a window of its own
+            starts = np.flatnonzero(held[n:] - held[:-n] >= need)
+            best: dict[int, tuple[float, int]] = {}
+            for lo in range(0, len(starts), BATCH):
+                some = starts[lo : lo + BATCH]
+                part = shingles[some[0] : some[-1] + n]
+                q, f = group.index.near(simhash(part, some - some[0], n))
+                last, window = -1, Counter()
+                for at, j in zip(q.tolist(), f.tolist(), strict=True):
+                    if at != last:
+                        last, window = at, Counter(shingles[some[at] : some[at] + n].tolist())
+                    item = group.counts[j]
+                    inter = sum(min(c, item[x]) for x, c in window.items() if x in item)
+                    sim = inter / (n + group.length - inter)
+                    if sim >= self.least and (j not in best or sim > best[j][0]):
+                        best[j] = (sim, int(some[at]))
+            for j, (sim, start) in best.items():
+                yield group.items[j], sim, start, n + size - 1
+
+    def scan(self, texts: pa.Array) -> Iterator[tuple[int, list[tuple[int, float, int, int]]]]:
+        """(row, matches) for each text with matches."""
+        for first, data, offsets in S.text_chunks(normal(texts)):
+            hashes, _, begins = S.words(data, offsets, S.MARKS)
+            found: dict[int, list] = {}
+            for size, (known, groups) in self.sizes.items():
+                shingles, begin = S.shingles(hashes, begins, size)
+                at = np.searchsorted(known, shingles)
+                at[at == len(known)] = 0
+                hit = known[at] == shingles
+                sums = np.concatenate(([0], np.cumsum(hit)))
+                for row in np.flatnonzero((sums[begin[1:]] > sums[begin[:-1]]) & (np.diff(begins) >= size)).tolist():
+                    a, b = int(begin[row]), int(begin[row + 1])
+                    found.setdefault(row, []).extend(self.matches(shingles[a:b], hit[a:b], groups, size))
+            for row in sorted(found):
+                if found[row]:
+                    yield first + row, sorted(found[row])
+
+
+@lru_cache(maxsize=1)
+def _items(uri: str, k: int, least: float) -> Items:
+    """A block's items; a worker process makes them once for all its tasks."""
+    fs, path = pafs.FileSystem.from_uri(uri)
+    with fs.open_input_file(path) as f, pa.ipc.open_file(f) as reader:
+        rows = reader.read_all()
+    return Items(rows["item_id"].to_pylist(), rows["text"].to_pylist(), k, least)
+
+
+def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[str]:
+    """Files of the items in ascending order of a hash, each of at most BLOCK_CHARS characters or one item, in the
+    shared folder. The driver holds one block at a time."""
+    rows = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    folder = f"{shared_dir(benchmark.sparkSession).rstrip('/')}/items-{uuid.uuid4().hex}"
+    folder = folder if "://" in folder else f"file://{folder}"
+    fs, path = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(path, recursive=True)
+    uris: list[str] = []
+
+    def write(block: list) -> None:
+        table = pa.table({"item_id": pa.array([r.item_id for r in block], pa.int64()), "text": pa.array([r.text for r in block], pa.large_string())})
+        name = f"block-{len(uris):05d}.arrow"
+        with fs.open_output_stream(f"{path}/{name}") as f, pa.ipc.new_file(f, table.schema) as writer:
+            writer.write_table(table)
+        uris.append(f"{folder}/{name}")
+
     block, chars = [], 0
     for row in rows.orderBy(F.xxhash64("item_id", "text")).toLocalIterator():
         if block and chars + len(row.text) > BLOCK_CHARS:
-            yield block
+            write(block)
             block, chars = [], 0
         block.append(row)
         chars += len(row.text)
     if block:
-        yield block
+        write(block)
+    return uris
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, similarity, start_word, n_words): the best window of each item that a document holds.
 
     Words are lower-cased runs of letters and digits; an item of fewer than ``words`` words is one shingle, and one
-    without words matches nothing. Null and empty texts hold nothing. Rows with equal ids each give their own rows;
-    among windows of equal similarity the first is returned. Other columns are ignored. Documents are not shuffled.
+    without words matches nothing. A text shorter than an item is compared with it as a whole. Null and empty texts
+    hold nothing. Rows with equal ids each give their own rows, as do equal items; among windows of equal similarity the
+    first is returned. An empty benchmark matches nothing. Other columns are ignored. Documents are not shuffled; a
+    text of any length is worked through in memory that follows its length.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, item_id long, similarity double, start_word long, n_words long"
-    parts = []
-    for block in item_blocks(benchmark, item_col, item_text_col):
-        ids, texts = [r.item_id for r in block], [r.text for r in block]
+    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+    out = docs.sparkSession.createDataFrame([], schema)
+    for n, uri in enumerate(item_blocks(benchmark, item_col, item_text_col)):
 
-        def run(batches: Iterator[pa.RecordBatch], ids: list = ids, texts: list = texts) -> Iterator[pa.RecordBatch]:
-            items = Items(ids, texts, words)
+        def run(batches: Iterator[pa.RecordBatch], uri: str = uri) -> Iterator[pa.RecordBatch]:
+            items = _items(uri, words, least)
             for batch in batches:
-                out = [(batch.column(0)[row].as_py(), items.ids[j], sim, s, n) for row, found in _scan(items, least, batch.column(1)) for j, sim, s, n in found]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "item_id", "similarity", "start_word", "n_words"])
-
-        parts.append(in_arrow(base, run, schema))
-    if not parts:
-        return docs.sparkSession.createDataFrame([], schema)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+                rows = [(batch.column(0)[row].as_py(), items.ids[j], *match) for row, found in items.scan(batch.column(1)) for j, *match in found]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [f.split()[0] for f in schema.split(", ")])
+
+        found = in_arrow(base, run, schema)
+        out = out.unionByName(found) if n else found
     return out
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, words: int = 5, least: float = 0.8, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of docs that hold no item, with all their columns. Rows are judged where they lie, without a shuffle."""
+    """The rows of docs that hold no item, with all their columns. Rows are judged where they lie, without a shuffle;
+    null and repeated ids don't matter, and an empty benchmark leaves every row."""
     column = docs.columns.index(text_col)
-    for block in item_blocks(benchmark, item_col, item_text_col):
-        ids, texts = [r.item_id for r in block], [r.text for r in block]
+    for uri in item_blocks(benchmark, item_col, item_text_col):
 
-        def run(batches: Iterator[pa.RecordBatch], ids: list = ids, texts: list = texts) -> Iterator[pa.RecordBatch]:
-            items = Items(ids, texts, words)
+        def run(batches: Iterator[pa.RecordBatch], uri: str = uri) -> Iterator[pa.RecordBatch]:
+            items = _items(uri, words, least)
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for row, _ in _scan(items, least, batch.column(column)):
+                for row, _ in items.scan(batch.column(column)):
                     keep[row] = False
                 yield batch.filter(pa.array(keep))
 
