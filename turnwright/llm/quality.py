@@ -30,6 +30,8 @@ CHARS = {
 }
 NAMES = ("log_words", "word_length", "upper", "digit", "stop", "mark", "high", "line", "distinct", "repeat", "short", "bare", "heavy", "capital", "twice")
 D = len(NAMES)
+#: Labelled rows that the classifier is fitted on, about: those of smallest hash of their id.
+FIT_ROWS = 50_000
 
 
 def _sums(flags: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -108,7 +110,8 @@ class Discriminant:
 
     @classmethod
     def fit(cls, counts: np.ndarray, sums: np.ndarray, products: np.ndarray, shrink: float = 0.1, ridge: float = 0.05, temperature: float = 4.0) -> Discriminant:
-        """From each class's count, sum of x and sum of x x'. With an empty class every score is the prior."""
+        """From each class's count, sum of x and sum of x x'. With an empty class every score is the prior; where a class
+        has no more rows than there are statistics, its covariance says little and both classes have the pooled one."""
         total = max(counts.sum(), 1)
         centre = sums.sum(0) / total
         scale = np.sqrt(np.maximum(np.diag(products.sum(0)) / total - centre**2, 1e-6))
@@ -134,28 +137,39 @@ class Discriminant:
         return np.round(1 / (1 + np.exp(-np.clip(odds, -30, 30))), 9)
 
 
-def _features(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for first, data, offsets in S.text_chunks(batch.column(1)):
-        x = statistics(data, offsets)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * D, pa.int32()), pa.array(x.reshape(-1)))
-        yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(x)), lists], ["id", "x"])
-
-
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of 1, x and x x' of each class, from rows (y, text)."""
     total = np.zeros((2, D + 1, D + 1))
     for batch in batches:
         y = batch.column(0).to_numpy()
-        x = batch.column(1).flatten().to_numpy().reshape(-1, D)
-        x = np.concatenate((np.ones((len(x), 1)), x), axis=1)
-        for c in (0, 1):
-            total[c] += x[y == c].T @ x[y == c]
+        for first, data, offsets in S.text_chunks(batch.column(1)):
+            x = statistics(data, offsets)
+            x = np.concatenate((np.ones((len(x), 1)), x), axis=1)
+            own = y[first : first + len(x)]
+            for c in (0, 1):
+                total[c] += x[own == c].T @ x[own == c]
     flat = total.reshape(-1)
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat)], ["i", "v"])
 
 
-def fit(labelled: DataFrame) -> Discriminant:
-    """The classifier of rows (y, x): class moments are summed in every partition; the driver gets 2 (D + 1)^2 sums."""
-    sums = in_arrow(labelled, _moments, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+def held_out(id_col: str) -> F.Column:
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Discriminant:
+    """The classifier, from docs (id, text) and labels (id, y) outside the held-out fold.
+
+    Labels are chosen before any text is looked at: about ``rows`` of them, those of smallest hash of their id, so they
+    may go to all executors and the texts stay where they lie. A label that is repeated counts once; an id with both
+    labels counts for both; a document that is there several times counts as often. Class moments are summed in every
+    partition, and the driver gets 2 (D + 1)^2 sums.
+    """
+    known = cut(labels.where("y in (0, 1)").where(~held_out("id")).distinct())
+    n = known.count()
+    if n > rows:
+        known = known.where(F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1 << 30)) < int((1 << 30) * rows / n))
+    chosen = docs.join(F.broadcast(known), "id").select("y", "text")
+    sums = in_arrow(chosen, _moments, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
     total = np.zeros(2 * (D + 1) ** 2)
     for row in sums:
         total[row.i] = row.v
@@ -163,44 +177,33 @@ def fit(labelled: DataFrame) -> Discriminant:
     return Discriminant.fit(total[:, 0, 0], total[:, 0, 1:], total[:, 1:, 1:])
 
 
-def held_out(id_col: str) -> F.Column:
-    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
-
-
-def scored(features: DataFrame, model: Discriminant) -> DataFrame:
-    """(id, score) of rows (id, x)."""
+def _base(df: DataFrame, id_col: str, other: str, name: str, kind: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(other).cast(kind).alias(name))
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = batch.column(1).flatten().to_numpy().reshape(-1, D)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x))], ["id", "score"])
 
-    return map_arrow(features.select("id", "x"), "id long, score double", work)
-
-
-def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_rows: int = FIT_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of docs.
 
-    Learns from every labelled row whose crc32(doc_id) mod 4 isn't 2; label, language, source and id are no inputs of
-    a score. Labels that are null or neither 0 nor 1 are left out. Null, empty and blank texts have statistics like
-    any other. With no usable labels every score is 0.5. Each row has its own row out, repeated and null ids too.
+    Learns from about ``fit_rows`` labelled rows whose crc32(doc_id) mod 4 isn't 2; label, language, source and id are
+    no inputs of a score. Labels that are null or neither 0 nor 1, or have a null id, are left out. Null, empty and
+    blank texts have statistics like any other, and a long one is taken whole. With no usable labels every score is 0.5.
+    Each row has its own row out, repeated and null ids too, and an empty table none. Other columns are ignored.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    features = cut(map_arrow(base, "id long, x array<double>", _features))
-    model = fit(_labelled(features, labels, id_col, label_col))
-    out = scored(features, model)
-    return out.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    base = _base(docs, id_col, text_col, "text", "string")
+    model = fit(base, _base(labels, id_col, label_col, "y", "int"), fit_rows)
 
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for first, data, offsets in S.text_chunks(batch.column(1)):
+            scores = model.score(statistics(data, offsets))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(scores)), pa.array(scores)], ["id", "score"])
 
-def _labelled(features: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
-    known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)").where(~held_out("id"))
-    return features.join(known, "id").select("y", "x")
+    out = map_arrow(base, "id long, score double", work)
+    return out.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """The rows of docs whose score reaches the threshold, with all their columns. Texts are read once for the fit and
-    once for the filter, which judges rows where they lie."""
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    model = fit(_labelled(map_arrow(base, "id long, x array<double>", _features), labels, id_col, label_col))
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of docs whose score reaches the threshold, with all their columns, judged where they lie."""
+    model = fit(_base(docs, id_col, text_col, "text", "string"), _base(labels, id_col, label_col, "y", "int"), fit_rows)
     column = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
