@@ -199,6 +199,55 @@ def test_discriminant_equals_plain_formula():
     assert np.allclose(m.score(x[1][:5]), 1 / (1 + np.exp(-np.clip(odds, -30, 30))), atol=1e-6)
 
 
+def plain_statistics(text):
+    """The statistics of a text as a reader of their names would count them."""
+    raw = (text or "").encode()
+    words = raw.split()
+    lower = [w.lower() for w in words]
+    solid, n = max(sum(map(len, words)), 1), max(len(words), 1)
+    stops, letters = b".,;:?'\"()-", re.compile(rb"[A-Za-z\x80-\xff]")
+    grams = list(zip(lower, lower[1:], lower[2:], strict=False)) if len(lower) >= 3 else [tuple(lower)] if lower else []
+    rate = lambda x, of: math.log((x + 0.5) / (of + 1))
+    counts = Counter(lower)
+    return [
+        math.log1p(len(words)), math.log(solid / n),
+        rate(len(re.findall(rb"[A-Z]", raw)), solid), rate(len(re.findall(rb"[0-9]", raw)), solid), rate(sum(b in stops for b in raw), solid),
+        rate(sum(33 <= b < 127 and not chr(b).isalnum() and b not in stops for b in raw), solid), rate(sum(b >= 128 for b in raw), solid), rate(raw.count(b"\n"), n),
+        math.log(max(len(counts), 1)) - 0.85 * math.log(n), rate(sum(a == b for a, b in zip(lower, lower[1:], strict=False)), n), rate(sum(len(w) <= 3 for w in words), n),
+        rate(sum(not letters.search(w) for w in words), n), rate(max(counts.values(), default=0), n), rate(sum(65 <= w[0] <= 90 for w in words), n),
+        rate(max(len(grams), 1) - max(len(set(grams)), 1), max(len(grams), 1)),
+    ]
+
+
+def test_scores_equal_a_plain_discriminant(spark):
+    rng = random.Random(20)
+    rows = [(i, (prose(rng, rng.randint(5, 60)).capitalize() + "." if i % 3 else " ".join(rng.choice(["$$$", "12", "BUY!!", "aaa", "the"]) for _ in range(rng.randint(5, 60))))) for i in range(400)]
+    rows += [(1000 + n, t) for n, (_, t) in enumerate(ODD)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(400)] * 2, "doc_id long, quality int")
+    x = np.array([plain_statistics(t) for _, t in rows])
+    y = np.array([int(i % 3 > 0) if i < 400 and zlib.crc32(str(i).encode()) % 4 != 2 else -1 for i, _ in rows])
+    z = (x - x[y >= 0].mean(0)) / np.maximum(x[y >= 0].std(0), 1e-3)
+    cov = [np.cov(z[y == c].T, bias=True) for c in (0, 1)]
+    pooled = sum(cov[c] * (y == c).sum() for c in (0, 1)) / (y >= 0).sum()
+    z, odds = np.clip(z, -8, 8), 0
+    for c, sign in ((0, -1), (1, 1)):
+        own = 0.95 * (s := 0.9 * cov[c] + 0.1 * pooled) + 0.05 * np.diag(np.diag(s)) + 0.02 * np.eye(len(s))
+        d = z - ((x - x[y >= 0].mean(0)) / np.maximum(x[y >= 0].std(0), 1e-3))[y == c].mean(0)
+        odds = odds + sign * (-0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(own), d) - 0.5 * np.linalg.slogdet(own)[1])
+    want = 1 / (1 + np.exp(-np.clip(odds / 4 + math.log(((y == 1).sum() + 1) / ((y == 0).sum() + 1)), -30, 30)))
+    found = {r.doc_id: r.score for r in quality.quality_scores(docs, labels).collect()}
+    assert np.allclose([found[i] for i, _ in rows], want, atol=1e-6)
+
+
+def test_a_bounded_fit_is_near_the_whole(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    y = {r.doc_id: r.quality for r in labels.collect()}
+    whole, part = ({r.doc_id: r.score for r in quality.quality_scores(docs, labels, fit_rows=n).where("held_out").collect()} for n in (10**9, 1000))
+    for scores in (whole, part):
+        assert np.mean([(s >= 0.7) == (y[i] == 1) for i, s in scores.items() if i in y]) > 0.98
+
+
 # --- 5 ---
 
 
@@ -467,7 +516,7 @@ def test_mix(spark):
     rng = random.Random(13)
     rows = [(i, prose(rng, rng.randint(0, 60)), rng.choice(["a", "b", "c", "d", None, "a"])) for i in range(400)] + [(i, t, "odd") for i, t in ODD]
     docs = spark.createDataFrame([(i, t, s, 3, "k") for i, t, s in rows], "doc_id long, text string, source string, size long, key string")
-    found = mix(docs).select("doc.doc_id", "doc.source", "size", "source_size", "target", "taken").collect()
+    found = mix(docs).collect()
     assert len(found) == len(rows)
     total = {}
     for r in found:
@@ -489,12 +538,17 @@ def test_mix(spark):
         open_ -= over
     for s, (size, taken, t, source_size) in total.items():
         assert source_size == size and abs(t - target[s]) < 1e-6 and abs(taken - t) <= 0.5
-    again = mix(docs.repartition(7)).select("doc.doc_id", "size", "taken").collect()
-    assert sorted(map(str, again)) == sorted(str(r) for r in mix(docs).select("doc.doc_id", "size", "taken").collect())
+    again = mix(docs.repartition(7)).select("doc_id", "size", "taken").collect()
+    assert sorted(map(str, again)) == sorted(str(r) for r in mix(docs).select("doc_id", "size", "taken").collect())
     out = mixed_documents(docs)
     assert out.columns == docs.columns
-    words = sum(len((r.text or "").encode().split()) for r in out.collect())
-    assert words == sum(t[1] for t in total.values())
+    words = Counter()
+    for r in out.collect():
+        words[r.doc_id, r.source] += len((r.text or "").encode().split())
+    taken = Counter()
+    for r in found:
+        taken[r.doc_id, r.source] += r.taken
+    assert +words == +taken
     assert mix(docs.limit(0)).count() == 0 and mixed_documents(docs.where("text is null")).count() == 0
 
 

@@ -35,8 +35,8 @@ BITS = 128
 RADIUS = 44
 #: Items are held by executors in blocks of at most so many characters; documents are read once for each block.
 BLOCK_CHARS = 8_000_000
-#: Windows that are fingerprinted at a time.
-BATCH = 4096
+#: Windows that are fingerprinted at a time, and words that they lie within.
+BATCH, SPAN = 4096, 1 << 16
 
 
 def signs(shingles: np.ndarray) -> np.ndarray:
@@ -122,8 +122,11 @@ class Items:
             n = min(group.length, len(shingles))  # a text shorter than the item is a window of its own
             starts = np.flatnonzero(held[n:] - held[:-n] >= need)
             best: dict[int, tuple[float, int]] = {}
-            for lo in range(0, len(starts), BATCH):
+            lo = 0
+            while lo < len(starts):
                 some = starts[lo : lo + BATCH]
+                some = some[: np.searchsorted(some, some[0] + SPAN)]
+                lo += len(some)
                 part = shingles[some[0] : some[-1] + n]
                 q, f = group.index.near(simhash(part, some - some[0], n))
                 last, window = -1, Counter()

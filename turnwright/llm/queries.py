@@ -47,8 +47,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mix(table(spark, sf_dir, "documents"))
-    return rows.select("doc.doc_id", "size", "source_size", "target", "taken")
+    return mix(table(spark, sf_dir, "documents")).drop("source")
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
