@@ -45,35 +45,47 @@ def signs(shingles: np.ndarray) -> np.ndarray:
     return (np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little").astype(np.int32) << 1) - 1
 
 
-def simhash(shingles: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Fingerprints (rows of two words) of the windows shingles[s : s + length]; a bit is set if more shingles have it
+def bit_sums(shingles: np.ndarray) -> np.ndarray:
+    """Running sums of the signs, from which any window's fingerprint is read off."""
+    return np.concatenate((np.zeros((1, BITS), np.int32), np.cumsum(signs(shingles), axis=0, dtype=np.int32)))
+
+
+def simhash(sums: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Fingerprints (rows of two words) of the windows of ``length`` shingles; a bit is set if more shingles have it
     than not."""
-    sums = np.concatenate((np.zeros((1, BITS), np.int32), np.cumsum(signs(shingles), axis=0, dtype=np.int32)))
     return np.packbits(sums[starts + length] > sums[starts], axis=1, bitorder="little").view(np.uint64)
 
 
 class HammingIndex:
     """Finds all fingerprints within ``radius`` of given ones."""
 
+    #: Fingerprints up to which a query's blocks are compared with all of them at once instead of looked up.
+    FEW = 64
+
     def __init__(self, prints: np.ndarray, radius: int = RADIUS) -> None:
         self.prints, self.radius = prints, radius
-        self.edges = np.linspace(0, BITS, radius + 2).astype(int)
-        values = self._blocks(prints)
-        self.order = np.argsort(values, axis=0, kind="stable")
-        self.values = np.take_along_axis(values, self.order, axis=0)
+        self.edges = np.linspace(0, BITS, radius + 2).astype(int)[:-1]
+        self.weights = (1 << (np.arange(BITS) - np.repeat(self.edges, np.diff([*self.edges, BITS])))).astype(np.uint32)
+        self.values = self._blocks(prints)
+        self.order = np.argsort(self.values, axis=0, kind="stable")
+        self.ranked = np.take_along_axis(self.values, self.order, axis=0)
 
     def _blocks(self, prints: np.ndarray) -> np.ndarray:
         bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, bitorder="little")
-        return np.stack([bits[:, a:b] @ (1 << np.arange(b - a)) for a, b in zip(self.edges[:-1], self.edges[1:], strict=True)], axis=1)
+        return np.add.reduceat(bits * self.weights, self.edges, axis=1)
 
     def near(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(query, fingerprint) of every pair within the radius, in that order."""
-        found = np.zeros((len(queries), len(self.prints)), bool)
-        for block, values in enumerate(self._blocks(queries).T):
-            a, b = (np.searchsorted(self.values[:, block], values, side) for side in ("left", "right"))
-            row = np.repeat(np.arange(len(queries)), b - a)
-            at = np.arange(len(row)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + np.repeat(a, b - a)
-            found[row, self.order[at, block]] = True
+        asked = self._blocks(queries)
+        if len(self.prints) <= self.FEW:
+            found = (asked[:, None] == self.values[None]).any(axis=2)
+        else:
+            found = np.zeros((len(queries), len(self.prints)), bool)
+            for block, values in enumerate(asked.T):
+                a, b = (np.searchsorted(self.ranked[:, block], values, side) for side in ("left", "right"))
+                row = np.repeat(np.arange(len(queries)), b - a)
+                at = np.arange(len(row)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + np.repeat(a, b - a)
+                found[row, self.order[at, block]] = True
         q, f = np.nonzero(found)
         close = np.bitwise_count(queries[q] ^ self.prints[f]).sum(axis=1) <= self.radius
         return q[close], f[close]
@@ -89,7 +101,7 @@ class Group:
     def __init__(self, items: list[int], shingles: list[np.ndarray]) -> None:
         self.items, self.length = items, len(shingles[0])
         self.counts = [Counter(s.tolist()) for s in shingles]
-        self.index = HammingIndex(np.concatenate([simhash(s, np.zeros(1, np.int64), len(s)) for s in shingles]))
+        self.index = HammingIndex(np.concatenate([simhash(bit_sums(s), np.zeros(1, np.int64), len(s)) for s in shingles]))
 
 
 class Items:
@@ -115,6 +127,10 @@ class Items:
         """(item, similarity, first word, words) of the best window of each item that one text holds; ``known`` tells
         which of the text's shingles any item has."""
         held = np.concatenate(([0], np.cumsum(known)))
+        hits = np.flatnonzero(known)
+        low = max(0, int(hits[0]) - groups[-1].length)
+        high = min(len(shingles), int(hits[-1]) + groups[-1].length)
+        whole = bit_sums(shingles[low:high]) if high - low <= SPAN else None
         for group in groups:
             need = max(1, math.ceil(self.least * group.length - 1e-9))
             if need > held[-1] or need > len(shingles):
@@ -127,8 +143,11 @@ class Items:
                 some = starts[lo : lo + BATCH]
                 some = some[: np.searchsorted(some, some[0] + SPAN)]
                 lo += len(some)
-                part = shingles[some[0] : some[-1] + n]
-                q, f = group.index.near(simhash(part, some - some[0], n))
+                if whole is not None and some[-1] + n <= high:
+                    prints = simhash(whole, some - low, n)
+                else:
+                    prints = simhash(bit_sums(shingles[some[0] : some[-1] + n]), some - some[0], n)
+                q, f = group.index.near(prints)
                 last, window = -1, Counter()
                 for at, j in zip(q.tolist(), f.tolist(), strict=True):
                     if at != last:
