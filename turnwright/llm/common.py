@@ -132,9 +132,9 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
-        large = both.join(least, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
+        large = both.join(own_shuffle(least, "v"), "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         least = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(least, "v").select(F.explode(F.array(F.struct("v", F.col("m").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("e")).select("e.*").where("v <> u").distinct()
+        small = large.join(own_shuffle(least, "v"), "v").select(F.explode(F.array(F.struct("v", F.col("m").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("e")).select("e.*").where("v <> u").distinct()
         now = cut(small)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if mark == seen or mark[0] == 0:
@@ -145,6 +145,15 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return now.groupBy("v").agg(F.min("u").alias("component")).unionByName(now.select(F.col("u").alias("v"), F.col("u").alias("component")).distinct()).withColumnRenamed("v", "id")
 
 
+def own_shuffle(df: DataFrame, key: str) -> DataFrame:
+    """The rows of an aggregate by ``key`` (bigint), dealt out anew where they are joined on it.
+
+    An aggregate is already dealt out by its key, and a join on that key would reuse this; then Spark can't split a key
+    that very many rows of the other side have. A key that is worked out anew makes the join shuffle both sides itself.
+    """
+    return df.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))
+
+
 def arrays_to_binary(values: np.ndarray, begin: np.ndarray) -> pa.Array:
     """A binary array whose i-th element holds the bytes of values[begin[i]:begin[i+1]]."""
     return pa.Array.from_buffers(pa.large_binary(), len(begin) - 1, [None, pa.py_buffer((np.asarray(begin, np.int64) * values.itemsize).tobytes()), pa.py_buffer(np.ascontiguousarray(values).tobytes())]).cast(pa.binary())

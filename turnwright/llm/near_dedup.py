@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnwright.llm import shingles as S
-from turnwright.llm.common import Forest, arrays_to_binary, connected_components, grouped, map_arrow
+from turnwright.llm.common import Forest, arrays_to_binary, connected_components, grouped, map_arrow, own_shuffle
 from turnwright.storage import cut
 
 REGISTERS = 256
@@ -111,25 +111,36 @@ def margin(threshold: float) -> float:
     return threshold - 5 * math.sqrt(threshold * (1 - threshold) / REGISTERS)
 
 
-def _sketch(k: int, width: int, keep_sets: bool):
+def _summed(values: np.ndarray, begin: np.ndarray) -> pa.Array:
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
+    return pa.array((total[begin[1:]] - total[begin[:-1]]).view(np.int64))
+
+
+def _sketch(k: int, width: int):
+    """Size, two sums of hashes that name the set, and band keys of each text, from rows (id, th, text)."""
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for first, data, offsets in S.text_chunks(batch.column(2)):
+            hashes, _, begins = S.words(data, offsets)
+            values, begin = S.distinct(*S.shingles(hashes, begins, k))
+            ids, th = (batch.column(i).slice(first, len(begin) - 1) for i in (0, 1))
+            keys = band_keys(registers(values, begin), width)
+            keys = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * keys.shape[1], pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([ids, th, pa.array(np.diff(begin), pa.int64()), _summed(values, begin), _summed(S.mix(values ^ S.BASE), begin), keys], ["id", "th", "n", "h1", "h2", "bands"])
+
+    return work
+
+
+def _full_sets(k: int):
+    """Size, registers and full set of each text, from rows (cid, text)."""
+
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for first, data, offsets in S.text_chunks(batch.column(1)):
             hashes, _, begins = S.words(data, offsets)
             values, begin = S.distinct(*S.shingles(hashes, begins, k))
-            ids = batch.column(0).slice(first, len(begin) - 1)
-            n = pa.array(np.diff(begin), pa.int64())
-            regs = registers(values, begin)
-            if keep_sets:
-                at = np.arange(len(begin)) * REGISTERS
-                yield pa.RecordBatch.from_arrays([ids, n, arrays_to_binary(regs.reshape(-1), at), arrays_to_binary(values, begin)], ["id", "n", "regs", "set"])
-            else:
-                def summed(x: np.ndarray, begin: np.ndarray = begin) -> np.ndarray:
-                    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)))
-                    return (total[begin[1:]] - total[begin[:-1]]).view(np.int64)
-
-                keys = band_keys(regs, width)
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * keys.shape[1], pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([ids, n, pa.array(summed(values)), pa.array(summed(S.mix(values ^ S.BASE))), keys], ["id", "n", "h1", "h2", "bands"])
+            regs = registers(values, begin).reshape(-1)
+            cids = batch.column(0).slice(first, len(begin) - 1)
+            yield pa.RecordBatch.from_arrays([cids, pa.array(np.diff(begin), pa.int64()), arrays_to_binary(regs, np.arange(len(begin)) * REGISTERS), arrays_to_binary(values, begin)], ["id", "n", "regs", "set"])
 
     return work
 
@@ -210,23 +221,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents are linked if 100 * |A and B| >= percent * |A or B| for their sets of distinct shingles of ``words``
     words. A text of fewer words is one shingle; null, empty and blank texts have none and link with nothing. Rows
-    with equal ids count as one document for links, and are all returned; a row whose id is null has a null
-    component and is kept. Other columns are ignored, whatever their names.
+    with equal ids are one document: whatever one of them links with, all do, and all are returned; which texts they
+    have doesn't depend on the order of rows. A row whose id is null has a null component and is kept. An empty table
+    has no rows. Other columns are ignored, whatever their names.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketched = cut(map_arrow(base, "id long, n long, h1 long, h2 long, bands array<long>", _sketch(words, band_width(percent), False)))
+    text = F.col(text_col).cast("string")
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    sketched = cut(map_arrow(base, "id long, th long, n long, h1 long, h2 long, bands array<long>", _sketch(words, band_width(percent))))
     usable = sketched.where("id is not null and n > 0")
-    classes = usable.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"))
-    member = cut(usable.select("id", "h1", "h2", "n").join(classes, ["h1", "h2", "n"]).select("id", "rep"))
-    reps = member.select(F.col("rep").alias("id")).distinct()
-    bands = usable.join(reps, "id", "left_semi").select("id", F.posexplode("bands").alias("band", "key"))
-    full = bands.groupBy("key").agg(F.count("*").alias("size"), F.first("id").alias("some")).where("size > 1").select("key", "size")
-    buckets = cut(bands.join(full, "key").distinct())
+    # a class is a set; the row of its smallest id (of several, of the smallest text hash) stands for it
+    classes = cut(usable.groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "th")).alias("rep"), F.any_value("bands").alias("bands")))
+    classes = classes.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "n", "rep.id", "rep.th", "bands").toDF("id", "h1", "h2", "n", "rep", "th", "bands")
+    bands = classes.select("id", F.posexplode("bands").alias("band", "key"))
+    full = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    buckets = cut(bands.join(own_shuffle(full, "key"), "key"))
     degree = buckets.groupBy("id").agg(F.sum("size").alias("degree"))
     pivots = buckets.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("id"))).alias("p")).select("key", (-F.col("p.id")).alias("pivot"))
-    pairs = buckets.join(pivots, "key").where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    wanted = buckets.select("id").distinct()
-    sets = cut(map_arrow(base.join(wanted, "id", "left_semi"), "id long, n long, regs binary, set binary", _sketch(words, band_width(percent), True)).where("n > 0").dropDuplicates(["id"]))
+    pairs = buckets.join(own_shuffle(pivots, "key"), "key").where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    wanted = classes.join(buckets.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("cid"), F.col("rep").alias("id"), "th")
+    sets = cut(map_arrow(base.join(wanted, ["id", "th"]).select("cid", "text"), "id long, n long, regs binary, set binary", _full_sets(words)).dropDuplicates(["id"]))
 
     def side(c: str) -> DataFrame:
         return sets.select(F.col("id").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("n", "regs", "set")))
@@ -234,20 +247,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b", "set_a", "set_b")
     links = cut(map_arrow(joined, "a long, b long", _verify_pairs(percent)))
     first = connected_components(links)
-    links = links.unionByName(_residual(buckets, first, sets, percent))
-    whole = connected_components(links)
-    reach = member.join(whole.select(F.col("id").alias("rep"), "component"), "rep", "left").select("id", F.coalesce("component", "rep").alias("component_id"))
-    reach = reach.groupBy("id").agg(F.min("component_id").alias("component_id"))
-    out = sketched.select("id", F.col("n").alias("n_shingles")).join(reach, "id", "left")
-    out = out.select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    links = links.unionByName(_residual(buckets, first, sets, percent)).unionByName(_same_ids(usable, classes))
+    linked = connected_components(links).join(classes.select("id", "rep"), "id")
+    least = linked.groupBy("component").agg(F.min("rep").alias("component_id"))
+    reach = linked.join(own_shuffle(least, "component"), "component").select("id", "component_id")
+    found = cut(classes.select("id", "h1", "h2", "n", "rep").join(reach, "id", "left").select("h1", "h2", "n", F.coalesce("component_id", "rep").alias("component_id")))
+    rows = sketched.select("id", F.col("n").alias("n_shingles"), *(F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.col(c)).alias(f"{c}_") for c in ("h1", "h2", "n")))
+    out = rows.join(found, (rows.h1_ == found.h1) & (rows.h2_ == found.h2) & (rows.n_ == found.n), "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def _same_ids(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of an id that has several texts."""
+    one = F.xxhash64("h1", "h2", "n")
+    several = cut(usable.groupBy("id").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).where("lo <> hi").select("id"))
+    rows = usable.select("id", "h1", "h2", "n").join(several, "id", "left_semi").join(classes.select(F.col("id").alias("b"), "h1", "h2", "n"), ["h1", "h2", "n"]).select("id", "b").distinct()
+    return rows.join(own_shuffle(rows.groupBy("id").agg(F.min("b").alias("a")), "id"), "id").select("a", "b").where("a <> b")
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """Of each group of near duplicates the rows of the smallest id, and of rows with equal ids one, with all their
+    columns. Rows whose id is null stay, as do documents without words."""
+    found = cut(near_duplicates(docs.select(id_col, text_col), id_col, text_col, words, percent).select(F.col(id_col).alias("id"), "kept"))
+    gone = found.where("not kept").select("id").distinct()
+    left = docs.join(gone, docs[id_col].cast("long") == gone["id"], "left_anti")
+    again = cut(found.where("kept and id is not null").groupBy("id").count().where("count > 1").select("id"))
+    if again.isEmpty():
+        return left
+    same = left[id_col].cast("long") == again["id"]
+    ranked = left.join(again, same, "left_semi").select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    order = F.row_number().over(Window.partitionBy(f"row.`{id_col}`").orderBy(F.xxhash64(f"row.`{text_col}`"), F.xxhash64("row")))
+    return left.join(again, same, "left_anti").unionByName(ranked.withColumn("nth", order).where("nth = 1").select("row.*"))
+
+
 def _residual(buckets: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links across components within buckets that the pivots left apart."""
     held = buckets.where("size > 2").join(components, "id", "left").select("key", "band", "size", "id", F.coalesce("component", "id").alias("comp"))
     apart = held.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("rows")).where("c0 <> c1").select("key", F.greatest(F.lit(1), F.ceil(F.col("rows") / BLOCK)).cast("int").alias("blocks"))
-    rows = held.join(apart, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = held.join(own_shuffle(apart, "key"), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
 
     def spread(df: DataFrame) -> DataFrame:
         return df.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("block", "o")).withColumn("j", F.greatest("block", "o")).drop("o")
@@ -256,6 +293,27 @@ def _residual(buckets: DataFrame, components: DataFrame, sets: DataFrame, percen
     members = spread(rows).join(sketches, "id").select("key", "i", "j", "block", "id", "comp", "band", "n", "regs")
     flagged = cut(members.groupBy("key", "i", "j").applyInArrow(grouped(_flag(percent)), "key long, i int, j int, block int, id long, comp long, band int").select("key", "id", "comp", "band").distinct())
     sizes = flagged.join(sets.select("id", "n"), "id").groupBy("key").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_VALUES)).cast("int").alias("blocks"))
-    rows = flagged.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = flagged.join(own_shuffle(sizes, "key"), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     members = spread(rows).join(sets, "id").select("key", "i", "j", "block", "id", "comp", "band", "n", "regs", "set")
     return members.groupBy("key", "i", "j").applyInArrow(grouped(_verify_block(percent)), "a long, b long")
+
+
+#: All pairs that share a shingle, for tables small enough for that.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS grams
+  FROM w
+), u AS (SELECT doc_id, len(grams) AS n, unnest(list_transform(grams, lambda g: hash(g))) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), r AS (
+  SELECT x AS id, x AS m FROM p UNION SELECT r.id, p.y FROM r JOIN p ON r.m = p.x
+), c AS (SELECT id, min(m) AS component FROM r GROUP BY id)
+SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) IS NOT DISTINCT FROM doc_id AS kept
+FROM s LEFT JOIN c ON doc_id = id
+"""
