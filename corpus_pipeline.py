@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnwright.llm.common import cut, table, vocabulary
+from turnwright.llm.common import table, vocabulary
 from turnwright.llm.decontaminate import without_leaks
 from turnwright.llm.mixing import mixed_documents
-from turnwright.llm.near_dedup import near_duplicates
+from turnwright.llm.near_dedup import without_near_duplicates
 from turnwright.llm.quality import keep_good
 from turnwright.llm.token_files import token_files
+from turnwright.storage import cut
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,9 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of smallest id stays: five-word shingles, similarity 0.8."""
-    found = near_duplicates(docs.select("doc_id", "text"), words=5, percent=80)
-    gone = found.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without_near_duplicates(docs, words=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
