@@ -19,7 +19,7 @@ from turnwright.llm import embedding_dedup, near_dedup, quality
 from turnwright.llm import shingles as S
 from turnwright.llm.chat_format import rotate_perspectives
 from turnwright.llm.common import connected_components
-from turnwright.llm.decontaminate import HammingIndex, find_leaks, simhash, without_leaks
+from turnwright.llm.decontaminate import HammingIndex, bit_sums, find_leaks, simhash, without_leaks
 from turnwright.llm.html_text import page_texts, parse
 from turnwright.llm.mixing import mix, mixed_documents
 from turnwright.llm.secret_scan import scan_secrets, secret_digest
@@ -292,6 +292,19 @@ def test_near_duplicates_equal_brute_force(spark):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_ids_with_several_texts_are_one_document(spark):
+    rng = random.Random(21)
+    a, b, c = (prose(rng, 40) for _ in range(3))
+    rows = [(1, a), (5, a), (5, b), (9, b), (9, c), (7, c), (7, c), (3, prose(rng, 40)), (4, ""), (4, None), (None, a)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, th int")
+    found = near_dedup.near_duplicates(docs).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in found} == {(1, 1, True), (5, 1, False), (9, 1, False), (7, 1, False), (3, 3, True), (4, 4, True), (None, None, True)}
+    left = near_dedup.without_near_duplicates(docs)
+    assert left.columns == docs.columns and sorted(str(r.doc_id) for r in left.collect()) == ["1", "3", "4", "None"]
+    assert near_dedup.without_near_duplicates(docs.limit(0)).count() == 0
+
+
 def test_links_that_the_pivot_lacks_are_found(spark, monkeypatch):
     """Chains of texts, each near the next alone: blocks find what pivots leave apart, in several blocks too."""
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
@@ -410,6 +423,39 @@ def test_a_link_counts_for_both_ends(spark):
     assert sum(r.n_links for r in found) == brute_links(v)[0].sum()
 
 
+def test_shards_are_split_level_by_level(spark, monkeypatch):
+    """Several levels of shards, and a group too dense to part that is worked through in tiles."""
+    for name, value in {"SHARD": 60, "SPLIT": 150, "CELLS": 6, "TILE": 100}.items():
+        monkeypatch.setattr(embedding_dedup, name, value)
+    rng = np.random.default_rng(14)
+    v = planted_pairs(2500)
+    v = np.concatenate((v, v[1000] + 0.003 * rng.normal(size=(700, 64)), v[500] + 0.08 * rng.normal(size=(60, 64))))
+    links, joined = brute_links(v)
+    found = near(spark, v)
+    assert {r.recall for r in found} == {1.0}
+    assert [r.n_links for r in found] == links.tolist() and [r.component_id for r in found] == joined
+
+
+def test_below_the_floor_the_search_is_widened_and_at_last_exhaustive(spark, monkeypatch):
+    rng = np.random.default_rng(15)
+    v = planted_pairs(3000)
+    v = np.concatenate((v, v[7] + 0.003 * rng.normal(size=(50, 64))))
+    links, joined = brute_links(v)
+    tried = []
+
+    def lossy(classes, least, kind, effort, wide):  # gives nothing but one link
+        tried.append(wide)
+        return classes.sparkSession.createDataFrame([(0, None, 1), (0, 2900, 0), (2900, None, 1)], "a long, b long, n long")
+
+    monkeypatch.setattr(embedding_dedup, "graph_links", lossy)
+    found = near(spark, v)
+    assert tried == [False, True] and {r.recall for r in found} == {1.0}
+    assert [r.n_links for r in found] == links.tolist() and [r.component_id for r in found] == joined
+    rows = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(np.eye(6))], "vec_id long, embedding array<double>")
+    monkeypatch.undo()
+    assert {(r.n_links, r.recall) for r in embedding_dedup.near_vectors(rows).collect()} == {(0, None)}
+
+
 def test_every_node_can_be_reached():
     rng = np.random.default_rng(10)
     v = embedding_dedup.unit(np.concatenate([rng.normal(size=(1, 8)) + rng.normal(size=(60, 8)) * 0.01 for _ in range(6)]))
@@ -501,12 +547,13 @@ def test_hamming_index_finds_all_within_radius():
     rng = np.random.default_rng(12)
     prints = rng.integers(0, 2**63, (300, 2), dtype=np.uint64)
     near = prints[:40] ^ (rng.integers(0, 2**63, (40, 2), dtype=np.uint64) & rng.integers(0, 2**63, (40, 2), dtype=np.uint64))
-    q, f = HammingIndex(prints, 44).near(near)
-    apart = np.bitwise_count(near[:, None] ^ prints[None]).sum(2)
-    assert list(zip(q, f, strict=True)) == list(zip(*np.nonzero(apart <= 44), strict=True)) and len(q) >= 40
+    for some in (prints, prints[:40]):  # looked up, compared
+        q, f = HammingIndex(some, 44).near(near)
+        apart = np.bitwise_count(near[:, None] ^ some[None]).sum(2)
+        assert list(zip(q, f, strict=True)) == list(zip(*np.nonzero(apart <= 44), strict=True)) and len(q) >= 40
     s = rng.integers(0, 2**63, 50, dtype=np.uint64)
     bits = [sum(1 if x >> b & 1 else -1 for x in s[7:19].tolist()) > 0 for b in range(64)]
-    assert simhash(s, np.array([7]), 12)[0, 0] == sum(1 << b for b, on in enumerate(bits) if on)
+    assert simhash(bit_sums(s), np.array([7]), 12)[0, 0] == sum(1 << b for b, on in enumerate(bits) if on)
 
 
 # --- 8 ---
