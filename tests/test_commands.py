@@ -1,4 +1,5 @@
 import json
+import shutil
 import threading
 from http.server import HTTPServer
 
@@ -9,6 +10,12 @@ from turnwright.__main__ import main
 from turnwright.operators.examples import IGNORED, example, render, tokenized
 from turnwright.plans.export import export
 from turnwright.sources.settings import ExportSettings
+from turnwright.sources.tickets import read_tickets
+
+
+class Talks(Api):
+    def comments(self, ticket):
+        return [{"id": 10 * ticket + i, "author_id": a, "created_at": f"x{i}", "body": b} for i, (a, b) in enumerate([(None, f"question {ticket} about the app"), (7, f"answer {ticket} with every detail")])]
 
 
 def test_prepare_then_score(spark, tmp_path, capsys):
@@ -20,18 +27,30 @@ def test_prepare_then_score(spark, tmp_path, capsys):
     found = json.loads(capsys.readouterr().out)
     assert found["train_stats"]["total_conversations"] == 18 and found["valid_stats"]["total_conversations"] == 2
     main(["score", "--train", str(tmp_path / "out/train"), "--valid", str(tmp_path / "out/valid"), "--stats", json.dumps(found), "--verbose"])
-    assert "DATASET QUALITY SCORE" in capsys.readouterr().out
+    assert " of 100 points: " in capsys.readouterr().out
     assert main(["analyze", "--input", str(raw)]) == 0
+    assert "  filter_sentences:\n" in capsys.readouterr().out
 
 
-def test_export_resumes(spark, tmp_path):
-    server = HTTPServer(("127.0.0.1", 0), Api)
+def test_export_resumes_and_prepare_reads_it(spark, tmp_path, monkeypatch, capsys):
+    server = HTTPServer(("127.0.0.1", 0), Talks)
     threading.Thread(target=server.serve_forever, daemon=True).start()
     try:
-        s = ExportSettings(base_url=f"http://127.0.0.1:{server.server_port}", user="u", token="t", start="2024-01-01", end="2024-01-05", retries=0)
-        assert export(spark, s, str(tmp_path)) == {"found": 40, "to_do": 40, "failed": 1, "already_done": 0, "exported": 39}
-        assert export(spark, s, str(tmp_path)) == {"found": 40, "to_do": 1, "failed": 1, "already_done": 39, "exported": 0}
-        assert spark.read.json(f"{tmp_path}/raw").count() == 39
+        given = {"BASE_URL": f"http://127.0.0.1:{server.server_port}", "USER": "u", "TOKEN": "t", "RETRIES": "0"}
+        for k, v in given.items():
+            monkeypatch.setenv(f"TURNWRIGHT_{k}", v)
+        command = ["export", "--output", str(tmp_path), "--start", "2024-01-01", "--end", "2024-01-05"]
+        assert main(command) == 0
+        assert json.loads(capsys.readouterr().out) == {"found": 40, "to_do": 40, "failed": 1, "already_done": 0, "exported": 39}
+        shutil.rmtree(tmp_path / "done")  # as if the run had ended before it was done
+        assert main(command) == 0 and json.loads(capsys.readouterr().out)["exported"] == 39
+        assert main(command) == 0 and json.loads(capsys.readouterr().out) == {"found": 40, "to_do": 1, "failed": 1, "already_done": 39, "exported": 0}
+        raw = read_tickets(spark, f"{tmp_path}/raw")
+        assert raw.count() == raw.select("ticket_id").distinct().count() == 39
+        land(tmp_path / "raw", 500, [(1, "one more question of theirs"), (2, "and the answer to that one")], note=None)
+        assert main(["prepare", "--input", f"{tmp_path}/raw", "--output", f"{tmp_path}/out"]) == 0
+        found = json.loads(capsys.readouterr().out)
+        assert found["train_stats"]["total_conversations"] + found["valid_stats"]["total_conversations"] == found["total_raw"] == 40 and found["skip_count"] == 0
     finally:
         server.shutdown()
     assert export(spark, ExportSettings(), str(tmp_path))["error"] == "missing_credentials"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from turnwright.operators import dedup, score, signatures, turns
 from turnwright.operators.ranking import mersenne_positions, shuffled_positions, split_by_ratio
+from turnwright.plans import prepare as prepare_module
 from turnwright.plans.prepare import prepare, summary
 from turnwright.sources import tickets
 from turnwright.sources.rest import TicketSearch, fetch_comments, midpoint
@@ -107,6 +108,16 @@ def test_long_message_windows(spark, monkeypatch):
         assert [r.sig for r in signatures.longest_match(rows, sigs, dedup.TURN, ("split",)).collect()] == [long[14000:14025]]
 
 
+def test_python_order(spark):
+    import random
+
+    rows = talk(spark, [(c, i, r, f"{r} {c}") for c in range(30) for i, r in enumerate(["customer", "agent"])]).drop("split", "conv_pos").withColumn("file", F.format_string("ticket_%d.json", "ticket_id"))
+    want = sorted(range(30), key=lambda i: f"ticket_{i}.json")
+    random.Random(42).shuffle(want)
+    found = prepare_module.placed(rows, PrepareSettings(python_shuffle=True)).select("ticket_id", "conv_pos").distinct().orderBy("conv_pos").collect()
+    assert [r.ticket_id for r in found] == want
+
+
 def test_prepare_and_empty(spark):
     rows = talk(spark, [(c, i, r, f"{r} says number {c} and {i} of all") for c in range(10) for i, r in enumerate(["customer", "agent"])])
     done = prepare(rows.drop("split", "conv_pos"), PrepareSettings(), total_raw=12)
@@ -135,7 +146,7 @@ def test_archived_score_is_reproduced():
     found = score.rate(m, counters, dict.fromkeys(score.SETTINGS, 1) | {"clean_urls": False})
     assert found.dimensions == {"pipeline_integrity": 10, "content_safety": 20, "cleaning_dedup": 20, "dataset_fitness": 25, "config_engineering": 15}
     assert found.total == 90 and found.passed
-    assert "90 / 100" in score.report(found) and "PASS" in score.report(found, [("train", "user", "x")] * 20)
+    assert score.report(found).startswith("# 90 of 100 points: passed") and score.report(found, [("train", "user", "x")] * 20).count("train, user: `x`") == 10
 
 
 def test_measures(spark):
@@ -170,11 +181,11 @@ class Api(BaseHTTPRequestHandler):
         q = {k: v[0] for k, v in parse_qs(url.query).items()}
         if "/comments" in url.path:
             ticket = int(url.path.split("/")[2])
-            code, body = (404, {}) if ticket == 13 else (200, {"comments": [{"id": ticket, "author_id": 1, "created_at": "x", "body": "b"}], "next_page": None})
+            code, body = (404, {}) if ticket == 13 else (200, {"comments": self.comments(ticket), "next_page": None})
         else:
             terms = dict(t.split(":", 1) for t in q["query"].split() if ":" in t)
-            start, end = q["query"].split("created>=")[1][:10], q["query"].split("created<")[1][:10] if "created<" in q["query"] else "9"
-            found = [r for r in self.rows if start <= r["created_at"][:10] < end and terms.get("via", "web") == "web"]
+            start, end = q["query"].split("created>=")[1].split()[0], q["query"].split("created<")[1].split()[0] if "created<" in q["query"] else "9"
+            found = [r for r in self.rows if start <= r["created_at"] < end and terms.get("via", "web") == "web"]
             page, size = int(q.get("page", 1)), int(q["per_page"])
             part = found[(page - 1) * size : page * size]
             more = f"http://127.0.0.1:{self.server.server_port}{self.path.split('&page=')[0]}&page={page + 1}" if page * size < len(found) else None
@@ -183,10 +194,37 @@ class Api(BaseHTTPRequestHandler):
         self.end_headers()
         self.wfile.write(json.dumps(body).encode())
 
+    def comments(self, ticket):
+        return [{"id": ticket, "author_id": 1, "created_at": "x", "body": "b"}]
+
     def log_message(self, *_):
         pass
 
 
+class Crowded(Api):
+    """All tickets within one day, and no more than 20 of a search."""
+
+    rows = [{"id": i, "subject": f"s{i}", "created_at": f"2024-01-01T{i // 60:02d}:{i % 60:02d}:07Z", "tags": None} for i in range(100)]
+
+
+def test_a_day_above_the_cap_is_cut_finer(spark):
+    from datetime import datetime
+
+    from turnwright.sources.rest import instant
+
+    assert instant(datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 1)) is None
+    server = HTTPServer(("127.0.0.1", 0), Crowded)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        spark.dataSource.register(TicketSearch)
+        reader = spark.read.format("ticket_search").options(base_url=f"http://127.0.0.1:{server.server_port}", start="2024-01-01", end="2024-01-02", page_size="7", retries="0")
+        assert sorted(r.id for r in reader.option("most_rows", "20").load().collect()) == list(range(100))
+        with pytest.raises(Exception, match="in the second"):
+            reader.option("most_rows", "1").load().collect()
+    finally:
+        server.shutdown()
+
+
 def test_search_source(spark):
     from datetime import date
 

@@ -17,6 +17,11 @@ from turnwright.sources.settings import load_settings
 from turnwright.sources.tickets import build_turns, read_records, read_summary, read_tickets, write_records, write_summary
 
 
+def phrase_settings(sentences: list[str]) -> str:
+    """The sentences as settings to paste: JSON strings are YAML ones too, whatever they hold."""
+    return "\n".join(["prepare:", "  filter_sentences:", *(f"    - {json.dumps(s, ensure_ascii=False)}" for s in sentences)])
+
+
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="turnwright")
     parser.add_argument("command", choices=["export", "prepare", "analyze", "score"])
@@ -29,6 +34,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--start")
     parser.add_argument("--end")
     parser.add_argument("--top", type=int, default=60)
+    parser.add_argument("--listed", type=int, default=5, help="sentences that analyze writes as settings")
     parser.add_argument("--verbose", action="store_true")
     a = parser.parse_args(arguments)
     settings = load_settings(a.config, start=a.start, end=a.end)
@@ -42,8 +48,10 @@ def main(arguments: list[str] | None = None) -> int:
         raw = read_tickets(spark, a.input)
         turns = build_turns(raw, p)
         if a.command == "analyze":
-            for row in top_sentences(placed(turns, p), a.top).collect():
+            found = top_sentences(placed(turns, p), a.top).collect()
+            for row in found:
                 print(f"{row.freq:6d}  {row.role:8s}  {row.sentence}")
+            print(phrase_settings([row.sentence for row in found[: a.listed]]))
             return 0
         done = prepare(turns, p, raw.select("file").distinct().count())
         found = summary(done)

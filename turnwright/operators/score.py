@@ -25,6 +25,29 @@ ALIASES = {
     "canned_stripped": "canned_suffix_stripped",
 }
 PASS_MARK = 70
+# Points of the rubric. Each list goes from the best step down, and a value that fits none has none.
+AT_LEAST = {
+    "made": ((0.98, 10), (0.95, 7), (0.90, 4)),
+    "duplicates": ((100, 4), (1, 3)),
+    "length": ((80, 4), (50, 3), (30, 2)),
+}
+AT_MOST = {
+    "skipped": ((0, 5), (5, 3)),
+    "pii": ((0, 10), (3, 7), (10, 4)),
+    "urls": ((0, 6), (5, 4), (20, 2)),
+    "empty": ((0, 4), (0.001, 3), (0.01, 1)),
+    "spoilt": ((0, 6), (3, 4)),
+}
+WITHIN = {
+    "stripped": ((0.3, 2.0, 8),),
+    "sentences": ((0.5, 3.0, 6),),
+    "share": ((0.45, 0.55, 8), (0.35, 0.65, 5)),
+    "held": ((0.08, 0.15, 5), (0.05, 0.20, 3)),
+}
+# Points for what is neither a step nor a range.
+URLS_KEPT, NO_CANNED, SOME_CANNED, SOME_SENTENCES, SPOILT, UNBALANCED, SEEDED, LOGGED, SETTINGS_POINTS = 6, 4, 5, 4, 2, 2, 5, 5, 5
+# Fixed values: (least average of turns, most share of one-turn conversations, least turns of any, points).
+TURNS = ((5, 0.01, 2, 8), (4, 0.05, 0, 5), (3, 1.0, 0, 3))
 
 
 def measure(records: DataFrame, safe: Iterable[str] = ()) -> DataFrame:
@@ -101,47 +124,55 @@ class Score:
         return self.total >= PASS_MARK
 
 
+def _points(name: str, value: float) -> int:
+    if name in AT_LEAST:
+        return next((points for bound, points in AT_LEAST[name] if value >= bound), 0)
+    if name in AT_MOST:
+        return next((points for bound, points in AT_MOST[name] if value <= bound), 0)
+    return next((points for low, high, points in WITHIN[name] if low <= value <= high), 0)
+
+
+def _share(part: float, whole: float) -> float:
+    return part / whole if whole else 0
+
+
+def _cleaning(m: Mapping, counters: Counters) -> int:
+    stripped, sentences = counters.canned_stripped / m["talks"], counters.sentence_dropped / m["talks"]
+    if not counters.canned_dropped and not counters.canned_stripped:
+        canned = NO_CANNED
+    else:
+        canned = _points("stripped", stripped) or (SOME_CANNED if stripped > 0 else 0)
+    listed = _points("sentences", sentences) or (SOME_SENTENCES if sentences > 0 else 0)
+    spoilt = 0 if m["garbled"] else _points("spoilt", m["empty"])
+    return canned + listed + _points("duplicates", counters.duplicate_dropped) + (spoilt or SPOILT)
+
+
+def _fitness(m: Mapping) -> int:
+    said = m["user"] + m["assistant"]
+    balance = (_points("share", m["user"] / said) or UNBALANCED) if said else 0
+    average, single = m["turns"] / m["talks"], m["one_turn"] / m["talks"]
+    depth = next((points for turns, lonely, least, points in TURNS if average >= turns and single <= lonely and m["min_turns"] >= least), 0)
+    return balance + depth + _points("held", _share(m["valid"], m["train"] + m["valid"])) + _points("length", m["chars"] / max(m["turns"], 1))
+
+
 def rate(m: Mapping, counters: Counters, settings: Mapping, logging_on: bool = True) -> Score:
     """Points of each dimension from one row of measures. Skips are inferred after measuring, where only the raw
     total is known."""
-    first = lambda *rules: next((points for holds, points in rules if holds), 0)
-    talks, conversations = m["talks"], m["train"] + m["valid"]
+    talks, conversations, said = m["talks"], m["train"] + m["valid"], m["user"] + m["assistant"]
     skipped = counters.skip_count or (max(0, counters.total_raw - conversations) if counters.total_raw else 0)
-    made = conversations / (conversations + skipped) if conversations + skipped else 0
-    integrity = first((made >= 0.98, 10), (made >= 0.95, 7), (made >= 0.90, 4)) + first((skipped == 0, 5), (skipped <= 5, 3))
-
-    per_talk = max(talks, 1)
-    empty = m["empty"] / per_talk
-    safety = first((m["pii"] == 0, 10), (m["pii"] <= 3, 7), (m["pii"] <= 10, 4))
-    safety += first((not settings.get("clean_urls", False), 6), (m["urls"] == 0, 6), (m["urls"] <= 5, 4), (m["urls"] <= 20, 2))
-    safety += first((empty == 0, 4), (empty <= 0.001, 3), (empty <= 0.01, 1))
-
-    cleaning = fitness = 0
-    if talks:
-        stripped, sentences = counters.canned_stripped / per_talk, counters.sentence_dropped / per_talk
-        any_canned = counters.canned_dropped > 0 or counters.canned_stripped > 0
-        cleaning = first((not any_canned, 4), (0.3 <= stripped <= 2.0, 8), (stripped > 0, 5))
-        cleaning += first((0.5 <= sentences <= 3.0, 6), (sentences > 0, 4))
-        cleaning += first((counters.duplicate_dropped >= 100, 4), (counters.duplicate_dropped > 0, 3))
-        cleaning += first((m["empty"] == 0 and not m["garbled"], 6), (m["empty"] <= 3 and not m["garbled"], 4), (True, 2))
-
-        said = m["user"] + m["assistant"]
-        share = m["user"] / said if said else 0
-        average, single = m["turns"] / talks, m["one_turn"] / talks
-        fitness = first((not said, 0), (0.45 <= share <= 0.55, 8), (0.35 <= share <= 0.65, 5), (True, 2))
-        fitness += first((average >= 5 and single <= 0.01 and m["min_turns"] >= 2, 8), (average >= 4 and single <= 0.05, 5), (average >= 3, 3))
-        held = m["valid"] / conversations if conversations else 0
-        fitness += first((0.08 <= held <= 0.15, 5), (0.05 <= held <= 0.20, 3))
-        length = m["chars"] / max(m["turns"], 1)
-        fitness += first((length >= 80, 4), (length >= 50, 3), (length >= 30, 2))
-
-    config = 5 * sum(k in settings for k in SETTINGS) / len(SETTINGS) + (5 if settings.get("shuffle_seed") is not None else 0) + (5 if logging_on else 0)
-    points = (integrity, safety, cleaning, fitness, config)
-    said = m["user"] + m["assistant"]
+    urls = _points("urls", m["urls"]) if settings.get("clean_urls", False) else URLS_KEPT
+    seeded = settings.get("shuffle_seed") is not None
+    points = (
+        _points("made", _share(conversations, conversations + skipped)) + _points("skipped", skipped),
+        _points("pii", m["pii"]) + urls + _points("empty", m["empty"] / max(talks, 1)),
+        _cleaning(m, counters) if talks else 0,
+        _fitness(m) if talks else 0,
+        SETTINGS_POINTS * sum(k in settings for k in SETTINGS) / len(SETTINGS) + SEEDED * seeded + LOGGED * logging_on,
+    )
     metrics = dict(m) | {
         "conversation_count": conversations,
         "skip_count": skipped,
-        "avg_turns": round(m["turns"] / per_talk, 1),
+        "avg_turns": round(m["turns"] / max(talks, 1), 1),
         "user_ratio": round(m["user"] / max(said, 1), 3),
         "avg_chars": round(m["chars"] / max(m["turns"], 1), 1),
         "counters": vars(counters),
@@ -156,28 +187,20 @@ def leaks(records: DataFrame, safe: Iterable[str] = ()) -> DataFrame:
     return rows.select("split", F.col("m.role").alias("role"), F.explode(find_pii(F.coalesce("m.content", F.lit("")), safe)).alias("value"))
 
 
-def report(score: Score, found: Iterable[tuple[str, str, str]] = (), width: int = 40) -> str:
-    """The score as text: a bar for each dimension, the measures, and the first ten leaks given."""
+def report(score: Score, found: Iterable[tuple[str, str, str]] = ()) -> str:
+    """The score as Markdown: a table of the dimensions, the measures as a list, and the first ten leaks given."""
     m = score.metrics
-    top = sum(WEIGHTS.values())
-    rule, line = "=" * 62, "-" * 62
-    out = [rule, f"  DATASET QUALITY SCORE:  {score.total:.0f} / {top}", rule, ""]
-    for name, points in score.dimensions.items():
-        full = int(points / top * width)
-        out.append(f"  {name.replace('_', ' ').title():20s}  {points:5.1f}/{WEIGHTS[name]:<3d}  {'█' * full}{'░' * (width - full)}")
-    out += ["", line, "  KEY METRICS", line]
-    rows = [("Conversations", f"{m['conversation_count']} ({m['train']} train + {m['valid']} valid)")]
-    if m["skip_count"]:
-        rows.append(("Skipped", m["skip_count"]))
-    rows += [
-        ("Turns/conversation", f"min={m['min_turns']} avg={m['avg_turns']} max={m['max_turns']}"),
-        ("Role balance", f"{m['user']} user / {m['assistant']} assistant ({m['user_ratio']})"),
-        ("Avg message length", f"{m['avg_chars']} chars"),
-        ("Empty messages", m["empty"]),
-        ("PII leaks", m["pii"]),
-        ("URL leaks", m["urls"]),
-        *((k.replace("_", " ").capitalize(), v) for k, v in m["counters"].items() if k.endswith(("dropped", "stripped"))),
+    verdict = "passed" if score.passed else "not passed"
+    table = [f"| {name} | {points:g} | {WEIGHTS[name]} |" for name, points in score.dimensions.items()]
+    dropped = ", ".join(f"{k} {v}" for k, v in m["counters"].items() if v) or "none"
+    measures = [
+        f"{m['conversation_count']} conversations: {m['train']} to train on, {m['valid']} held back, {m['skip_count']} skipped",
+        f"{m['turns']} turns: {m['min_turns']} to {m['max_turns']} a conversation, {m['avg_turns']} on average",
+        f"{m['user']} by users, {m['assistant']} by the assistant (share of users {m['user_ratio']})",
+        f"{m['avg_chars']} characters a turn on average, {m['empty']} turns empty",
+        f"{m['pii']} phone numbers and addresses, {m['urls']} turns with links, garbled text: {'yes' if m['garbled'] else 'no'}",
+        f"counters: {dropped}",
     ]
-    out += [f"  {k + ':':<21s}{v}" for k, v in rows]
-    out += [f"    [{split}/{role}] {value}" for split, role, value in list(found)[:10]]
-    return "\n".join([*out, "", f"  {'PASS' if score.passed else 'NEEDS WORK':>30s}  (threshold: {PASS_MARK}/{top})", rule])
+    out = [f"# {score.total:g} of {sum(WEIGHTS.values())} points: {verdict}, {PASS_MARK} are needed", "", "| dimension | points | of |", "|-|-|-|", *table, "", *(f"- {line}" for line in measures)]
+    listed = [f"- {split}, {role}: `{value}`" for split, role, value in list(found)[:10]]
+    return "\n".join([*out, *(["", "Leaks:", *listed] if listed else [])])

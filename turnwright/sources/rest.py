@@ -4,8 +4,9 @@
     spark.read.format("ticket_search").options(base_url=…, start="2024-01-01", end="2024-07-01", channel="web").load()
 
 The options are the search's predicates. Filters of a query aren't pushed further: Spark keeps a Python reader between
-queries of one DataFrame, and one query's filter would narrow the next one's rows. A range that holds more rows than the API returns
-for one search is halved, with half-open halves, so no ticket comes twice. Each partition has its own retries.
+queries of one DataFrame, and one query's filter would narrow the next one's rows. A range that holds as many rows as the
+API returns for one search is halved, to days and then to seconds, with half-open halves, so no ticket is missed or comes
+twice; a second that holds that many raises. Each partition has its own retries.
 """
 
 from __future__ import annotations
@@ -34,6 +35,21 @@ def midpoint(start: date, end: date | None, today: date | None = None) -> date |
     return start + timedelta(days=days // 2) if days >= 2 else None
 
 
+def instant(start: datetime, end: datetime) -> datetime | None:
+    """The second that halves [start, end), or None if that is a second or less."""
+    seconds = int((end - start).total_seconds())
+    return start + timedelta(seconds=seconds // 2) if seconds >= 2 else None
+
+
+def _as_time(day: date) -> datetime:
+    return day if isinstance(day, datetime) else datetime(day.year, day.month, day.day)
+
+
+def _said(when: date) -> str:
+    """A day as such, another time in UTC."""
+    return f"{when.isoformat()}Z" if isinstance(when, datetime) else when.isoformat()
+
+
 def get_json(url: str, user: str | None, token: str | None, retries: int = 5, backoff: float = 2.0) -> dict:
     request = urllib.request.Request(url, headers={"Accept": "application/json"})
     if user:
@@ -64,9 +80,9 @@ class Search:
     backoff: float
 
     def url(self, start: date, end: date | None) -> str:
-        terms = ["type:ticket", f"created>={start.isoformat()}"]
+        terms = ["type:ticket", f"created>={_said(start)}"]
         if end:
-            terms.append(f"created<{end.isoformat()}")
+            terms.append(f"created<{_said(end)}")
         if self.channel:
             terms.append(f"via:{self.channel}")
         query = {"query": " ".join(terms), "sort_by": "created_at", "sort_order": "asc", "per_page": self.page_size}
@@ -76,23 +92,24 @@ class Search:
         return get_json(url, self.user, self.token, self.retries, self.backoff)
 
     def ranges(self, start: date, end: date | None) -> Iterator[tuple[date, date | None]]:
-        """Half-open ranges of at most ``most_rows`` tickets, or of one day."""
-        middle = midpoint(start, end)
-        if middle and self.get(self.url(start, end)).get("count", 0) >= self.most_rows:
-            yield from self.ranges(start, middle)
-            yield from self.ranges(middle, end)
-        else:
+        """Half-open ranges of fewer than ``most_rows`` tickets each."""
+        if self.get(self.url(start, end)).get("count", 0) < self.most_rows:
             yield start, end
+            return
+        middle = None if isinstance(start, datetime) else midpoint(start, end)
+        if not middle:
+            start, end = _as_time(start), _as_time(end or datetime.now(timezone.utc).date() + timedelta(days=1))
+            middle = instant(start, end)
+        if not middle:
+            raise ValueError(f"{self.most_rows} tickets or more were created in the second {_said(start)}")
+        yield from self.ranges(start, middle)
+        yield from self.ranges(middle, end)
 
     def rows(self, start: date, end: date | None) -> Iterator[dict]:
+        """The tickets of a range that ``ranges`` gave; a refused page raises, as no such range has one too many."""
         url: str | None = self.url(start, end)
         while url:
-            try:
-                page = self.get(url)
-            except urllib.error.HTTPError as e:
-                if e.code == 422:  # past the last page that the API serves
-                    return
-                raise
+            page = self.get(url)
             yield from page.get("results") or []
             url = page.get("next_page")
 

@@ -29,6 +29,7 @@ class PrepareSettings:
     dedupe_sentences: bool = True
     filter_sentences: tuple[str, ...] = ()
     dedupe_canned: bool = True
+    python_shuffle: bool = False
 
 
 @dataclass(frozen=True)

@@ -22,13 +22,21 @@ MESSAGES = "messages array<struct<role:string,content:string>>"
 CORRUPT = "_corrupt"
 
 
-def read_tickets(spark: SparkSession, path: str, glob: str = "ticket_*.json") -> DataFrame:
-    """One row for each file, whole files as documents, with ``file`` and, for what can't be parsed, ``_corrupt``.
+def read_tickets(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each landed ticket, with ``file`` and, for what can't be parsed, ``_corrupt``.
 
-    The schema is given, not inferred, so batches can't drift and unread fields are never parsed.
+    A ticket has landed as a document of its own (``ticket_*.json``) or as a line of what an export wrote
+    (``part-*.json``, in folders below too); a line's file is named as its document would be, so that both have the same
+    order. The schema is given, not inferred, so batches can't drift and unread fields are never parsed.
     """
-    reader = spark.read.schema(f"{TICKET}, {CORRUPT} string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("ignoreMissingFiles", True).option("pathGlobFilter", glob)
-    return reader.json(path).withColumn("file", F.col("_metadata.file_name"))
+
+    def reader(glob: str, whole: bool) -> DataFrame:
+        options = {"multiLine": whole, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "ignoreMissingFiles": True, "pathGlobFilter": glob, "recursiveFileLookup": True}
+        return spark.read.schema(f"{TICKET}, {CORRUPT} string").options(**options).json(path).withColumn("file", F.col("_metadata.file_name"))
+
+    lines = reader("part-*.json*", False)
+    named = F.format_string("ticket_%d.json", F.coalesce("ticket_id", "id"))
+    return reader("ticket_*.json", True).unionByName(lines.withColumn("file", F.when(F.coalesce("ticket_id", "id").isNotNull(), named).otherwise(F.col("file"))))
 
 
 def assemble_tickets(tickets: DataFrame, comments: DataFrame, channel: str) -> DataFrame:
