@@ -6,6 +6,7 @@ conversations, and orders with their lineitems for tickets with their comments.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,12 @@ from pyspark.sql import functions as F
 
 from turnwright.functions import sentences, speakers, text
 from turnwright.operators import dedup, score, signatures, turns
+from turnwright.operators.examples import tokenized
 from turnwright.operators.ranking import shuffled_positions, split_by_ratio
 from turnwright.plans.prepare import prepare
 from turnwright.sources.settings import PrepareSettings
-from turnwright.sources.tickets import assemble_tickets, build_turns, not_yet_done, turns_of_conversations, turns_of_documents
+from turnwright.sources.tickets import assemble_tickets, build_turns, not_yet_done, read_records, read_tickets, turns_of_conversations, turns_of_documents, write_records
+from turnwright.storage import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -242,14 +245,59 @@ def clean_message(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("long_enough", F.length("out") >= 10)
 
 
+BLOCK = r"[\p{L}\p{N}_.-]+\.(jpe?g|png|gif|mp4|pdf|webp|bmp)\nURL:\s*https?://[^\n]+\nType:\s*[^\n]+\nSize:\s*\d+"
+
+
+def _cleaned() -> str:
+    """Every cleaning step over body, in the order of the engine."""
+    c = stripped(f"regexp_replace(body, '{BLOCK}', '[image]', 'g')")
+    c = f"regexp_replace(regexp_replace({c}, '(\\[image\\]{WS}*){{2,}}', '[images]', 'g'), 'https?://{SOLID}+', '[link]', 'g')"
+    c = f"regexp_replace(regexp_replace({c}, '^\\[image\\]{WS}*', ''), '^\\[link\\]{WS}*', '')"
+    c = f"regexp_replace(regexp_replace({c}, '{EMAIL}', '[email]', 'g'), '{PHONE}', '[phone]', 'g')"
+    return f"nullif({stripped(f"regexp_replace({c}, '{WS}*({FILLER_ALTERNATIVES}){WS}*$', '')")}, '')"
+
+
+PLANTED = "chr(10) || 'shot.png' || chr(10) || 'URL: https://e.com/a' || chr(10) || 'Type: image/png' || chr(10) || 'Size: 12' || chr(10)"
+
+
+@query(f"""WITH b AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN {PLANTED} WHEN 2 THEN {PLANTED} || {PLANTED} ELSE '[image] [link] ' END
+  || CASE WHEN doc_id % 7 = 0 THEN '' ELSE coalesce(text, '') END || CASE WHEN doc_id % 3 = 0 THEN ' see https://e.com/x นะครับ ' ELSE '' END AS body FROM documents)
+SELECT doc_id, {_cleaned()} AS out FROM b""")
+def clean_message_whole(spark: SparkSession, d: str) -> DataFrame:
+    """All cleaning steps with their defaults, over texts with attachments, placeholders, links and particles."""
+    block = F.lit("\nshot.png\nURL: https://e.com/a\nType: image/png\nSize: 12\n")
+    k = F.col("doc_id")
+    head = F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, block).when(k % 4 == 2, F.concat(block, block)).otherwise(F.lit("[image] [link] "))
+    tail = F.when(k % 3 == 0, F.lit(" see https://e.com/x นะครับ ")).otherwise(F.lit(""))
+    body = F.concat(head, F.when(k % 7 == 0, F.lit("")).otherwise(F.coalesce("text", F.lit(""))), tail)
+    return _table(spark, d, "documents").select("doc_id", text.clean_message(body).alias("out"))
+
+
+GARBLES = ("a bscription of", "a subscription of", "see https://forms.example", "ftp://forms.x", "ต่าหาก", "ไม่สะดวก", "fine")
+
+
+@query("WITH g AS (SELECT n_nationkey, n_name || ' ' || [" + ", ".join(f"'{g}'" for g in GARBLES) + r"""][n_nationkey % 7 + 1] AS body FROM nation)
+SELECT n_nationkey, regexp_matches(body, '(^|[^\p{L}\p{N}_])bscription|ม่สะดวก|ต่าหาก|https://forms|://forms\.') AS garbled FROM g""")
+def garbled_texts(spark: SparkSession, d: str) -> DataFrame:
+    body = F.concat("n_name", F.lit(" "), F.element_at(F.array(*map(F.lit, GARBLES)), (F.col("n_nationkey") % 7 + 1).cast("int")))
+    return _table(spark, d, "nation").select("n_nationkey", text.is_garbled(body).alias("garbled"))
+
+
+@query("SELECT o_orderkey, CAST(epoch(CAST(o_orderdate AS TIMESTAMP)) AS BIGINT) AS epoch FROM orders")
+def dates_to_epoch(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "orders").select("o_orderkey", text.to_epoch(F.col("o_orderdate").cast("string")).alias("epoch"))
+
+
 # --- sentences ------------------------------------------------------------------------------------------------------
 
 # The documents have no http URLs; dots between digits are given a stand-in by two passes, as RE2 has no lookaround.
-PARTS = f"""s AS (
-  SELECT doc_id, list_filter(list_transform(string_split(replace(regexp_replace(regexp_replace(coalesce(text, ''), '(\\p{{Nd}})\\.(\\p{{Nd}})', '\\1' || chr(1) || '\\2', 'g'),
-    '(\\p{{Nd}})\\.(\\p{{Nd}})', '\\1' || chr(1) || '\\2', 'g'), chr(10), '.'), '.'),
-    lambda x: replace({stripped('x')}, chr(1), '.')), lambda x: x <> '') AS parts FROM documents
-)"""
+def sentences_of(c: str) -> str:
+    dots = f"regexp_replace({c}, '(\\p{{Nd}})\\.(\\p{{Nd}})', '\\1' || chr(1) || '\\2', 'g')"
+    dots = f"regexp_replace({dots}, '(\\p{{Nd}})\\.(\\p{{Nd}})', '\\1' || chr(1) || '\\2', 'g')"
+    return f"list_filter(list_transform(string_split(replace({dots}, chr(10), '.'), '.'), lambda x: replace({stripped('x')}, chr(1), '.')), lambda x: x <> '')"
+
+
+PARTS = f"s AS (SELECT doc_id, {sentences_of("coalesce(text, '')")} AS parts FROM documents)"
 
 
 @query(f"""WITH {PARTS} SELECT doc_id, CAST(len(parts) AS INT) AS n_sentences, array_to_string(parts, '|') AS joined FROM s""")
@@ -303,6 +351,22 @@ def strip_at_boundary(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _first_that_changes(body: str, phrase: str) -> str:
+    tries = ", ".join(f"'{x}'" for x in [phrase, *sentences.phrase_slices(phrase)])
+    return f"list_filter(list_transform([{tries}], lambda q: {_at_boundary(body, 'q')}), lambda x: x <> {body})[1]"
+
+
+@query(f"""WITH b AS (SELECT n_nationkey, [n_name || ' {PHRASES[0]}', '{PHRASES[1]}, ' || n_name, '{PHRASES[0][:40]}', n_name || ' {PHRASES[1]}!', n_name][n_nationkey % 5 + 1] AS body FROM nation),
+o AS (SELECT *, {_first_that_changes("body", PHRASES[0])} AS one FROM b), t AS (SELECT *, coalesce(one, body) AS c FROM o), w AS (SELECT *, {_first_that_changes("c", PHRASES[1])} AS two FROM t)
+SELECT n_nationkey, nullif(CASE WHEN one IS NULL AND two IS NULL THEN body ELSE {squeezed("coalesce(two, c)")} END, '') AS out, CAST(one IS NOT NULL OR two IS NOT NULL AS INT) AS dropped FROM w""")
+def phrase_fold(spark: SparkSession, d: str) -> DataFrame:
+    """Messages of a single sentence: each listed phrase, or the first of its slices that can go, goes from their ends."""
+    n = F.col("n_name")
+    kinds = F.array(F.concat(n, F.lit(f" {PHRASES[0]}")), F.concat(F.lit(f"{PHRASES[1]}, "), n), F.lit(PHRASES[0][:40]), F.concat(n, F.lit(f" {PHRASES[1]}!")), n)
+    body = F.element_at(kinds, (F.col("n_nationkey") % 5 + 1).cast("int"))
+    return _table(spark, d, "nation").select("n_nationkey", sentences.filter_phrases(body, PHRASES).alias("f")).select("n_nationkey", F.col("f.text").alias("out"), "f.dropped")
+
+
 # --- copies and templates -------------------------------------------------------------------------------------------
 
 TEXT_KEY = squeezed("lower(content)")
@@ -423,6 +487,77 @@ def embedded_speaker_parse(spark: SparkSession, d: str) -> DataFrame:
     return built.select("ticket_id", "turn_pos", "role", "content")
 
 
+def _native(spark: SparkSession, d: str) -> DataFrame:
+    """Tickets made of customers: no stamped speakers, a private note, an image alone, and a message without an author.
+    Each third ticket has no requester, each fifth nothing public."""
+    k = F.col("c_custkey")
+
+    def comment(i: int, public: bool, author, body):
+        return F.struct(F.lit(i).cast("bigint").alias("id"), author.cast("bigint").alias("author_id"), F.lit(f"2024-01-0{i}").alias("created_at"), F.lit(public).alias("public"), body.alias("body"), F.lit(None).cast("array<struct<file_name:string,content_url:string>>").alias("attachments"))
+
+    note = comment(3, False, F.lit(0), F.lit("internal note only"))
+    comments = F.array(
+        comment(1, True, k, F.concat(F.lit("my app does not open "), "c_name")),
+        comment(2, True, F.lit(0), F.concat(F.lit("please reinstall "), "c_mktsegment", F.lit(" now"))),
+        note,
+        comment(4, True, k, F.lit("[image]")),
+        comment(5, True, F.lit(None), F.lit("a message without an author")),
+    )
+    return _table(spark, d, "customer").select(k.alias("ticket_id"), k.alias("id"), F.struct(F.when(k % 3 != 0, k).alias("requester_id")).alias("metadata"), F.when(k % 5 == 0, F.array(note)).otherwise(comments).alias("comments"))
+
+
+NATIVE = """c AS (SELECT * FROM customer WHERE c_custkey % 5 <> 0), n AS (
+  SELECT c_custkey AS ticket_id, 0 AS turn_pos, 'customer' AS role, 'my app does not open ' || c_name AS content FROM c WHERE c_custkey % 3 <> 0
+  UNION ALL SELECT c_custkey, 1, 'agent', 'please reinstall ' || c_mktsegment || ' now' || chr(10) || 'a message without an author' FROM c WHERE c_custkey % 3 <> 0
+  UNION ALL SELECT c_custkey, 0, 'agent', 'my app does not open ' || c_name || chr(10) || 'please reinstall ' || c_mktsegment || ' now' FROM c WHERE c_custkey % 3 = 0
+  UNION ALL SELECT c_custkey, 1, 'customer', 'a message without an author' FROM c WHERE c_custkey % 3 = 0)"""
+
+
+@query(f"WITH {NATIVE} SELECT * FROM n")
+def native_roles(spark: SparkSession, d: str) -> DataFrame:
+    return build_turns(_native(spark, d), PrepareSettings(redact_pii=False)).select("ticket_id", "turn_pos", "role", "content")
+
+
+@query(f"WITH {NATIVE} SELECT (SELECT count(*) FROM customer) AS total, count(DISTINCT ticket_id) AS usable, (SELECT count(*) FROM customer) - count(DISTINCT ticket_id) AS skipped FROM n")
+def skipped_tickets(spark: SparkSession, d: str) -> DataFrame:
+    raw = _native(spark, d)
+    usable = build_turns(raw, PrepareSettings()).agg(F.count_distinct("ticket_id").alias("usable"))
+    return raw.agg(F.count("*").alias("total")).withColumn("usable", usable.scalar()).withColumn("skipped", F.col("total") - F.col("usable"))
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/query-{uuid.uuid4().hex}"
+
+
+@query("""SELECT c_custkey AS ticket_id, 'ticket_' || c_custkey || '.json' AS file, CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 5 END AS comments, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS requester_id FROM customer""")
+def ticket_files(spark: SparkSession, d: str) -> DataFrame:
+    """Tickets written as an export lands them and read back."""
+    folder = _own_folder(spark)
+    _native(spark, d).write.json(f"{folder}/batch=0")
+    return read_tickets(spark, folder).select("ticket_id", "file", F.size("comments").alias("comments"), "metadata.requester_id")
+
+
+@query(f"""WITH {TURNS}, {PLACED} SELECT p.split, count(DISTINCT t.conv_id) AS records, count(*) + count(DISTINCT t.conv_id) AS messages,
+  CAST(sum(length(t.content)) + count(DISTINCT t.conv_id) * length('You help.') AS BIGINT) AS characters FROM t JOIN p ON t.conv_id = p.conv_id GROUP BY p.split""")
+def record_files(spark: SparkSession, d: str) -> DataFrame:
+    """Records of both splits written as JSON lines, read back and labelled."""
+    folder, rows = _own_folder(spark), _records(spark, d)
+    read = []
+    for split in ("train", "valid"):
+        write_records(rows.where(F.col("split") == split), f"{folder}/{split}")
+        read.append(read_records(spark, f"{folder}/{split}", required=True).withColumn("split", F.lit(split)))
+    characters = F.aggregate("messages", F.lit(0).cast("long"), lambda a, m: a + F.length(m["content"]))
+    return read[0].unionByName(read[1]).groupBy("split").agg(F.count("*").alias("records"), F.sum(F.size("messages")).alias("messages"), F.sum(characters).alias("characters"))
+
+
+@query()
+def training_examples(spark: SparkSession, d: str) -> DataFrame:
+    """Token ids and labels of each record, cut to 512 ids."""
+    import public_tokenizers
+
+    return tokenized(_records(spark, d), public_tokenizers.path("byte_bpe_50k.json"), 512)
+
+
 # --- the rubric and the whole ---------------------------------------------------------------------------------------
 
 MEASURED = f"""WITH {TURNS}, {PLACED}, m AS (
@@ -448,6 +583,9 @@ def score_metrics(spark: SparkSession, d: str) -> DataFrame:
     return score.measure(_records(spark, d))
 
 
+SETTING_LIST = ", ".join(f"'{k}'" for k in score.SETTINGS)
+
+
 @query(f"""WITH m AS ({MEASURED}), r AS (SELECT *, "user" / (turns) AS share, turns / talks AS average, one_turn / talks AS single, valid / (train + valid) AS held, chars / turns AS len FROM m)
 SELECT unnest(['pipeline_integrity', 'content_safety', 'cleaning_dedup', 'dataset_fitness', 'config_engineering']) AS dimension,
  unnest([15.0::DOUBLE, (CASE WHEN pii = 0 THEN 10 WHEN pii <= 3 THEN 7 WHEN pii <= 10 THEN 4 ELSE 0 END + 6 +
@@ -456,16 +594,56 @@ SELECT unnest(['pipeline_integrity', 'content_safety', 'cleaning_dedup', 'datase
    (CASE WHEN share BETWEEN 0.45 AND 0.55 THEN 8 WHEN share BETWEEN 0.35 AND 0.65 THEN 5 ELSE 2 END +
     CASE WHEN average >= 5 AND single <= 0.01 AND min_turns >= 2 THEN 8 WHEN average >= 4 AND single <= 0.05 THEN 5 WHEN average >= 3 THEN 3 ELSE 0 END +
     CASE WHEN held BETWEEN 0.08 AND 0.15 THEN 5 WHEN held BETWEEN 0.05 AND 0.20 THEN 3 ELSE 0 END +
-    CASE WHEN len >= 80 THEN 4 WHEN len >= 50 THEN 3 WHEN len >= 30 THEN 2 ELSE 0 END)::DOUBLE, 10.4::DOUBLE]) AS points FROM r""")
+    CASE WHEN len >= 80 THEN 4 WHEN len >= 50 THEN 3 WHEN len >= 30 THEN 2 ELSE 0 END)::DOUBLE,
+   round(5 * len(list_intersect([{SETTING_LIST}], ['shuffle_seed', 'unknown'])) / {len(score.SETTINGS)} + 5 + 5, 1)::DOUBLE]) AS points FROM r""")
 def score_dimensions(spark: SparkSession, d: str) -> DataFrame:
-    found = score.rate(score.measure(_records(spark, d)).first().asDict(), score.Counters(), {"shuffle_seed": 42}, logging_on=True)
+    found = score.rate(score.measure(_records(spark, d)).first().asDict(), score.Counters(), {"shuffle_seed": 42, "unknown": 1}, logging_on=True)
     return spark.createDataFrame(list(found.dimensions.items()), "dimension string, points double")
 
 
-@query()
+def _mined(rule: signatures.MiningRule) -> str:
+    starts = f"unnest(range(0, greatest(1, length(body) - {rule.size}), greatest(1, length(body) // 30)))"
+    return f"SELECT split, sig FROM (SELECT split, substr(body, CAST(i AS INT) + 1, {rule.size}) AS sig FROM (SELECT split, body, {starts} AS i FROM b)) GROUP BY split, sig HAVING count(*) >= {rule.least}"
+
+
+def _windows(k: int) -> str:
+    return f"SELECT DISTINCT split, conv_pos, turn, substr(body, CAST(i AS INT), {k}) AS sig FROM (SELECT *, unnest(range(1, greatest(1, length(body) - {k} + 1) + 1)) AS i FROM n)"
+
+
+# Each step over the one before: usable turns, places, exact copies, listed phrases, templates, both roles again.
+PREPARED = f"""WITH {LINES.replace("t AS (", "lines AS (")},
+t AS (SELECT conv_id, turn - 1 AS turn, CASE WHEN turn % 2 = 1 THEN 'customer' ELSE 'agent' END AS role, content FROM lines WHERE length(content) >= 10),
+usable AS (SELECT * FROM t WHERE conv_id IN (SELECT conv_id FROM t GROUP BY conv_id HAVING count(DISTINCT role) = 2)),
+{PLACED.replace("FROM t)", "FROM usable)")},
+m AS (SELECT split, conv_pos, turn, role, content FROM usable JOIN p ON usable.conv_id = p.conv_id),
+e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY split, {TEXT_KEY} ORDER BY conv_pos, turn) AS rn FROM m) WHERE rn <= 3),
+s AS (SELECT *, {sentences_of("content")} AS parts FROM e WHERE (split, conv_pos) IN (SELECT (split, conv_pos) FROM e GROUP BY split, conv_pos HAVING count(*) >= 2)),
+o AS (SELECT *, list_filter(parts, lambda x: len(list_filter([{SLICE_LIST}], lambda y: contains(x, y))) = 0) AS kept, CASE WHEN len(parts) < 2 THEN {_first_that_changes("content", PHRASES[0])} END AS one FROM s),
+c AS (SELECT *, coalesce(one, content) AS folded FROM o),
+w2 AS (SELECT *, CASE WHEN len(parts) < 2 THEN {_first_that_changes("folded", PHRASES[1])} END AS two FROM c),
+f AS (SELECT split, conv_pos, turn, role, nullif(CASE WHEN len(parts) > 1 THEN array_to_string(kept, '. ') WHEN one IS NULL AND two IS NULL THEN content
+      ELSE {squeezed("coalesce(two, folded)")} END, '') AS content FROM w2),
+n AS (SELECT *, {squeezed("content")} AS body FROM f WHERE content IS NOT NULL),
+b AS (SELECT split, regexp_replace(body, 'https?://{SOLID}+', '[url]', 'g') AS body FROM n WHERE length(regexp_replace(body, 'https?://{SOLID}+', '[url]', 'g')) >= 25),
+z AS (SELECT * FROM ({_mined(signatures.LONG)} UNION ALL {_mined(signatures.SHORT)}) WHERE split IN (SELECT split FROM b GROUP BY split HAVING count(*) >= {signatures.LONG.least})),
+w AS ({_windows(25)} UNION ALL {_windows(15)}),
+h AS (SELECT w.split, conv_pos, turn, arg_min(z.sig, struct_pack(a := -length(z.sig), b := z.sig)) AS sig FROM w JOIN z ON w.split = z.split AND w.sig = z.sig GROUP BY w.split, conv_pos, turn),
+j AS (SELECT n.*, h.sig, instr(n.body, h.sig) AS pos, length(h.sig) AS k, length(n.body) AS len FROM n LEFT JOIN h ON n.split = h.split AND n.conv_pos = h.conv_pos AND n.turn = h.turn),
+x AS (SELECT *, sig IS NOT NULL AND k / greatest(len, 1) >= 0.6 AS dominant,
+  CASE WHEN pos - 1 <= 2 OR (len - (pos + k) + 1 < 10 AND (pos = 1 OR substr(body, pos - 1, 1) = ' '))
+       THEN nullif(regexp_replace({squeezed("(substr(body, 1, pos - 1) || ' ' || substr(body, pos + k))")}, '[,;:!?。，；：！？]+$', ''), '') ELSE content END AS rest FROM j),
+y AS (SELECT *, row_number() OVER (PARTITION BY split, dominant, sig ORDER BY conv_pos, turn) AS nth FROM x),
+a AS (SELECT split, conv_pos, turn, role, CASE WHEN sig IS NULL THEN content WHEN dominant AND nth <= 3 THEN content WHEN dominant THEN NULL WHEN length(rest) >= 10 THEN rest END AS content FROM y),
+left_ AS (SELECT * FROM a WHERE content IS NOT NULL),
+done AS (SELECT * FROM left_ WHERE (split, conv_pos) IN (SELECT (split, conv_pos) FROM left_ GROUP BY split, conv_pos HAVING count(DISTINCT role) = 2))
+SELECT split, conv_pos, CAST(row_number() OVER (PARTITION BY split, conv_pos ORDER BY turn) AS INT) AS pos, CASE role WHEN 'customer' THEN 'user' ELSE 'assistant' END AS role, content FROM done
+UNION ALL SELECT DISTINCT split, conv_pos, 0, 'system', 'You help.' FROM done"""
+
+
+@query(PREPARED)
 def prepare_dataset(spark: SparkSession, d: str) -> DataFrame:
     """The whole preparation over lines of documents as turns, customer and agent by turns, with every stage on."""
     lines = _lines(spark, d).withColumn("role", F.when(F.col("turn_pos") % 2 == 0, F.lit("customer")).otherwise(F.lit("agent")))
     rows = lines.select(F.col("conv_pos").alias("ticket_id"), "turn_pos", "role", "content", F.array(F.col("turn_pos").cast("bigint")).alias("comment_ids"))
     done = prepare(rows.where(F.length("content") >= 10), PrepareSettings(filter_sentences=PHRASES))
-    return done.records("You help.").select("split", "conv_pos", F.size("messages").alias("n_messages"), F.to_json("messages").alias("messages"))
+    return done.records("You help.").select("split", "conv_pos", F.posexplode("messages").alias("pos", "m")).select("split", "conv_pos", "pos", "m.role", "m.content")
