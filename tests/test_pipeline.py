@@ -60,6 +60,20 @@ def test_exact_copies(spark):
     assert again.count() == 4
 
 
+def test_columns_of_the_names_used_inside(spark):
+    """Further columns pass through, whatever they are called."""
+    rows = talk(spark, [(c, 0, "agent", "a message of thirty characters" if c < 8 else f"message {c} of its own") for c in range(10)])
+    own = ("_rank", "_text", "_f", "_key", "_range", "_start", "_n", "_dominant", "_left", "body")
+    for name in own:
+        rows = rows.withColumn(name, F.concat(F.lit(name), "conv_pos"))
+    done = dedup.phrases(dedup.canned(dedup.limit_copies(rows, 9), 2).where("content is not null"), ["of its"])
+    ids = split_by_ratio(shuffled_positions(rows.drop("split", "conv_pos"), "ticket_id", 1), 0.5)
+    for found in (done, ids):
+        for r in found.collect():
+            assert all(r[name] == f"{name}{r.ticket_id}" for name in own)
+    assert done.count() == 4 and ids.count() == 10
+
+
 def test_splits_are_deduplicated_apart(spark):
     rows = talk(spark, [(0, 0, "agent", "x"), (1, 0, "agent", "x")]).unionByName(talk(spark, [(2, 0, "agent", "x")], "valid"))
     assert dedup.limit_copies(rows, 1).count() == 2

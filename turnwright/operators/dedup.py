@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from turnwright.functions.sentences import filter_phrases, split_sentences
 from turnwright.functions.text import drop_signature, same_text_key, squeeze
+from turnwright.operators.ranking import spare
 from turnwright.operators.signatures import keep_first, longest_match, mine
 from turnwright.operators.turns import without_broken
 
@@ -23,8 +24,9 @@ COVERAGE, LEAST_LEFT = 0.6, 10
 
 def limit_copies(turns: DataFrame, most: int) -> DataFrame:
     """At most ``most`` turns of each text, by its key, in each split."""
-    keyed = turns.withColumn("_text", same_text_key(F.col("content")))
-    return keep_first(keyed, ("split", "_text"), ("conv_pos", "turn_pos"), most).drop("_text")
+    (key,) = spare(turns, "_text")
+    keyed = turns.withColumn(key, same_text_key(F.col("content")))
+    return keep_first(keyed, ("split", key), ("conv_pos", "turn_pos"), most).drop(key)
 
 
 def exact(turns: DataFrame, most: int) -> DataFrame:
@@ -34,29 +36,33 @@ def exact(turns: DataFrame, most: int) -> DataFrame:
 
 def phrases(turns: DataFrame, listed: Sequence[str]) -> DataFrame:
     """Turns without the listed phrases, with the count ``dropped``; content is null where nothing is left."""
-    judged = turns.withColumn("_f", filter_phrases(F.col("content"), list(listed)))
-    return judged.withColumn("content", F.col("_f.text")).withColumn("dropped", F.col("_f.dropped")).drop("_f")
+    (f,) = spare(turns, "_f")
+    judged = turns.withColumn(f, filter_phrases(F.col("content"), list(listed)))
+    return judged.withColumn("content", F.col(f"{f}.text")).withColumn("dropped", F.col(f"{f}.dropped")).drop(f)
 
 
 def canned(turns: DataFrame, most: int) -> DataFrame:
-    """Every turn with ``action``: none, kept, dropped or stripped; content is null for dropped turns.
+    """Every turn with ``sig``, ``action`` (none, kept, dropped or stripped) and ``changed``, in place of columns of
+    these names; content is null for dropped turns.
 
     A turn of which its signature covers COVERAGE is kept up to ``most`` times for the signature; from others the
     phrase is stripped if it is at an end, and the turn goes if fewer than LEAST_LEFT characters are left.
     ``changed`` tells stripped turns whose text did change.
     """
+    turns = turns.drop("sig", "action", "changed")
+    dominant, rank, left = spare(turns, "_dominant", "_rank", "_left")
     matched = turns.join(longest_match(turns, mine(turns, ("split",)), TURN, ("split",)), list(TURN), "left")
     share = F.when(F.col("sig").isNotNull(), F.length("sig") / F.greatest(F.length(squeeze(F.col("content"))), F.lit(1)))
-    matched = matched.withColumn("_dominant", F.coalesce(share >= COVERAGE, F.lit(False)))
-    rank = F.row_number().over(Window.partitionBy("split", "sig").orderBy("conv_pos", "turn_pos"))
-    ranked = matched.where("_dominant").withColumn("_rank", rank)
-    dominant = ranked.withColumn("action", F.when(F.col("_rank") <= most, F.lit("kept")).otherwise(F.lit("dropped"))).drop("_rank").withColumn("changed", F.lit(False)).withColumn("content", F.when(F.col("action") == "kept", F.col("content")))
-    others = matched.where("not _dominant").withColumn("_left", F.when(F.col("sig").isNotNull(), drop_signature(F.col("content"), F.col("sig"))))
-    fine = F.coalesce(F.length("_left") >= LEAST_LEFT, F.lit(False))
+    matched = matched.withColumn(dominant, F.coalesce(share >= COVERAGE, F.lit(False)))
+    order = F.row_number().over(Window.partitionBy("split", "sig").orderBy("conv_pos", "turn_pos"))
+    covered = matched.where(F.col(dominant)).withColumn(rank, order)
+    covered = covered.withColumn("action", F.when(F.col(rank) <= most, F.lit("kept")).otherwise(F.lit("dropped"))).drop(rank).withColumn("changed", F.lit(False)).withColumn("content", F.when(F.col("action") == "kept", F.col("content")))
+    others = matched.where(~F.col(dominant)).withColumn(left, F.when(F.col("sig").isNotNull(), drop_signature(F.col("content"), F.col("sig"))))
+    fine = F.coalesce(F.length(left) >= LEAST_LEFT, F.lit(False))
     action = F.when(F.col("sig").isNull(), F.lit("none")).when(fine, F.lit("stripped")).otherwise(F.lit("dropped"))
-    others = others.withColumn("action", action).withColumn("changed", F.coalesce(fine & (F.col("_left") != F.col("content")), F.lit(False)))
-    others = others.withColumn("content", F.when(F.col("action") == "none", F.col("content")).when(F.col("action") == "stripped", F.col("_left"))).drop("_left")
-    return dominant.unionByName(others).drop("_dominant")
+    others = others.withColumn("action", action).withColumn("changed", F.coalesce(fine & (F.col(left) != F.col("content")), F.lit(False)))
+    others = others.withColumn("content", F.when(F.col("action") == "none", F.col("content")).when(F.col("action") == "stripped", F.col(left))).drop(left)
+    return covered.unionByName(others).drop(dominant)
 
 
 def sentence_counts(turns: DataFrame, longer_than: int = 15, order: Sequence[str] = ("conv_pos", "turn_pos")) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnwright.functions.text import URL, squeeze
+from turnwright.operators.ranking import spare
 from turnwright.storage import cut
 
 
@@ -97,4 +98,5 @@ def _all_windows(body: Column, size: int, block: int = 256) -> Column:
 def keep_first(rows: DataFrame, groups: Sequence[str], order: Sequence[str], most: int) -> DataFrame:
     """The first ``most`` rows of each group. Spark limits groups before the shuffle, so a very common group is no
     large task; count what went as rows before less rows after."""
-    return rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*groups).orderBy(*order))).where(F.col("_rank") <= most).drop("_rank")
+    (rank,) = spare(rows, "_rank")
+    return rows.withColumn(rank, F.row_number().over(Window.partitionBy(*groups).orderBy(*order))).where(F.col(rank) <= most).drop(rank)

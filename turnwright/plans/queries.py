@@ -6,7 +6,6 @@ conversations, and orders with their lineitems for tickets with their comments.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from turnwright.operators.ranking import shuffled_positions, split_by_ratio
 from turnwright.plans.prepare import prepare
 from turnwright.sources.settings import PrepareSettings
 from turnwright.sources.tickets import assemble_tickets, build_turns, not_yet_done, read_records, read_tickets, turns_of_conversations, turns_of_documents, write_records
-from turnwright.storage import shared_dir
+from turnwright.storage import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -525,14 +524,10 @@ def skipped_tickets(spark: SparkSession, d: str) -> DataFrame:
     return raw.agg(F.count("*").alias("total")).withColumn("usable", usable.scalar()).withColumn("skipped", F.col("total") - F.col("usable"))
 
 
-def _own_folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/query-{uuid.uuid4().hex}"
-
-
 @query("""SELECT c_custkey AS ticket_id, 'ticket_' || c_custkey || '.json' AS file, CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 5 END AS comments, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS requester_id FROM customer""")
 def ticket_files(spark: SparkSession, d: str) -> DataFrame:
     """Tickets written as an export lands them and read back."""
-    folder = _own_folder(spark)
+    folder = scratch(spark, "query")
     _native(spark, d).write.json(f"{folder}/batch=0")
     return read_tickets(spark, folder).select("ticket_id", "file", F.size("comments").alias("comments"), "metadata.requester_id")
 
@@ -541,7 +536,7 @@ def ticket_files(spark: SparkSession, d: str) -> DataFrame:
   CAST(sum(length(t.content)) + count(DISTINCT t.conv_id) * length('You help.') AS BIGINT) AS characters FROM t JOIN p ON t.conv_id = p.conv_id GROUP BY p.split""")
 def record_files(spark: SparkSession, d: str) -> DataFrame:
     """Records of both splits written as JSON lines, read back and labelled."""
-    folder, rows = _own_folder(spark), _records(spark, d)
+    folder, rows = scratch(spark, "query"), _records(spark, d)
     read = []
     for split in ("train", "valid"):
         write_records(rows.where(F.col("split") == split), f"{folder}/{split}")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,3 +31,20 @@ def cut(df: DataFrame) -> DataFrame:
     """The rows worked out once and kept in the shared folder, so that a lost executor costs no recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, as a URI; it goes with the driver, as far as that ends in order."""
+    import pyarrow.fs as pafs
+
+    folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = folder if "://" in folder else f"file://{folder}"
+    fs, path = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(path, recursive=True)
+
+    def remove() -> None:
+        with contextlib.suppress(OSError):
+            fs.delete_dir(path)
+
+    atexit.register(remove)
+    return folder
