@@ -15,7 +15,6 @@ is for the index alone to say.
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 
 from turnwright.llm import shingles as S
 from turnwright.llm.common import in_arrow
-from turnwright.storage import shared_dir
+from turnwright.storage import scratch
 
 BITS = 128
 RADIUS = 44
@@ -192,10 +191,8 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[str]:
     """Files of the items in ascending order of a hash, each of at most BLOCK_CHARS characters or one item, in the
     shared folder. The driver holds one block at a time."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    folder = f"{shared_dir(benchmark.sparkSession).rstrip('/')}/items-{uuid.uuid4().hex}"
-    folder = folder if "://" in folder else f"file://{folder}"
+    folder = scratch(benchmark.sparkSession, "items")
     fs, path = pafs.FileSystem.from_uri(folder)
-    fs.create_dir(path, recursive=True)
     uris: list[str] = []
 
     def write(block: list) -> None:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from turnwright.llm import shingles as S
 from turnwright.llm.common import connected_components, grouped, map_arrow
-from turnwright.storage import cut, shared_dir
+from turnwright.storage import cut, scratch
 
 #: Rows of a shard, on average, and rows from which a shard is split again.
 SHARD, SPLIT = 1000, 6000
@@ -232,10 +232,7 @@ def shards(classes: DataFrame, least: float, kind: str, wide: bool) -> DataFrame
     """(leaf, home, cid) of all classes, split level by level; vectors of each length have a root of their own."""
     root = F.xxhash64(F.octet_length("vec"))
     rows = classes.select(root.alias("leaf"), F.lit(True).alias("home"), "cid", "vec")
-    folder = f"{shared_dir(classes.sparkSession).rstrip('/')}/cells-{uuid.uuid4().hex}"
-    folder = folder if "://" in folder else f"file://{folder}"
-    fs, path = pafs.FileSystem.from_uri(folder)
-    fs.create_dir(path, recursive=True)
+    folder = scratch(classes.sparkSession, "cells")
     done = None
     for _ in range(LEVELS):
         large = _few(rows.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > (SPLIT if done is not None else SHARD)))

@@ -18,7 +18,6 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 
 from turnwright.llm.common import in_arrow, map_arrow
 from turnwright.llm.shingles import LOWER, SPACE
-from turnwright.storage import cut, shared_dir
+from turnwright.storage import cut, scratch
 
 MAGIC, INDEX = b"TKSHARD1", b"TKINDEX1"
 #: Words that a worker process remembers at most, some 150 MB of them.
@@ -299,13 +298,14 @@ def _shards(docs: DataFrame) -> int:
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_id: int = 1, sample: int = 1024, dictionary_bytes: int = 65_536, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
     """Writes the ids of every whole text (null: empty) with end_id after each; returns (manifest, dictionary uri).
+    Without a ``folder`` the files lie in the shared one and go with the driver.
 
     The manifest has a row for each shard in ascending order of ids: shard, uri, n_docs, n_tokens, start (ids in
     earlier shards). Documents are in ascending id order, null ids first, rows of equal id by text. An empty table
     gives an empty manifest. Other columns are ignored.
     """
     spark = docs.sparkSession
-    folder = folder or f"{shared_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    folder = folder or scratch(spark, "tokens")
     if "://" not in folder:
         folder = f"file://{folder}"
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
