@@ -836,3 +836,52 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(range(150)) <= seen["near_dedup"] and not any(1000 <= i < 2000 for i in seen["near_dedup"])
     assert seen["decontaminate"] == seen["near_dedup"] - {2000}
     assert seen["tokens"] == seen["mix"]
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Every stage's decision by a plain version; the scores and the words taken are those of operators tested above."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    rng = random.Random(22)
+    items = [(i, prose(rng, 30)) for i in range(3)]
+    texts = [prose(rng, rng.randint(20, 120)).capitalize() + "." for _ in range(120)]
+    for _ in range(60):  # near and exact copies
+        w = rng.choice(texts).split()
+        for _ in range(rng.choice([0, 1, 1, 3])):
+            w[rng.randrange(len(w))] = "zq"
+        texts.append(" ".join(w))
+    texts += [f"{prose(rng, 15)} {rng.choice(items)[1]} {prose(rng, 15)}" for _ in range(8)] + [" ".join(["$$$ %%% BUY!!"] * rng.randint(5, 30)) for _ in range(30)]
+    texts += [None, "", "  ", "Two words", LONG]
+    rng.shuffle(texts)
+    rows = [(i, t, "en", rng.choice(["a", "b", "c", None]), len(t or "")) for i, t in enumerate(texts)]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, kinds).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int("BUY" not in t), 0) for i, t, *_ in rows if t], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, labels = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "labels"))
+    good = {r.doc_id for r in quality.quality_scores(docs, labels, threshold=0.7).collect() if r.predicted}
+    left = [(i, t) for i, t, *_ in rows if i in good]
+    parts = brute_components(left, 5, 80)
+    left = [(i, t) for i, t in left if parts[i][1] == i]
+
+    def leaks(text, item, k=5, least=0.8):
+        g, own = ([tuple(w[j : j + k]) for j in range(len(w) - k + 1)] for w in ((text or "").lower().replace(".", " ").split(), item.split()))
+        for j in range(max(0, len(g) - len(own)) + 1):
+            window = Counter(g[j : j + len(own)])
+            inter = sum((window & Counter(own)).values())
+            if inter >= least * (sum(window.values()) + len(own) - inter) and inter:
+                return True
+        return False
+
+    clean = [(i, t) for i, t in left if not any(leaks(t, x) for _, x in items)]
+    assert len(good) > len(left) > len(clean) > 100 and len(good) < len(rows)
+    kept = docs.where(docs.doc_id.isin([i for i, _ in clean]))
+    library = Tokenizer.from_file(BPE)
+    want = Counter()
+    for r in mixed_documents(kept).collect():
+        ids = np.array(library.encode(r.text, add_special_tokens=False).ids + [1], "<u4")
+        want[r.doc_id, len(ids), zlib.crc32(ids.tobytes())] += 1
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in found) == want
+    assert [r.doc_id for r in sorted(found, key=lambda r: r.start)] == sorted(r.doc_id for r in found)
