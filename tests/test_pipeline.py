@@ -1,6 +1,7 @@
 """Tickets to records, deduplication, scoring, settings and the search source."""
 
 import json
+import re
 import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
 from urllib.parse import parse_qs, urlparse
@@ -114,12 +115,38 @@ def test_signatures(spark):
 
 
 def test_long_message_windows(spark, monkeypatch):
+    from turnwright.functions import windows
+
     long = "".join(f"{i:06d} " for i in range(3000))
-    rows = talk(spark, [(0, 0, "agent", long)])
-    sigs = spark.createDataFrame([("train", long[14000:14025], 25), ("train", "nowhere to be found in it", 25)], "split string, sig string, sig_len int")
-    for most in (signatures.BROADCAST, 0):
-        monkeypatch.setattr(signatures, "BROADCAST", most)
-        assert [r.sig for r in signatures.longest_match(rows, sigs, dedup.TURN, ("split",)).collect()] == [long[14000:14025]]
+    rows = talk(spark, [(0, 0, "agent", long), (1, 0, "agent", "x"), (2, 0, "agent", "é" + long[14000:14025] + "😀")])
+    sigs = spark.createDataFrame([("train", long[14000:14025], 25), ("train", "nowhere to be found in it", 25), ("train", long[:15], 15)], "split string, sig string, sig_len int")
+    for chunk in (windows.CHUNK, 1000):
+        monkeypatch.setattr(windows, "CHUNK", chunk)
+        found = signatures.longest_match(rows, sigs, dedup.TURN, ("split",)).orderBy("conv_pos").collect()
+        assert [(r.conv_pos, r.sig) for r in found] == [(0, long[14000:14025]), (2, long[14000:14025])]
+
+
+def test_mining_equals_plain_counts(spark, monkeypatch):
+    import random
+    from collections import Counter
+
+    from turnwright.functions import windows
+
+    rng = random.Random(3)
+    phrases = ["ขอบคุณที่ติดต่อเรา ครับ ", "thank you for writing to us 😀 ", "see https://e.com/x now "]
+    texts = ["".join(rng.choice([*phrases, "a b c ", f"{rng.random()} "]) for _ in range(rng.randint(0, 60))) for _ in range(80)]
+    want = Counter()
+    for n, t in enumerate(texts):
+        body = re.sub(r"https?://\S+", "[url]", " ".join(t.split()))
+        for size in (25, 15) if len(body) >= 25 else ():
+            for i in range(0, max(1, len(body) - size), max(1, len(body) // 30)):
+                want["train" if n % 2 else "valid", body[i : i + size]] += 1
+    rows = spark.createDataFrame([("train" if n % 2 else "valid", n, n, 0, "agent", t, [0]) for n, t in enumerate(texts)], "split string, conv_pos long, ticket_id long, turn_pos int, role string, content string, comment_ids array<long>")
+    want = {(k, s): n for (k, s), n in want.items() if n >= (5 if len(s) == 25 else 30)}
+    assert len(want) > 20
+    for chunk in (windows.CHUNK, 300):
+        monkeypatch.setattr(windows, "CHUNK", chunk)
+        assert {(r.split, r.sig): r.freq for r in signatures.mine(rows, ("split",)).collect()} == want
 
 
 def test_python_order(spark):

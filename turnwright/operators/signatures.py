@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnwright.functions.text import URL, squeeze
+from turnwright.functions.windows import bitmap, every, hash_counts, text_hashes, window_texts
 from turnwright.operators.ranking import spare
 from turnwright.storage import cut
 
@@ -23,15 +25,13 @@ class MiningRule:
 
 LONG, SHORT = MiningRule(25, 5), MiningRule(15, 30)
 STEPS = 30
-#: Signatures (and hashes of windows) that go to all executors at most; they have at most 25 characters each.
-BROADCAST = 100_000
 
 
-def windows(body: Column, size: int) -> Column:
-    """array<string> of sampled windows: starts a thirtieth of the length apart, the last possible start left out."""
-    length = F.length(body)
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(1), length - size) - 1, F.greatest(F.lit(1), F.floor(length / STEPS).cast("int")))
-    return F.transform(starts, lambda i: F.substring(body, i + 1, F.lit(size)))
+def sampled(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many windows a text of each length gives to mining, and how far apart: starts a thirtieth of the length
+    apart, the last possible start left out."""
+    steps = np.maximum(1, lengths // STEPS)
+    return np.where(lengths >= size, -(-np.maximum(1, lengths - size) // steps), 0), steps
 
 
 def mining_texts(turns: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -40,61 +40,48 @@ def mining_texts(turns: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return turns.select(*keep, body.alias("body")).where(F.length("body") >= LONG.size)
 
 
-def window_counts(texts: DataFrame, size: int, keep: Sequence[str] = ()) -> DataFrame:
-    """(keep, sig, freq): how often each sampled window occurs; every occurrence counts."""
-    return texts.select(*keep, F.explode(windows(F.col("body"), size)).alias("sig")).where(F.length("sig") >= size).groupBy(*keep, "sig").agg(F.count("*").alias("freq"))
+def window_counts(texts: DataFrame, size: int, keep: Sequence[str] = (), least: int = 1) -> DataFrame:
+    """(keep, sig, freq): how often each sampled window occurs, if it does ``least`` times; every occurrence counts."""
+    return _mined(texts, (MiningRule(size, least),), keep)[0].select(*keep, "sig", "freq")
 
 
-def _held(side: DataFrame) -> DataFrame:
-    """Rows kept once; marked for broadcast if they are counted to be few, else joined as Spark sees fit."""
-    side = cut(side)
-    return F.broadcast(side) if side.count() <= BROADCAST else side
+def _mined(texts: DataFrame, rules: Sequence[MiningRule], keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """((keep, sig, freq) of the windows that a rule makes frequent, (keep, n) of texts).
 
-
-def mine(turns: DataFrame, keep: Sequence[str] = (), rules: tuple[MiningRule, ...] = (LONG, SHORT)) -> DataFrame:
-    """(keep, sig, sig_len, freq) of all signatures. A group with fewer messages than the long rule's least has none.
-
-    Windows are first counted by their hashes, so that no window that is rare is ever shuffled as text; those whose
-    hash is frequent enough are then counted as they are. An empty window of each message counts the messages.
+    Windows are first counted by their hashes, so no window that is rare is ever made a string or shuffled as one; those
+    whose hash is frequent are then counted as they are.
     """
-    texts = mining_texts(turns, keep)
-    every = texts.select(*keep, F.explode(F.concat(F.array(F.lit("")), *(windows(F.col("body"), r.size) for r in rules))).alias("sig"))
-    least = F.lit(min(LONG.least, *(r.least for r in rules)))
-    hashed = every.select(*keep, F.xxhash64("sig").alias("h")).groupBy(*keep, "h").agg(F.count("*").alias("n")).where(F.col("n") >= least).select(*keep, "h")
-    found = every.withColumn("h", F.xxhash64("sig")).join(_held(hashed), [*keep, "h"], "left_semi").groupBy(*keep, "sig").agg(F.count("*").alias("freq"))
-    bound = F.lit(LONG.least)
+    sizes = [r.size for r in rules]
+    hashed = hash_counts(texts, keep, sizes, sampled).groupBy(*keep, "h").agg(F.sum("n").alias("n"))
+    hashed = cut(hashed.where(F.col("h").isNull() | (F.col("n") >= min(r.least for r in rules))))
+    counted = window_texts(texts, keep, sizes, sampled, bitmap(hashed)).groupBy(*keep, "sig").agg(F.sum("n").alias("freq"))
+    bound = F.lit(None)
     for r in rules:
         bound = F.when(F.length("sig") == r.size, F.lit(r.least)).otherwise(bound)
-    found = cut(found.where(F.col("freq") >= bound))
-    enough = found.where("sig = ''").select(*keep)
-    found = found.where("sig <> ''")
+    return counted.where(F.col("freq") >= bound), hashed.where("h is null").select(*keep, "n")
+
+
+def mine(turns: DataFrame, keep: Sequence[str] = (), rules: tuple[MiningRule, ...] = (LONG, SHORT)) -> DataFrame:
+    """(keep, sig, sig_len, freq) of all signatures. A group with fewer messages than the long rule's least has none."""
+    found, texts = _mined(mining_texts(turns, keep), rules, keep)
+    enough = texts.where(F.col("n") >= LONG.least).select(*keep)
     found = found.join(enough, list(keep), "left_semi") if keep else found.where(enough.exists())
-    return found.select(*keep, "sig", F.length("sig").alias("sig_len"), "freq")
+    return cut(found.select(*keep, "sig", F.length("sig").alias("sig_len"), "freq"))
 
 
 def longest_match(turns: DataFrame, signatures: DataFrame, key: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(key, sig): the longest signature within each message, the first in code-point order among equals.
 
-    Signatures have few lengths, so a message's windows of these lengths are joined to the signatures by equality,
-    rather than each signature searched for in each message. ``keep`` must be part of ``key``.
+    Signatures have few lengths, so a message's windows of these lengths are looked up by their hashes in a bitmap, and
+    what it holds is joined to the signatures by equality, rather than each signature searched for in each message.
+    ``keep`` must be part of ``key``; rows of equal key are one message.
     """
     bodies = turns.select(*key, squeeze(F.col("content")).alias("body"))
-    every = F.flatten(F.array(*(_all_windows(F.col("body"), rule.size) for rule in (LONG, SHORT))))
-    held = bodies.select(*key, F.explode(every).alias("sig"))
-    best = held.join(_held(signatures.select(*keep, "sig", "sig_len")), [*keep, "sig"]).groupBy(*key).agg(F.min(F.struct((-F.col("sig_len")).alias("n"), "sig")).alias("_b"))
+    held = window_texts(bodies, key, [LONG.size, SHORT.size], every, bitmap(text_hashes(signatures, "sig")), each_row=True)
+    best = held.join(signatures.select(*keep, "sig", "sig_len"), [*keep, "sig"]).groupBy(*key).agg(F.min(F.struct((-F.col("sig_len")).alias("n"), "sig")).alias("_b"))
     return best.select(*key, F.col("_b.sig").alias("sig"))
 
 
-def _all_windows(body: Column, size: int, block: int = 256) -> Column:
-    """array<string> of all windows of a text, or the text itself if it is shorter.
-
-    Taken from overlapping blocks: a substring is found by walking from the start, which must not be a long text's.
-    """
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(body) - size + 1), F.lit(block))
-    blocks = F.transform(starts, lambda i: F.substring(body, i, F.lit(block + size - 1)))
-    return F.flatten(F.transform(blocks, lambda x: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(x) - size + 1)), lambda i: F.substring(x, i, F.lit(size)))))
-
-
 def keep_first(rows: DataFrame, groups: Sequence[str], order: Sequence[str], most: int) -> DataFrame:
     """The first ``most`` rows of each group. Spark limits groups before the shuffle, so a very common group is no
     large task; count what went as rows before less rows after."""
