@@ -10,16 +10,17 @@ from turnwright.sources.settings import PrepareSettings
 from turnwright.sources.tickets import CORRUPT, TICKET, build_turns
 
 
-def stream_tickets(spark: SparkSession, path: str, glob: str = "ticket_*.json", files_per_batch: int = 10_000) -> DataFrame:
-    """New ticket files of a folder, as they come; the schema is fixed."""
-    reader = spark.readStream.schema(f"{TICKET}, {CORRUPT} string").option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch).json(path)
+def stream_tickets(spark: SparkSession, path: str, lines: bool = False, files_per_batch: int = 10_000) -> DataFrame:
+    """New tickets of a folder, as they come: documents of their own, or ``lines`` that an export landed. The schema is
+    fixed."""
+    options = {"multiLine": not lines, "columnNameOfCorruptRecord": CORRUPT, "pathGlobFilter": "part-*.json*" if lines else "ticket_*.json", "maxFilesPerTrigger": files_per_batch, "recursiveFileLookup": True}
+    return spark.readStream.schema(f"{TICKET}, {CORRUPT} string").options(**options).json(path)
 
 
-def ingest(spark: SparkSession, path: str, out: str, checkpoint: str, settings: PrepareSettings) -> StreamingQuery:
+def ingest(spark: SparkSession, path: str, out: str, checkpoint: str, settings: PrepareSettings, lines: bool = False) -> StreamingQuery:
     """Appends turns of tickets not seen before to ``out``/turns and their ids to ``out``/done, until no file is left.
 
-    Each batch writes folders of its own number, overwriting what a failed attempt left, so a restart repeats nothing.
+    ``lines`` is as in stream_tickets. Each batch writes folders of its own number, overwriting what a failed attempt left, so a restart repeats nothing.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
@@ -36,4 +37,4 @@ def ingest(spark: SparkSession, path: str, out: str, checkpoint: str, settings:
         finally:
             tickets.unpersist()
 
-    return stream_tickets(spark, path).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream_tickets(spark, path, lines).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
