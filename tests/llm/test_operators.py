@@ -14,6 +14,7 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from turnwright.llm import embedding_dedup, near_dedup, quality
 from turnwright.llm import shingles as S
@@ -885,3 +886,31 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     found = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in found) == want
     assert [r.doc_id for r in sorted(found, key=lambda r: r.start)] == sorted(r.doc_id for r in found)
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark, tmp_path):
+    """Null and repeated ids, null and very long texts, columns of the names used inside, and no rows at all."""
+    import corpus_pipeline
+
+    inside = ("id", "kept", "row", "doc", "src", "key", "range", "size", "tie", "words", "last", "y", "cut_range", "epochs", "th", "count")
+    rng = random.Random(23)
+    rows = [(i, t, "en", s, len(t or "")) for i, t in ODD for s in ("a", None)] + [(i % 40, prose(rng, 50).capitalize() + ".", "en", "b", 7) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in inside:
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    spark.createDataFrame([(i, int(i > 3), 0) for i in range(40)] * 2, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, "an item that no text has in it at all"), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for given in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, given, str(tmp_path))
+            found = out.collect()
+            if name == "tokens":
+                assert len(found) == given.count()
+            else:
+                assert out.columns == docs.columns and all(r[c] == f"own {c}" for r in found for c in inside)
+            if given is docs and name == "near_dedup":
+                ids = [r.doc_id for r in found if r.doc_id is not None]
+                assert len(ids) == len(set(ids)) and sum(r.doc_id is None for r in found) == 2
+            if given is docs and name == "decontaminate":
+                assert len(found) == len(rows)
+            assert bool(found) or given is not docs
