@@ -1,4 +1,8 @@
-"""A training-data pipeline of five stages over ``documents``."""
+"""A training-data pipeline of five stages over ``documents``.
+
+Ids may be null or repeat, texts be null, empty or very long, and further columns have any name: the stages but the last
+return all columns, and an empty table gives an empty one. What a stage does with such rows is in its docstring.
+"""
 
 from __future__ import annotations
 
@@ -14,27 +18,29 @@ from turnwright.storage import cut
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go; each row is judged by its own text, a null one as an empty one."""
     return keep_good(docs, table(spark, sf_dir, "labels"), threshold=0.7)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of smallest id stays: five-word shingles, similarity 0.8."""
+    """Of each group of near duplicates the document of smallest id stays: five-word shingles, similarity 0.8. Of rows with
+    equal ids one stays; rows without id stay, and texts without words are in no group."""
     return without_near_duplicates(docs, words=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; each row is judged by its own text."""
     return without_leaks(docs, table(spark, sf_dir, "benchmark"), words=5, least=0.8)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights; a document is there as often as the mix takes it."""
+    """Sources at their target weights; a document is there as often as the mix takes it, one without words not at all.
+    A null source is a source of its own."""
     return mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in binary files; a row for each document from reading them back."""
+    """Token ids in binary files; a row for each row from reading them back, null ids first, a null text as an empty one."""
     return token_files(docs, vocabulary("word_bpe_49k.json"), end_id=1)
 
 
