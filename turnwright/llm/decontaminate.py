@@ -257,3 +257,21 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, words: int = 5, least:
 
         docs = in_arrow(docs, run, docs.schema)
     return docs
+
+
+#: Every window of every item's length that shares shingles enough with it, by exact weighted similarity.
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE text IS NOT NULL),
+i AS (SELECT *, least(5, len(ws)) AS k, len(ws) - least(5, len(ws)) + 1 AS n FROM b WHERE len(ws) > 0),
+ig AS (SELECT iid, item_id, k, n, array_to_string(ws[p + 1:p + k], ' ') AS g, count(*) AS c FROM (SELECT *, unnest(range(0, n)) AS p FROM i) GROUP BY ALL),
+dg AS (SELECT rid, doc_id, k, len(ws) - k + 1 AS m, p, array_to_string(ws[p + 1:p + k], ' ') AS g
+       FROM (SELECT *, unnest(range(0, len(ws) - k + 1)) AS p FROM d, (SELECT DISTINCT k FROM i) WHERE len(ws) >= k)),
+h AS (SELECT rid, doc_id, iid, item_id, m, n, least(m, n) AS size, dg.k, p, dg.g, c FROM dg JOIN ig ON dg.k = ig.k AND dg.g = ig.g),
+o AS (SELECT rid, iid, any_value(size) AS size, unnest(range(0, any_value(m - size) + 1)) AS s FROM h GROUP BY rid, iid HAVING count(*) >= 0.8 * any_value(n) - 1e-9),
+x AS (SELECT o.rid, doc_id, o.iid, item_id, s, n, o.size, k, g, least(count(*), any_value(c)) AS shared
+      FROM o JOIN h ON o.rid = h.rid AND o.iid = h.iid AND p >= s AND p < s + o.size GROUP BY ALL),
+y AS (SELECT rid, doc_id, iid, item_id, s, size, k, CAST(sum(shared) AS DOUBLE) / CAST(size + n - sum(shared) AS DOUBLE) AS similarity FROM x GROUP BY rid, doc_id, iid, item_id, s, n, size, k),
+z AS (SELECT *, row_number() OVER (PARTITION BY rid, iid ORDER BY similarity DESC, s) AS nth FROM y WHERE similarity >= 0.8)
+SELECT doc_id, item_id, similarity, s AS start_word, size + k - 1 AS n_words FROM z WHERE nth = 1
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnwright.llm import chat_format, embedding_dedup, mixing, near_dedup
+from turnwright.llm import chat_format, decontaminate, embedding_dedup, mixing, near_dedup, secret_scan
 from turnwright.llm.chat_format import rotate_perspectives
 from turnwright.llm.common import table, vocabulary
 from turnwright.llm.decontaminate import find_leaks
@@ -75,5 +75,7 @@ ORACLES: dict[str, str] = {
     "op3_chat_perspectives": chat_format.ORACLE,
     "op5_minhash_near_dedup": near_dedup.ORACLE,
     "op6_embedding_near_dedup": embedding_dedup.ORACLE,
+    "op7_decontaminate": decontaminate.ORACLE,
     "op8_mix_sources": mixing.ORACLE,
+    "op9_secret_scan": secret_scan.ORACLE,
 }

@@ -190,3 +190,47 @@ def secret_digest(scanned: DataFrame) -> DataFrame:
 
     first = scanned.columns[0]
     return scanned.select(first, count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.array_sort(F.concat("base", "added"), _by_start)).alias("spans"))
+
+
+def _oracle() -> str:
+    """The same in SQL: matches are placed by the lengths of the gaps, windows are counted anew one by one."""
+
+    def sql(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def placed(rows: str, text: str, pattern: str, group: int = 0) -> str:
+        hits, gaps = f"regexp_extract_all({text}, {sql(pattern)})", f"string_split_regex({text}, {sql(pattern)})"
+        return f"""SELECT * EXCLUDE (gap, nth), CAST(sum(gap + length(hit)) OVER (PARTITION BY rid, base_at ORDER BY nth) AS INT) AS stop FROM (
+          SELECT rid, base_at, unnest({hits}) AS hit, unnest(regexp_extract_all({text}, {sql(pattern)}, {group})) AS part,
+                 unnest(list_transform({gaps}[1:len({hits})], lambda g: length(g))) AS gap, generate_subscripts({hits}, 1) AS nth FROM {rows})"""
+
+    kinds = " UNION ALL ".join(
+        f"SELECT rid, base_at + stop - length(hit) AS start, base_at + stop AS stop, '{kind}' AS kind, {rank} AS rank FROM ({placed('d', 't', pattern, group)}) WHERE length({'part' if group else 'hit'}) >= {least}"
+        for rank, (kind, pattern, group, least) in enumerate((("assign", ASSIGN, 1, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24)), 1)
+    )
+    whole = " OR ".join(f"regexp_matches(hit, {sql(p)})" for p in ALLOW if p.startswith("^"))
+    inner = " OR ".join([f"regexp_matches(w, {sql(p)})" for p in (*(p for p in ALLOW if not p.startswith("^") and "\\1" not in p), NAMES)])
+    runs = " UNION ALL ".join(
+        f"SELECT rid, base_at + stop - length(hit) AS base_at, hit, '{kind}' AS kind, {rank} AS rank, {least} AS least FROM ({placed('n', 'hit', f'[{members}]{{{WINDOW},}}')})"
+        for rank, (kind, members, _, least) in enumerate(CLASSES, 4)
+    )
+    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, 0 AS base_at, coalesce(text, '') AS t FROM documents),
+base AS ({kinds}),
+c AS (SELECT rid, stop - length(hit) AS base_at, hit FROM ({placed("d", "t", f"{CANDIDATE[:-1]}{{{WINDOW},}}")}) WHERE regexp_matches(hit, '[0-9]') AND NOT ({whole})),
+n AS (SELECT rid, base_at, array_to_string(list_transform(string_split(hit, '/'), lambda p: CASE WHEN length(p) <= {NAMED} AND regexp_matches(p, {sql(NAMES)}) THEN repeat(' ', length(p)) ELSE p END), '/') AS hit FROM c),
+r AS ({runs}),
+w AS (SELECT rid, base_at, kind, rank, least, CAST(i AS INT) AS i, substr(hit, CAST(i AS INT) + 1, {WINDOW}) AS w FROM (SELECT *, unnest(range(0, length(hit) - {WINDOW} + 1)) AS i FROM r)),
+e AS (SELECT *, string_split(w, '') AS cs FROM w),
+h AS (SELECT rid, base_at, kind, rank, base_at + i AS start FROM e WHERE log2({WINDOW}) - list_sum(list_transform(cs, lambda c: log2({WINDOW} - length(replace(w, c, ''))))) / {WINDOW} >= least - 1e-9
+      AND NOT ({inner}) AND len(list_filter(cs, lambda c: contains(w, repeat(c, 6)))) = 0),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY rid, base_at, rank ORDER BY start ROWS UNBOUNDED PRECEDING) AS island FROM (
+      SELECT *, CAST(start > coalesce(lag(start) OVER (PARTITION BY rid, base_at, rank ORDER BY start) + {WINDOW}, -1) AS INT) AS fresh FROM h)),
+s AS (SELECT rid, min(start) AS start, max(start) + {WINDOW} AS stop, kind, rank FROM g GROUP BY rid, base_at, kind, rank, island),
+a AS (SELECT *, true AS own FROM base UNION ALL SELECT *, false FROM s WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = s.rid AND b.start <= s.start AND s.stop <= b.stop)),
+j AS (SELECT *, kind || ':' || start || ':' || stop AS said FROM a)
+SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(said, ',' ORDER BY start, rank) FILTER (WHERE own), '')) AS base_sha256, coalesce(string_agg(said, ',' ORDER BY start, rank), '') AS spans
+FROM d LEFT JOIN j ON d.rid = j.rid GROUP BY d.rid, doc_id"""
+
+
+ORACLE = _oracle()
