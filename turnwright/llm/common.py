@@ -128,6 +128,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     a, b = edges.columns[:2]
     ends = edges.select(F.col(a).cast("long").alias("v"), F.col(b).cast("long").alias("u")).where("v is not null and u is not null")
     now = cut(in_arrow(ends, _contract, "v long, u long").where("v <> u").distinct())
+    if now.isEmpty():
+        return edges.sparkSession.createDataFrame([], "id long, component long")
     seen = None
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))

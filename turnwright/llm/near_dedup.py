@@ -155,16 +155,27 @@ def _intersection(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def _verify_pairs(percent: int):
+def _estimate_pairs(percent: int):
+    """The pairs that pass the estimate, from rows (a, b, n_a, n_b, regs_a, regs_b)."""
     least = margin(percent / 100)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        a, b, n_a, n_b = (batch.column(i).to_numpy() for i in range(4))
+        n_a, n_b = (batch.column(i).to_numpy() for i in (2, 3))
         regs = [np.array([np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column(i)]) for i in (4, 5)]
         maybe = jaccard_estimate(*regs, n_a, n_b) >= least
         maybe &= 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
-        ok = [i for i in np.flatnonzero(maybe) if _is_link(_intersection(*(np.frombuffer(batch.column(c)[int(i)].as_buffer(), np.uint64) for c in (6, 7))), int(n_a[i]), int(n_b[i]), percent)]
-        return pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], ["a", "b"])
+        return batch.select(["a", "b"]).filter(pa.array(maybe))
+
+    return work
+
+
+def _verify_pairs(percent: int):
+    """The pairs that are links, from rows (a, b, set_a, set_b)."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(i)] for i in (2, 3)]
+        linked = [_is_link(_intersection(x, y), len(x), len(y), percent) for x, y in zip(*sets, strict=True)]
+        return batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return work
 
@@ -241,14 +252,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = classes.join(buckets.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("cid"), F.col("rep").alias("id"), "th")
     sets = cut(map_arrow(base.join(wanted, ["id", "th"]).select("cid", "text"), "id long, n long, regs binary, set binary", _full_sets(words)).dropDuplicates(["id"]))
 
-    def side(c: str) -> DataFrame:
-        return sets.select(F.col("id").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("n", "regs", "set")))
-
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b", "set_a", "set_b")
-    links = cut(map_arrow(joined, "a long, b long", _verify_pairs(percent)))
-    first = connected_components(links)
-    links = links.unionByName(_residual(buckets, first, sets, percent)).unionByName(_same_ids(usable, classes))
-    linked = connected_components(links).join(classes.select("id", "rep"), "id")
+    def both(pairs: DataFrame, *columns: str) -> DataFrame:
+        for c in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("id").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in columns)), c)
+        return pairs.select("a", "b", *(f"{x}_{c}" for x in columns for c in ("a", "b")))
+
+    maybe = cut(map_arrow(both(pairs, "n", "regs"), "a long, b long", _estimate_pairs(percent)))
+    links = cut(map_arrow(both(maybe, "set"), "a long, b long", _verify_pairs(percent)))
+    groups = connected_components(links)
+    more = cut(_residual(buckets, groups, sets, percent).unionByName(_same_ids(usable, classes)))
+    if not more.isEmpty():  # on top of what is connected already
+        groups = connected_components(groups.toDF("a", "b").unionByName(more))
+    linked = groups.join(classes.select("id", "rep"), "id")
     least = linked.groupBy("component").agg(F.min("rep").alias("component_id"))
     reach = linked.join(own_shuffle(least, "component"), "component").select("id", "component_id")
     found = cut(classes.select("id", "h1", "h2", "n", "rep").join(reach, "id", "left").select("h1", "h2", "n", F.coalesce("component_id", "rep").alias("component_id")))
@@ -261,6 +276,8 @@ def _same_ids(usable: DataFrame, classes: DataFrame) -> DataFrame:
     """Links between the classes of an id that has several texts."""
     one = F.xxhash64("h1", "h2", "n")
     several = cut(usable.groupBy("id").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).where("lo <> hi").select("id"))
+    if several.isEmpty():
+        return several.select(F.col("id").alias("a"), F.col("id").alias("b"))
     rows = usable.select("id", "h1", "h2", "n").join(several, "id", "left_semi").join(classes.select(F.col("id").alias("b"), "h1", "h2", "n"), ["h1", "h2", "n"]).select("id", "b").distinct()
     return rows.join(own_shuffle(rows.groupBy("id").agg(F.min("b").alias("a")), "id"), "id").select("a", "b").where("a <> b")
 
