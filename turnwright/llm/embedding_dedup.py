@@ -5,7 +5,7 @@ and a guest of every other shard whose plane is nearer than a margin, so shards
 robust pruning keeps a neighbour unless a nearer one kept leads to it. The adjacency lists that a vector has in its
 shards are united. Each vector then searches its home shard by the united lists: greedily from the shard's medoid, then
 by expanding every node within a range wider than the links', the vector's own node among them. What is found is
-verified in double precision.
+verified in double precision. A shard too dense to part is worked through in tiles of all pairs.
 
 Two linked vectors at home in different shards lie on either side of a plane, at distances that add up to the
 displacement's part across it; so one of them is within half the link radius of the plane. With that margin no link is
@@ -41,6 +41,8 @@ FIT_ROWS, CELLS, LEVELS = 8192, 256, 6
 FEW = 500_000
 #: Rows of a block of a shard that can't be split.
 TILE = 4096
+#: Pairs that a task looks at at a time.
+PAIRS = 1 << 22
 #: Directions of a margin, in standard deviations.
 SIGMAS = 3.5
 DEGREE, NEAREST, RANDOM = 20, 32, 32
@@ -320,32 +322,43 @@ def _build(kind: str):
     return work
 
 
-def _counted(rows: pa.Table, v: np.ndarray, x: np.ndarray, y: np.ndarray, least: float) -> pa.Table:
-    """What the pairs (x at home here, y) of rows that are links come to, as far as they are counted here.
-
-    Two that are both at home here count from the smaller id. If y is at home elsewhere and x a guest there, the pair
-    is met there as well, and counts in the shard of the smaller number.
-    """
-    ids, mult, home = (rows[c].to_numpy() for c in ("cid", "mult", "homeleaf"))
-    leaf, leaves = rows["leaf"][0].as_py(), rows["leaves"].to_pylist()
-    places, place = np.unique(home, return_inverse=True)
-    flat = np.array([p for some in leaves for p in some], np.int64)
-    at = np.searchsorted(places, flat)
-    at[at == len(places)] = 0
-    guest = np.zeros((len(ids), len(places)), bool)  # is the row in the shard where another is at home
-    guest[np.repeat(np.arange(len(ids)), [len(some) for some in leaves])[places[at] == flat], at[places[at] == flat]] = True
-    keep = np.where(home[y] == leaf, ids[x] < ids[y], (home[y] > leaf) | ~guest[x, place[y]])
-    x, y = x[keep], y[keep]
-    exact = np.empty(len(x))
-    for lo in range(0, len(x), 100_000):
-        exact[lo : lo + 100_000] = np.einsum("ij,ij->i", v[x[lo : lo + 100_000]], v[y[lo : lo + 100_000]])
-    x, y = x[exact >= least], y[exact >= least]
-    order = np.argsort(x, kind="stable")
-    x, y = x[order], y[order]
-    total = np.zeros(len(ids), np.int64)
-    np.add.at(total, x, mult[y])
-    np.add.at(total, y, mult[x])
-    return _found(ids, total, _join(np.arange(len(ids)), x, y))
+class Links:
+    """Adds up the links that the rows of one shard are found to have, some pairs at a time."""
+
+    def __init__(self, rows: pa.Table, v: np.ndarray, least: float) -> None:
+        self.v, self.least = v, least
+        self.ids, self.mult, self.home = (rows[c].to_numpy() for c in ("cid", "mult", "homeleaf"))
+        self.leaf, leaves = rows["leaf"][0].as_py(), rows["leaves"].to_pylist()
+        places, self.place = np.unique(self.home, return_inverse=True)
+        flat = np.array([p for some in leaves for p in some], np.int64)
+        at = np.searchsorted(places, flat)
+        at[at == len(places)] = 0
+        here = places[at] == flat
+        #: Is the row in the shard where another one is at home?
+        self.guest = np.zeros((len(self.ids), len(places)), bool)
+        self.guest[np.repeat(np.arange(len(self.ids)), [len(some) for some in leaves])[here], at[here]] = True
+        self.total, self.label, self.edges = np.zeros(len(self.ids), np.int64), np.arange(len(self.ids)), []
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        """The pairs (x at home here, y) that are links, as far as they are counted here.
+
+        Two that are both at home here count from the smaller id. If y is at home elsewhere and x a guest there, the
+        pair is met there as well, and counts in the shard of the smaller number.
+        """
+        keep = np.where(self.home[y] == self.leaf, self.ids[x] < self.ids[y], (self.home[y] > self.leaf) | ~self.guest[x, self.place[y]])
+        x, y = x[keep], y[keep]
+        exact = np.empty(len(x))
+        for lo in range(0, len(x), 100_000):
+            exact[lo : lo + 100_000] = np.einsum("ij,ij->i", self.v[x[lo : lo + 100_000]], self.v[y[lo : lo + 100_000]])
+        x, y = x[exact >= self.least], y[exact >= self.least]
+        order = np.argsort(x, kind="stable")
+        x, y = x[order], y[order]
+        np.add.at(self.total, x, self.mult[y])
+        np.add.at(self.total, y, self.mult[x])
+        self.edges += _join(self.label, x, y)
+
+    def table(self) -> pa.Table:
+        return _found(self.ids, self.total, self.edges)
 
 
 def _found(ids: np.ndarray, total: np.ndarray, edges: list[tuple[int, int]]) -> pa.Table:
@@ -373,13 +386,13 @@ def _search_shard(least: float, effort: int, kind: str):
         owner, targets = np.repeat(np.arange(len(ids)), sizes)[here], at[here]
         starts = np.searchsorted(owner, np.arange(len(ids) + 1))
         home = np.flatnonzero(rows["homeleaf"].to_numpy() == rows["leaf"].to_numpy())
-        pairs = []
-        step = max(1, (1 << 24) // len(ids))
+        links = Links(rows, v, least)
+        step = max(1, PAIRS // len(ids))
         for lo in range(0, len(home), step):
             q, y = search(v, starts, targets, home[lo : lo + step], least, effort)
             x = home[lo : lo + step][q]
-            pairs.append((x[x != y], y[x != y]))
-        return _counted(rows, v, *(np.concatenate(p) for p in zip(*pairs, strict=True)), least) if pairs else _found(ids, np.zeros(len(ids), np.int64), [])
+            links.add(x[x != y], y[x != y])
+        return links.table()
 
     return work
 
@@ -394,12 +407,12 @@ def _search_tile(least: float, kind: str):
         block, here = rows["block"].to_numpy(), rows["homeleaf"].to_numpy() == rows["leaf"].to_numpy()
         left = np.flatnonzero((block == rows["i"][0].as_py()) & here)
         right = np.flatnonzero(block == rows["j"][0].as_py())
-        pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        step = max(1, (1 << 22) // max(1, len(right)))
+        links = Links(rows, v, least)
+        step = max(1, PAIRS // max(1, len(right)))
         for lo in range(0, len(left), step):
             x, y = linked(v, single, left[lo : lo + step], right, least)
-            pairs.append((x[x != y], y[x != y]))
-        return _counted(rows, v, *(np.concatenate(p) for p in zip(*pairs, strict=True)), least)
+            links.add(x[x != y], y[x != y])
+        return links.table()
 
     return work
 
