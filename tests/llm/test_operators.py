@@ -138,13 +138,19 @@ def test_token_files_round_trip(spark):
     assert read_token_files(manifest, dictionary).count() == 0
 
 
-def test_word_encoder_clears_its_cache(monkeypatch):
+def test_word_encoder_forgets(monkeypatch):
+    """Words that share a place, and ids beyond those held, change nothing."""
     from turnwright.llm import token_files
 
-    monkeypatch.setattr(token_files, "WORD_CACHE", 10)
+    rng = random.Random(24)
+    texts = [" ".join(f"w{rng.randint(0, 60)} {prose(rng, 3)} é{rng.randint(0, 9)}x" for _ in range(20)) for _ in range(40)]
+    whole = WordEncoder(BPE)
+    want = [whole.encode(pa.array([t]), 1)[0].tolist() for t in texts]
+    monkeypatch.setattr(token_files, "PLACES", 16)
+    monkeypatch.setattr(token_files, "IDS_HELD", 300)
     encoder = WordEncoder(BPE)
-    a = encoder.encode(pa.array([" ".join(f"w{i}" for i in range(30))]), 1)[0]
-    assert a.tolist() == WordEncoder(BPE).encode(pa.array([" ".join(f"w{i}" for i in range(30))]), 1)[0].tolist()
+    assert [encoder.encode(pa.array([t]), 1)[0].tolist() for t in texts] == want
+    assert whole.encode(pa.array(texts), 1)[0].tolist() == [x for ids in want for x in ids]
 
 
 # --- 3 ---

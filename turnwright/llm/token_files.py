@@ -22,7 +22,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnwright.llm.common import in_arrow, map_arrow
-from turnwright.llm.shingles import LOWER, SPACE
+from turnwright.llm.shingles import LOWER, SPACE, mix, powers
 from turnwright.storage import cut, scratch
 
 MAGIC, INDEX = b"TKSHARD1", b"TKINDEX1"
-#: Words that a worker process remembers at most, some 150 MB of them.
-WORD_CACHE = 800_000
+#: Places for words that a worker process remembers (24 bytes each), and their ids at most.
+PLACES, IDS_HELD = 1 << 21, 1 << 24
 SLICE_BYTES = 4 << 20
 #: Input bytes of a shard, where that makes more shards than there are shuffle partitions.
 SHARD_BYTES = 256 << 20
@@ -54,6 +54,8 @@ MARK[[i for i in range(33, 127) if not LETTER[i] and not DIGIT[i]]] = True
 LATIN, LATIN_UPPER = np.zeros(256, bool), np.zeros(256, bool)
 LATIN[0x80:0xC0], LATIN_UPPER[0x80:0x9F] = True, True
 LATIN[[0x97, 0xB7]], LATIN_UPPER[0x97] = False, False
+_rng = np.random.Generator(np.random.PCG64(11))
+HASH_ONE, HASH_TWO = (_rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
 #: A word that is one run of letters for the tokenizer and that its normalizer leaves alone.
 RUN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
@@ -81,7 +83,7 @@ class WordEncoder:
     Holds for a byte-level tokenizer that lower-cases, never merges across ASCII white space, drops it, and takes runs
     of letters, single digits and runs of other characters apart, as one with word ends does: then a text's ids are
     those of its words. The library encodes every distinct word: a plain run of letters by its model at once, any other
-    word by its whole chain. A bounded cache keeps their ids.
+    word by its whole chain. Tables of fixed size keep their ids.
     """
 
     def __init__(self, path: str) -> None:
@@ -92,11 +94,9 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[bytes, int] = {}
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.lengths = np.zeros(1 << 16, np.int64)
-        self.flat = np.zeros(1 << 18, np.int32)
-        self.used = 0
+        self.key, self.check = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.uint32)
+        self.start, self.length = np.zeros(PLACES, np.int64), np.zeros(PLACES, np.int32)
+        self.flat, self.used = np.zeros(1 << 18, f"u{self.width}"), 0
 
     def _ids(self, words: list[bytes]) -> list[list[int]]:
         run, tokenize, letters = RUN.fullmatch, self.model.tokenize, self.letters
@@ -106,22 +106,45 @@ class WordEncoder:
             out[i] = e.ids
         return out
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(where the ids of each word begin, how many there are), appended to those held."""
+        starts, lengths = [], []
         for lo in range(0, len(words), 20_000):
-            part = words[lo : lo + 20_000]
-            ids = self._ids(part)
+            ids = self._ids(words.slice(lo, 20_000).to_pylist())
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            new = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
-            n = len(self.at)
-            while n + len(part) > len(self.starts):
-                self.starts, self.lengths = (np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.lengths))
-            while self.used + len(new) > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-            self.flat[self.used : self.used + len(new)] = new
-            self.starts[n : n + len(part)] = self.used + np.cumsum(sizes) - sizes
-            self.lengths[n : n + len(part)] = sizes
-            self.used += len(new)
-            self.at.update(zip(part, range(n, n + len(part)), strict=True))
+            total = int(sizes.sum())
+            if self.used + total > len(self.flat):
+                self.flat = np.concatenate((self.flat, np.zeros(max(total, min(len(self.flat), IDS_HELD)), self.flat.dtype)))
+            self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), self.flat.dtype, total)
+            starts.append(self.used + np.cumsum(sizes) - sizes)
+            lengths.append(sizes)
+            self.used += total
+        return np.concatenate(starts), np.concatenate(lengths)
+
+    def _known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for distinct words, from their places where they are there, else learnt and put there.
+
+        A word's place is named by its hash, so a word may take another one's; 96 bits of two hashes tell them apart.
+        """
+        offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        begin = offsets[:-1] - offsets[0]
+        at = np.arange(len(data)) - np.repeat(begin, np.diff(offsets))
+        power = powers(int(at.max()) + 1)[at]
+        key = mix(np.add.reduceat(HASH_ONE[data] * power, begin)) | np.uint64(1)
+        check = (mix(np.add.reduceat(HASH_TWO[data] * power, begin)) >> np.uint64(32)).astype(np.uint32)
+        place = (key >> np.uint64(1)).astype(np.int64) % PLACES
+        here = (self.key[place] == key) & (self.check[place] == check)
+        if self.used > IDS_HELD:
+            self.clear()
+            here[:] = False
+        starts, lengths = self.start[place], self.length[place].astype(np.int64)
+        new = np.flatnonzero(~here)
+        if len(new):
+            starts[new], lengths[new] = self._learn(words.take(pa.array(new)))
+            self.key[place[new]], self.check[place[new]] = key[new], check[new]
+            self.start[place[new]], self.length[place[new]] = starts[new], lengths[new]
+        return starts, lengths
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with end_id after each, where each text's ids begin with the end)."""
@@ -130,11 +153,10 @@ class WordEncoder:
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
         offsets = offsets - offsets[0]
-        where, begins = self._lookup(data, offsets)
-        lengths = self.lengths[where]
+        starts, lengths, begins = self._lookup(data, offsets)
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        out = self.flat[np.arange(total) + np.repeat(self.starts[where] - (ends - lengths), lengths)]
+        out = self.flat[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)]
         begin = np.concatenate(([0], ends))[begins] + np.arange(n + 1)
         ids = np.full(total + n, end_id, np.int64)
         keep = np.ones(total + n, bool)
@@ -142,8 +164,8 @@ class WordEncoder:
         ids[keep] = out
         return ids, begin
 
-    def _lookup(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(entry of each word, where each text's words begin with the end).
+    def _lookup(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(where each word's ids begin, how many there are, where each text's words begin with the end).
 
         Words end at ASCII white space, and before an ASCII character where the tokenizer ends a run as well: between
         letters (ASCII or U+00C0 to U+00FF), digits and marks of ASCII, and around each digit. An apostrophe stays with
@@ -151,7 +173,7 @@ class WordEncoder:
         after it, so normalization sees the same. Where "<|" occurs, words are left whole for special tokens' sake.
         """
         if not len(data):
-            return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
         solid = ~SPACE[data]
         first = solid.copy()
         first[1:] &= ~solid[:-1]
@@ -171,20 +193,14 @@ class WordEncoder:
         starts = np.flatnonzero(first)
         begins = np.searchsorted(starts, offsets)
         if not len(starts):
-            return np.zeros(0, np.int64), begins
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), begins
         sizes = np.add.reduceat(solid.astype(np.int64), starts)
         bounds = np.concatenate(([0], np.cumsum(sizes)))
         words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[solid])])
         coded = words.dictionary_encode()
-        known = coded.dictionary.to_pylist()
-        entry = np.fromiter(map(self.at.get, known, repeat(-1)), np.int64, len(known))
-        new = np.flatnonzero(entry < 0)
-        if len(self.at) + len(new) > WORD_CACHE:
-            self.clear()
-            new = np.arange(len(known))
-        entry[new] = len(self.at) + np.arange(len(new))
-        self._learn([known[i] for i in new.tolist()])
-        return entry[coded.indices.to_numpy()], begins
+        known_starts, known_lengths = self._known(coded.dictionary)
+        which = coded.indices.to_numpy()
+        return known_starts[which], known_lengths[which], begins
 
 
 @lru_cache(maxsize=1)
