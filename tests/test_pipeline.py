@@ -149,6 +149,19 @@ def test_mining_equals_plain_counts(spark, monkeypatch):
         assert {(r.split, r.sig): r.freq for r in signatures.mine(rows, ("split",)).collect()} == want
 
 
+def test_shared_folder(spark):
+    from types import SimpleNamespace as Fake
+
+    from turnwright.storage import scratch, shared_dir
+
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch(spark, "x") != scratch(spark, "x")
+    unset = Fake(get=lambda *_: None)
+    lost = Fake(sparkContext=Fake(getConf=lambda: unset, getCheckpointDir=lambda: None, master="spark://host:7077"), conf=unset)
+    with pytest.raises(RuntimeError):
+        shared_dir(lost)
+
+
 def test_python_order(spark):
     import random
 

@@ -126,8 +126,12 @@ def hash_counts(texts: DataFrame, keep: Sequence[str], sizes: Sequence[int], sta
             group, rows = _grouped(batch, n_keep)
             where, hashed, counted = [np.arange(rows.num_rows if n_keep else 1)], [np.zeros(rows.num_rows if n_keep else 1, np.int64)], [np.bincount(group)]
             for owner, h, _ in windows(batch.column(n_keep).to_pylist(), sizes, starts):
-                order = np.lexsort((h, group[owner]))
-                g, h = group[owner][order], h[order]
+                g = group[owner]
+                if len(where[0]) > 1:
+                    order = np.lexsort((h, g))
+                    g, h = g[order], h[order]
+                else:
+                    h = np.sort(h)
                 new = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (h[1:] != h[:-1])))) if len(h) else np.zeros(0, np.int64)
                 where.append(g[new])
                 hashed.append(h[new])
