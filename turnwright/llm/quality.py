@@ -60,17 +60,15 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     owner = np.repeat(np.arange(len(n)), n)
     same = np.zeros(len(hashes), bool)
     same[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
-    each, begin = S.distinct(hashes, begins)
-    order = np.lexsort((hashes, owner))
-    h, o = hashes[order], owner[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
-    firsts = np.flatnonzero(new)
-    runs = np.diff(np.concatenate((firsts, [len(h)])))
+    _, first = S.ranked(hashes, begins)
+    kinds = _sums(first, begins)
+    firsts = np.flatnonzero(first)
+    runs = np.diff(np.concatenate((firsts, [len(first)])))
     top = np.zeros(len(n), np.int64)
-    np.maximum.at(top, o[firsts], runs)
+    if len(runs):
+        top[n > 0] = np.maximum.reduceat(runs, (np.cumsum(kinds) - kinds)[n > 0])
     grams, at = S.shingles(hashes, begins, 3)
-    _, once = S.distinct(grams, at)
+    once = _sums(S.ranked(grams, at)[1], at)
     n_grams = np.maximum(np.diff(at), 1)
     rate = lambda x, of=size: np.log((x + 0.5) / (of + 1.0))
     table = np.stack(
@@ -83,13 +81,13 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             rate(count["mark"]),
             rate(count["high"]),
             rate(count["line"], some),
-            np.log(np.maximum(np.diff(begin), 1)) - np.log(some) * 0.85,
+            np.log(np.maximum(kinds, 1)) - np.log(some) * 0.85,
             rate(_sums(same, begins), some),
             rate(_sums(length <= 3, begins), some),
             rate(_sums(letters == 0, begins), some),
             rate(top, some),
             rate(_sums(flag[data[starts]], begins) if len(starts) else np.zeros(len(n)), some),
-            rate(n_grams - np.maximum(np.diff(once), 1), n_grams),
+            rate(n_grams - np.maximum(once, 1), n_grams),
         ],
         axis=1,
     )

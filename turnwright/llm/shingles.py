@@ -110,16 +110,19 @@ def shingles(hashes: np.ndarray, begins: np.ndarray, k: int) -> tuple[np.ndarray
     return mix(out), begin
 
 
+def ranked(values: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of each text in ascending order, and which of them is the first of its kind in its text."""
+    values = values.copy()
+    for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        if b - a > 1:
+            values[a:b].sort()
+    first = np.ones(len(values), bool)
+    first[1:] = values[1:] != values[:-1]
+    first[begin[:-1][begin[1:] > begin[:-1]]] = True
+    return values, first
+
+
 def distinct(values: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values of each text in ascending order, and where each text's begin with the end."""
-    if not len(values):
-        return values, begin
-    owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-    order = np.lexsort((values, owner)) if len(begin) > 9 else None
-    if order is None:
-        parts = [np.unique(values[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
-        return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-    v, o = values[order], owner[order]
-    new = np.ones(len(v), bool)
-    new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
-    return v[new], np.searchsorted(o[new], np.arange(len(begin)))
+    values, first = ranked(values, begin)
+    return values[first], np.concatenate(([0], np.cumsum(first)))[begin]
