@@ -149,6 +149,40 @@ def test_mining_equals_plain_counts(spark, monkeypatch):
         assert {(r.split, r.sig): r.freq for r in signatures.mine(rows, ("split",)).collect()} == want
 
 
+def test_large_sets_let_no_other_windows_through(spark, monkeypatch):
+    """A set that has outgrown a bitmap of fixed size, whole and in several passes."""
+    import random
+
+    from turnwright.functions import windows
+
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choices("abcdefghij ก😀", k=n))
+    listed, bodies = [text(25) for _ in range(120_000)], [f"x{text(300)}y" for _ in range(200)]
+    planted = {i: min(listed[i], listed[i + 1]) for i in range(0, 200, 4)}
+    bodies = [f"{b} {listed[i]} {listed[i + 1]}" if i in planted else b for i, b in enumerate(bodies)]
+    sigs = spark.createDataFrame([(t, 7) for t in listed], "sig string, g long").repartition(4)
+    rows = spark.createDataFrame(list(enumerate([*bodies, None, ""])), "k int, body string").withColumn("g", F.when(F.col("k") % 8 == 4, 8).otherwise(7).cast("long"))
+    for most, least in ((windows.MOST, 1), (50_000, 3)):
+        monkeypatch.setattr(windows, "MOST", most)
+        parts = windows.text_hashes(sigs, "sig", "g")
+        assert len(parts) >= least
+        found = [r for p in parts for r in windows.best_windows(rows, ["k"], "g", [25, 15], p).collect()]
+        assert {r.k: min(x.sig for x in found if x.k == r.k) for r in found} == {i: s for i, s in planted.items() if i % 8 == 0}
+        assert len(found) <= 2 * len(planted)
+
+
+def test_mining_in_passes(spark, monkeypatch):
+    from turnwright.functions import windows
+
+    rows = talk(spark, [(i, 0, "agent", f"{i % 40} is the number of a phrase that comes {i % 40} times and then some {i}") for i in range(400)])
+    once = {(r.sig, r.freq) for r in signatures.mine(rows, ("split",)).collect()}
+    match = {tuple(r) for r in signatures.longest_match(rows, signatures.mine(rows, ("split",)), dedup.TURN, ("split",)).collect()}
+    monkeypatch.setattr(windows, "MOST", 100)
+    assert len(once) > 200 and {(r.sig, r.freq) for r in signatures.mine(rows, ("split",)).collect()} == once
+    assert {tuple(r) for r in signatures.longest_match(rows, signatures.mine(rows, ("split",)), dedup.TURN, ("split",)).collect()} == match
+    assert signatures.mine(rows.limit(0)).count() == 0
+
+
 def test_shared_folder(spark):
     from types import SimpleNamespace as Fake
 
