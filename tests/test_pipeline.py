@@ -183,6 +183,19 @@ def test_mining_in_passes(spark, monkeypatch):
     assert signatures.mine(rows.limit(0)).count() == 0
 
 
+def test_tickets_of_one_file_are_parsed_by_all_cores(spark):
+    note = [(1, -1, "2024", False, "Conversation with Ann", None), (2, -1, "2025", True, "(08:00:00) ANN: it does not open\n(08:01:00) Bo: please reinstall it", None)]
+    rows = spark.createDataFrame([(i, i, (i,), note) for i in range(200)], f"ticket_id bigint, id bigint, metadata struct<requester_id:bigint>, comments array<{tickets.COMMENT}>").coalesce(1)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        built = tickets.build_turns(rows, PrepareSettings()).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len({r.task for r in built}) == 4
+    assert {(r.ticket_id, r.turn_pos, r.role, r.content) for r in built} == {(i, *t) for i in range(200) for t in ((0, "customer", "it does not open"), (1, "agent", "please reinstall it"))}
+
+
 def test_shared_folder(spark):
     from types import SimpleNamespace as Fake
 
