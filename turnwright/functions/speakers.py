@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from turnwright.functions.text import DIGIT, WS, strip
+from turnwright.functions.text import DIGIT, WS, bound, strip
 
 # Fixed values: "(HH:MM:SS) Name: " or "(HH:MM:SS) Name uploaded: " opens a message, and a private note names the customer.
 STAMP = rf"\({DIGIT}{{2}}:{DIGIT}{{2}}:{DIGIT}{{2}}\)"
@@ -61,8 +61,12 @@ def ticket_messages(comments: Column, requester: Column, agents: Sequence[str])
 
     Bodies are split by stamped speakers if the ticket has openings and a note names the customer.
     """
-    name = customer_name(comments)
-    split = has_openings(comments) & name.isNotNull()
+
+    def message(c: Column, name: Column, split: Column) -> Column:
+        said = F.when(split, stamped_messages(body_of(c), name, agents)).otherwise(own_message(c, requester))
+        return F.transform(said, lambda m: F.struct(c["id"].alias("comment_id"), m["role"].alias("role"), m["text"].alias("text")))
+
     open_ = F.filter(comments, lambda c: is_public(c) & (body_of(c) != ""))
-    found = F.transform(open_, lambda c: F.transform(F.when(split, stamped_messages(body_of(c), name, agents)).otherwise(own_message(c, requester)), lambda m: F.struct(c["id"].alias("comment_id"), m["role"].alias("role"), m["text"].alias("text"))))
-    return F.flatten(found)
+    # the name and whether to split are worked out once a ticket, not once a message
+    how = F.struct(customer_name(comments).alias("name"), has_openings(comments).alias("openings"))
+    return bound(how, lambda h: F.flatten(F.transform(open_, lambda c: message(c, h["name"], h["openings"] & h["name"].isNotNull()))))
