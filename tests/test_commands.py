@@ -69,3 +69,23 @@ def test_examples(spark):
     df = spark.createDataFrame([([("user", "hello there"), ("assistant", "good day")],), ([],)], "messages array<struct<role:string,content:string>>")
     rows = tokenized(df, tokenizers.path("byte_bpe_50k.json")).collect()
     assert len(rows) == 1 and len(rows[0].input_ids) == len(rows[0].labels) == len(rows[0].attention_mask) and IGNORED in rows[0].labels
+
+
+def test_examples_are_handed_back_some_at_a_time():
+    import pyarrow as pa
+
+    from turnwright.operators import examples
+
+    tokenizers = pytest.importorskip("public_tokenizers")
+    given = []
+
+    class Records:
+        where = select = lambda self, *_: self
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            talk = [[{"role": "user", "content": f"number {i}"}, {"role": "assistant", "content": "yes"}] for i in range(1000)]
+            given.extend(run(iter([pa.RecordBatch.from_pylist([{"messages": m} for m in talk])])))
+
+    examples.tokenized(Records(), tokenizers.path("byte_bpe_50k.json"), 512)
+    assert sum(b.num_rows for b in given) == 1000 and max(b.num_rows for b in given) <= examples.ROWS
+    assert len({tuple(r["input_ids"]) for b in given for r in b.to_pylist()}) == 1000
