@@ -149,6 +149,36 @@ def test_mining_equals_plain_counts(spark, monkeypatch):
         assert {(r.split, r.sig): r.freq for r in signatures.mine(rows, ("split",)).collect()} == want
 
 
+def test_mined_bodies_are_the_same_in_python(spark):
+    parts = ["a", "é😀", "https://e.com/x", "http://", "https:// x", " ", "  ", "\n", "\x1c", "\x85", "\u2028", "\xa0", "words that are some more than a few"]
+    values = [a + b + c + d for a in parts for b in parts for c in parts for d in ("", " and then the end of it all")]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate([*values, None])], "i int, content string")
+    found = {r.i: r.body for r in signatures.mining_texts(rows, ["i"]).collect()}
+    assert found == {i: signatures.mining_text(v) for i, v in enumerate(values) if signatures.mining_text(v) is not None} and len(found) > 100
+    squeezed = {r.i: r.body for r in rows.select("i", signatures.squeeze(F.col("content")).alias("body")).collect()}
+    assert squeezed == {**{i: signatures.squeezed(v) for i, v in enumerate(values)}, len(values): None}
+
+
+def test_copies_are_told_apart_without_their_texts(spark):
+    """Beside a turn, its key's 32 bytes are sorted and shuffled, not its text once more."""
+    rows = talk(spark, [(i, 0, "agent", f"{'long ' * 400}{i % 7}") for i in range(70)])
+    plan = dedup.limit_copies(rows, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert dedup.limit_copies(rows, 2).count() == 14 and "sha2" in plan
+
+
+def test_longer_signature_of_a_later_piece_wins(spark, monkeypatch):
+    from turnwright.functions import windows
+
+    short, long = "short signature", "a signature of 25 letters"
+    sigs = spark.createDataFrame([("train", short), ("train", long), ("train", "a signature of 25 lettert")], "split string, sig string")
+    bodies = [short + " " + "x" * 300 + long + " " + short, "y" * 90 + short + "z" * 200, "q" * 500, long[:-1] + "t " + "w" * 80 + long, ""]
+    rows = talk(spark, [(i, 0, "agent", b) for i, b in enumerate(bodies)])
+    for chunk in (windows.CHUNK, 100, 64):
+        monkeypatch.setattr(windows, "CHUNK", chunk)
+        found = {r.conv_pos: r.sig for r in signatures.longest_match(rows, sigs, dedup.TURN, ("split",)).collect()}
+        assert found == {0: long, 1: short, 3: long}
+
+
 def test_large_sets_let_no_other_windows_through(spark, monkeypatch):
     """A set that has outgrown a bitmap of fixed size, whole and in several passes."""
     import random

@@ -116,5 +116,33 @@ def test_phrase_filter(spark):
     assert apply(spark, ["same"], run([])) == ["same"]
 
 
+def test_phrase_filter_skips_texts_without_a_piece_alone(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    phrases = ["If you need more help please write to us at any time of the day", "a short one", "exactly thirty-five characters, it is", "x" * 90]
+    parts = [*phrases, *(p[i : i + k] for p in phrases for i, k in [(0, 35), (3, 35), (20, 35), (9, 17), (1, 40)]), ". ", ".", " ", "\n", "\x01", "\x02", "https://e.com/a.b).", "1.5", "ครับ"]
+    values = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 6))) for _ in range(400)] + [None, ""]
+    run = lambda c: sentences.filter_phrases(c, phrases)
+    found = apply(spark, values, run)
+    monkeypatch.setattr(sentences, "may_mention", lambda c, phrases: F.lit(True))
+    assert found == apply(spark, values, run) and len({r.dropped for r in found}) > 2
+
+
+def test_texts_without_a_piece_are_not_searched_for_slices(spark, monkeypatch):
+    phrase = "If you need more help please write to us at any time of the day"
+    monkeypatch.setattr(sentences, "mentions_any", lambda c, phrases: F.raise_error(F.concat(F.lit("searched "), c)).cast("boolean"))
+    run = lambda c: sentences.filter_phrases(c, [phrase])["text"]
+    assert apply(spark, ["one. two. three", "If you need. more help", "one"], run) == ["one. two. three", "If you need. more help", "one"]
+    with pytest.raises(Exception, match="searched"):
+        apply(spark, [f"one. {phrase}"], run)
+
+
+def test_squeeze_looks_at_every_kind_of_text(spark):
+    assert {chr(i) for i in range(0x110000) if chr(i).isspace()} == set(text.BLANKS)
+    values = [f"{a}{b}{c}" for a in ("", " ", "x", "é", "😀 ") for b in (*text.BLANKS, "  ", "") for c in ("", " ", "y", " é")]
+    assert apply(spark, values, text.squeeze) == [" ".join(v.split()) for v in values]
+
+
 def test_epoch(spark):
     assert apply(spark, ["2024-01-01T00:00:00Z", "2024-01-01", "no date", None], text.to_epoch) == [1704067200, 1704067200, None, None]

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from turnwright.functions.text import DIGIT, SOLID, drop_at_boundary, squeeze, strip
+from turnwright.functions.text import DIGIT, SOLID, bound, drop_at_boundary, squeeze, strip
 
 # Stand-ins for a dot that ends nothing, and for the ends of a URL.
 DOT, FENCE = "\x01", "\x02"
@@ -20,12 +21,12 @@ def split_sentences(c: Column) -> Column:
     A dot between digits or within a URL doesn't split. One trailing punctuation mark of a URL is dropped where a
     space, a line end or the end of the text follows it.
     """
-    text = F.regexp_replace(c, rf"(?<={DIGIT})\.(?={DIGIT})", DOT)
+    text = F.regexp_replace(c, rf"\.(?<={DIGIT}\.)(?={DIGIT})", DOT)
     fenced = F.regexp_replace(text, rf"(https?://{SOLID}++)", f"{FENCE}$1{FENCE}")
     fenced = F.regexp_replace(fenced, rf"[.,;:!?)\]]{FENCE}(?=[ \n]|\z)", FENCE)
     whole = F.transform(F.split(fenced, FENCE), lambda part, i: F.when(i % 2 == 1, F.replace(part, F.lit("."), F.lit(DOT))).otherwise(part))
     text = F.when(F.contains(c, F.lit("://")), F.array_join(whole, "")).otherwise(text)
-    parts = F.split(F.translate(text, "\n", "."), r"\.")
+    parts = F.split(F.replace(text, F.lit("\n"), F.lit(".")), r"\.")
     return F.filter(F.transform(parts, lambda x: F.replace(strip(x), F.lit(DOT), F.lit("."))), lambda x: x != "")
 
 
@@ -41,6 +42,14 @@ def mentions_any(c: Column, phrases: Sequence[str]) -> Column:
     return F.exists(F.array(*map(F.lit, slices)), lambda s: F.contains(c, s))
 
 
+def may_mention(c: Column, phrases: Sequence[str]) -> Column:
+    """Does the text hold a piece of which every slice of a phrase, and the phrase, has one? Where it doesn't, it holds no
+    slice; pieces are fewer than slices by far."""
+    half = (SLICE + 1) // 2
+    pieces = dict.fromkeys(p[i : i + half] for p in phrases for i in range(0, max(1, len(p) - half + 1), half))
+    return reduce(lambda a, b: a | b, [F.contains(c, F.lit(s)) for s in pieces])
+
+
 def strip_phrases(body: Column, phrases: Sequence[str]) -> Column:
     """struct<text, changed>: for each phrase in turn, the phrase or else its first slice that can go goes."""
     tries = F.array(*(F.array(*map(F.lit, [p, *phrase_slices(p)])) for p in phrases))
@@ -63,6 +72,12 @@ def filter_phrases(body: Column, phrases: Sequence[str]) -> Column:
         return F.struct(F.nullif(body, F.lit("")).alias("text"), F.lit(0).alias("dropped"))
 
     def judged(parts: Column) -> Column:
+        def one(plain: Column) -> Column:
+            return F.when(may_mention(plain, phrases), searched(parts)).otherwise(F.struct(F.nullif(plain, F.lit("")).alias("text"), F.lit(0).alias("dropped")))
+
+        return bound(F.when(F.size(parts) > 1, F.array_join(parts, ". ")).otherwise(body), one)
+
+    def searched(parts: Column) -> Column:
         kept = F.filter(parts, lambda s: ~mentions_any(s, phrases))
         several = F.struct(F.nullif(F.array_join(kept, ". "), F.lit("")).alias("text"), (F.size(parts) - F.size(kept)).alias("dropped"))
         fold = strip_phrases(body, phrases)
